@@ -23,6 +23,7 @@ PAREN_GROUP = r"\(.*?\)"                         # 1. drop "(...)", shortest mat
 NOT_LABEL_CHAR = f"[^a-z0-9{WHITESPACE_CLASS}]"  # 2. keep a-z, 0-9 and whitespace
 WHITESPACE_RUN = f"[{WHITESPACE_CLASS}]+"        # 4. after trim, runs become one space
 QUOTE = '"'
+EDGE_QUOTE = r'^"|"\z'                          # one leading, then one trailing quote
 # Look-ahead split: a comma followed by an even number of quotes up to the end.
 LOOKAHEAD_COMMA = ',(?=([^"]*"[^"]*")*[^"]*$)'
 # ---------------------------------------------------------------------------
@@ -39,10 +40,9 @@ def jvm_trim(c) -> Column:
 
 
 def strip_quotes(c) -> Column:
-    """Drop one leading and then one trailing double quote, if present."""
-    c = as_col(c)
-    c = F.when(c.startswith(QUOTE), F.substring(c, 2, 2147483647)).otherwise(c)
-    return F.when(c.endswith(QUOTE), F.substring(c, F.lit(1), F.length(c) - 1)).otherwise(c)
+    """Drop one leading and then one trailing double quote, if present (a
+    lone quote becomes empty)."""
+    return F.regexp_replace(as_col(c), EDGE_QUOTE, "")
 
 
 def normalise_text(c) -> Column:

@@ -36,8 +36,9 @@ JVM_DOUBLE = (
 def parse_double(text) -> Column:
     """``double`` from text that a JVM number parser accepts, else NULL.
     Leading/trailing characters <= U+0020 are ignored, as the JVM parser does."""
-    t = jvm_trim(as_col(text))
-    return F.when(t.rlike(JVM_DOUBLE), t.try_cast("double"))
+    # The anchored grammar either matches the whole trimmed text or yields "",
+    # which does not cast: one reference to the input keeps the expression small.
+    return F.regexp_extract(jvm_trim(as_col(text)), JVM_DOUBLE, 0).try_cast("double")
 
 
 def _lower_in(c: Column, words) -> Column:
@@ -55,8 +56,8 @@ def clean_reading(c) -> Column:
     Kept as text when it is a JVM number that is not negative (NaN and -0.0
     stay); otherwise ``Unknown``."""
     v = jvm_trim(F.regexp_replace(strip_quotes(jvm_trim(as_col(c))), ",", ""))
-    d = parse_double(v)
-    return F.when(d.isNotNull() & ~(d < 0), v).otherwise(F.lit(UNKNOWN))
+    # NULL (not a number) fails the test as well as a negative value does.
+    return F.when(~(parse_double(v) < 0), v).otherwise(F.lit(UNKNOWN))
 
 
 def reading_value(reading) -> Column:
@@ -71,11 +72,9 @@ def profile_reading(c) -> Column:
     or contains ``unknown`` or ``na`` in any case (so ``NaN`` too) is rejected;
     negatives are kept. NULL when rejected or not a number."""
     v = F.regexp_replace(strip_quotes(jvm_trim(as_col(c))), ",", "")
-    lv = F.lower(v)
-    ok = (F.length(v) > 0)
-    for word in PROFILE_REJECT_SUBSTRINGS:
-        ok = ok & ~lv.contains(word)
-    return F.when(ok, parse_double(v))
+    reject = F.lower(v).rlike("|".join(PROFILE_REJECT_SUBSTRINGS))
+    # Blank text does not parse, so only the word test needs its own branch.
+    return F.when(~reject, parse_double(v))
 
 
 def is_missing_required(c) -> Column:

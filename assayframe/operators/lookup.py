@@ -34,18 +34,28 @@ def row_bound(dim: DataFrame, bound: int) -> int | None:
     return n if n <= bound else None
 
 
-def check_unique(dim: DataFrame, keys: Sequence[str], what: str = "dimension") -> None:
-    dup = dim.groupBy(*keys).count().where(F.col("count") > 1).limit(1).collect()
-    if dup:
-        raise DimensionError(f"{what}: key {tuple(dup[0][k] for k in keys)} appears more than once")
+def dimension_profile(dim: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
+    """(rows, largest number of rows sharing one key) in one job over the
+    dimension: a grouped count with map-side combine, then one row."""
+    per_key = dim.groupBy(*keys).agg(F.count(F.lit(1)).alias("__c"))
+    row = per_key.agg(F.sum("__c").alias("rows"), F.max("__c").alias("dup")).first()
+    return int(row["rows"] or 0), int(row["dup"] or 0)
+
+
+def check_unique(dim: DataFrame, keys: Sequence[str], what: str = "dimension") -> int:
+    rows, dup = dimension_profile(dim, keys)
+    if dup > 1:
+        raise DimensionError(f"{what}: a key of {tuple(keys)} appears {dup} times; keys must be unique")
+    return rows
 
 
 def prepare_dimension(dim: DataFrame, keys: Sequence[str], what: str,
                       broadcast_rows: int = DEFAULT_BROADCAST_ROWS, check: bool = True) -> DataFrame:
-    """Unique-key check plus a broadcast hint when the row bound is proven."""
-    if check:
-        check_unique(dim, keys, what)
-    if row_bound(dim, broadcast_rows) is not None:
+    """Unique-key check plus a broadcast hint when the row count is proven to
+    be within ``broadcast_rows``; otherwise a shuffled join (AQE may still
+    turn it into a broadcast once the real size is known)."""
+    rows = check_unique(dim, keys, what) if check else row_bound(dim, broadcast_rows)
+    if rows is not None and rows <= broadcast_rows:
         return F.broadcast(dim)
     return dim
 
@@ -96,13 +106,33 @@ def canonical_item(df: DataFrame, synonyms: DataFrame | None, item: str = "item"
         .drop("__item_norm", "__item_canon")
 
 
+def _sql_literal(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, float):
+        return f"CAST('{v!r}' AS DOUBLE)"
+    if isinstance(v, int):
+        return str(v)
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def literal_frame(spark, rows: Sequence[Sequence], columns: Sequence[str]) -> DataFrame:
+    """A small table from Python rows as an inline ``VALUES`` relation: it
+    lives in the plan (LocalTableScan, exact size statistics), with no Python
+    worker and no RDD behind it."""
+    if not rows:
+        raise ValueError("empty dimension")
+    body = ", ".join("(" + ", ".join(_sql_literal(v) for v in r) + ")" for r in rows)
+    return spark.sql(f"SELECT * FROM VALUES {body} AS t({', '.join(columns)})")
+
+
 def synonym_frame(spark, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """Two-column synonym dimension from (alias, canonical) pairs."""
-    return spark.createDataFrame(list(pairs), "alias string, canonical string")
+    return literal_frame(spark, [(str(a), str(c)) for a, c in pairs], ("alias", "canonical"))
 
 
 def limit_frame(spark, rows: Sequence[tuple[str, str, float]]) -> DataFrame:
     """Three-column limit dimension from (category_key, analyte_key, max_reading) rows."""
-    return spark.createDataFrame([(a, b, float(c)) for a, b, c in rows],
-                                 "category_key string, analyte_key string, max_reading double")
+    return literal_frame(spark, [(str(a), str(b), float(c)) for a, b, c in rows],
+                         ("category_key", "analyte_key", "max_reading"))
 

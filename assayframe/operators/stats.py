@@ -15,7 +15,9 @@ Scale design (one group may hold a third of all rows):
   partitions; running counts are taken inside each (partition, key) slice; a
   small table of slice totals (about partitions + groups rows) gives each
   slice its offset; the rows holding ranks ⌊(N+1)/2⌋ and ⌊N/2⌋+1 are then
-  picked out. Exact, and every task holds one bounded slice.
+  picked out. Exact, and every task holds one bounded slice. The sliced
+  histogram is checkpointed (reliable, shared folder) so the slice of each
+  row is fixed once.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assayframe.functions.values import UNKNOWN, parse_double
+from assayframe.session import shared_dir
 
 STATS = ("mean", "median", "mode", "stddev")
 
@@ -75,7 +78,14 @@ def group_median(hist: DataFrame, key, value: str = "v", n: str = "n", out: str
     keys = _keys(key)
     spark = hist.sparkSession
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = hist.repartitionByRange(parts, *keys, value).withColumn("__pid", F.spark_partition_id())
+    # Range bounds come from sampling, so two evaluations of this step could
+    # slice differently. Write it once to the shared checkpoint folder: both
+    # branches below then read the same slice of every row, and a lost
+    # executor recomputes from the written copy.
+    shared_dir(spark)
+    ranged = (hist.repartitionByRange(parts, *keys, value)
+                  .withColumn("__pid", F.spark_partition_id())
+                  .checkpoint(eager=True))
     in_slice = (Window.partitionBy("__pid", *keys).orderBy(value)
                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = ranged.withColumn("__cum", F.sum(n).over(in_slice))
