@@ -50,11 +50,16 @@ def check_unique(dim: DataFrame, keys: Sequence[str], what: str = "dimension") -
 
 
 def prepare_dimension(dim: DataFrame, keys: Sequence[str], what: str,
-                      broadcast_rows: int = DEFAULT_BROADCAST_ROWS, check: bool = True) -> DataFrame:
+                      broadcast_rows: int = DEFAULT_BROADCAST_ROWS, check: bool = True,
+                      proven_rows: int | None = None) -> DataFrame:
     """Unique-key check plus a broadcast hint when the row count is proven to
     be within ``broadcast_rows``; otherwise a shuffled join (AQE may still
-    turn it into a broadcast once the real size is known)."""
-    rows = check_unique(dim, keys, what) if check else row_bound(dim, broadcast_rows)
+    turn it into a broadcast once the real size is known). ``proven_rows``:
+    the dimension was built from driver-side rows already checked."""
+    if proven_rows is not None:
+        rows = proven_rows
+    else:
+        rows = check_unique(dim, keys, what) if check else row_bound(dim, broadcast_rows)
     if rows is not None and rows <= broadcast_rows:
         return F.broadcast(dim)
     return dim
@@ -66,10 +71,12 @@ def lookup(df: DataFrame, dim: DataFrame, on: Sequence[tuple[Column, str]], valu
     dimension key column, ``values`` maps dimension columns to output names.
     Rows of ``df`` are never duplicated or dropped."""
     keys = [k for _, k in on]
+    proven = getattr(dim, "_assay_unique_rows", None)
+    proven_rows = proven[1] if proven is not None and tuple(proven[0]) == tuple(keys) else None
     tmp = {k: f"__lk_{i}" for i, k in enumerate(keys)}
     vtmp = {v: f"__lv_{i}" for i, (v, _) in enumerate(values)}
     d = dim.select(*[F.col(k).alias(tmp[k]) for k in keys], *[F.col(v).alias(vtmp[v]) for v, _ in values])
-    d = prepare_dimension(d, list(tmp.values()), what, broadcast_rows, check)
+    d = prepare_dimension(d, list(tmp.values()), what, broadcast_rows, check, proven_rows)
     left = df.select("*", *[expr.alias(f"__lf_{i}") for i, (expr, _) in enumerate(on)])
     cond = [F.col(f"__lf_{i}") == F.col(tmp[k]) for i, (_, k) in enumerate(on)]
     joined = left.join(d, cond, "left")
@@ -126,13 +133,30 @@ def literal_frame(spark, rows: Sequence[Sequence], columns: Sequence[str]) -> Da
     return spark.sql(f"SELECT * FROM VALUES {body} AS t({', '.join(columns)})")
 
 
+def keyed_frame(spark, rows: Sequence[Sequence], columns: Sequence[str], keys: Sequence[str],
+                what: str = "dimension") -> DataFrame:
+    """``literal_frame`` whose key columns are checked for uniqueness on the
+    driver; the frame carries its proven row count, so lookups need no
+    Spark job to decide on a broadcast."""
+    idx = [list(columns).index(k) for k in keys]
+    seen: set = set()
+    for r in rows:
+        k = tuple(r[i] for i in idx)
+        if k in seen:
+            raise DimensionError(f"{what}: key {k} appears more than once")
+        seen.add(k)
+    df = literal_frame(spark, rows, columns)
+    df._assay_unique_rows = (tuple(keys), len(rows))
+    return df
+
+
 def synonym_frame(spark, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """Two-column synonym dimension from (alias, canonical) pairs."""
-    return literal_frame(spark, [(str(a), str(c)) for a, c in pairs], ("alias", "canonical"))
+    return keyed_frame(spark, [(str(a), str(c)) for a, c in pairs], ("alias", "canonical"), ("alias",), "synonyms")
 
 
 def limit_frame(spark, rows: Sequence[tuple[str, str, float]]) -> DataFrame:
     """Three-column limit dimension from (category_key, analyte_key, max_reading) rows."""
-    return literal_frame(spark, [(str(a), str(b), float(c)) for a, b, c in rows],
-                         ("category_key", "analyte_key", "max_reading"))
+    return keyed_frame(spark, [(str(a), str(b), float(c)) for a, b, c in rows],
+                       ("category_key", "analyte_key", "max_reading"), ("category_key", "analyte_key"), "limits")
 
