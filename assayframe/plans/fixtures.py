@@ -86,6 +86,13 @@ PART_SYNONYMS = (
     ("small widget", "widget"), ("large widget", "widget"),
     ("new gizmo", "gizmo"), ("old gizmo", "gizmo"),
 )
+# Two limit sets for the several-authorities form: the first is MEASUREMENT_LIMITS.
+SECOND_AUTHORITY_LIMITS = (
+    ("standard", "a", 20.0), ("standard", "n", 30.0),
+    ("promo", "r", 25.0),
+    ("small", "a", 10.0), ("small", "n", 45.0),
+    ("large", "r", 35.0),
+)
 RAW_LIMITS = (
     ("building", "africa", 5000.0), ("building", "america", 2500.0),
     ("furniture", "asia", 4000.0), ("household", "europe", 1000.0),
@@ -137,6 +144,10 @@ def measurement_limits(spark: SparkSession) -> DataFrame:
     return limit_frame(spark, MEASUREMENT_LIMITS)
 
 
+def authority_limit_rows():
+    return [("agency_a", *r) for r in MEASUREMENT_LIMITS] + [("agency_b", *r) for r in SECOND_AUTHORITY_LIMITS]
+
+
 def part_synonyms(spark: SparkSession) -> DataFrame:
     return synonym_frame(spark, PART_SYNONYMS)
 

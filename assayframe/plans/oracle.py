@@ -198,6 +198,55 @@ def _raw(body: str, clean: bool = False) -> str:
 
 
 _HEADER = _s(fx.RAW_HEADER)
+ALIMITS = _values("alimits", "authority, category_key, analyte_key, max_reading", fx.authority_limit_rows())
+_FLAG = ("case when t.max_reading is null or m.reading = 'Unknown' then 'NA' "
+         "when cast(m.reading as double) > t.max_reading then 'YES' else 'NO' end")
+
+
+def _alternatives() -> dict[str, str]:
+    by_auth = _with(MEAS, ALIMITS) + (
+        f"select authority, category, count_if(flag = 'YES')::double / count_if(flag in ('YES', 'NO')) as rate "
+        f"from (select a.authority, m.category, {_FLAG} as flag from measurements m "
+        f"cross join (select distinct authority from alimits) a left join alimits t "
+        f"on t.authority = a.authority and lower(m.category) = t.category_key and lower(m.analyte) = t.analyte_key) "
+        f"group by authority, category having count_if(flag in ('YES', 'NO')) > 0")
+    dual = _with(MEAS, LIMITS, CLASSIFIED, _PART_SYN) + (
+        f"select item_raw, item, count(*) as n, count_if(flag = 'YES') as yes, "
+        f"case when count_if(flag in ('YES', 'NO')) > 0 then count_if(flag = 'YES')::double / "
+        f"count_if(flag in ('YES', 'NO')) end as rate from (select c.item as item_raw, "
+        f"coalesce(s.canonical, {norm('c.item')}) as item, c.flag from classified c "
+        f"left join psyn s on {norm('c.item')} = s.alias) group by item_raw, item")
+    per_country = ("select country, yes::double / decided as rate, decided::double / n as completeness from "
+                   "(select country, count(*) as n, count_if(flag = 'YES') as yes, "
+                   "count_if(flag in ('YES', 'NO')) as decided from classified group by country) where decided > 0")
+    weighted = (f"select round(sum(completeness * rate) / sum(completeness), {ROUND}) as weighted_rate, "
+                f"round(avg(rate), {ROUND}) as unweighted_rate, count(*) as groups from ({per_country})")
+    bounds = ("select country, count_if(flag = 'YES')::double / count(*) as rate_low, "
+              "(count_if(flag = 'YES') + count_if(reading = 'Unknown'))::double / count(*) as rate_high "
+              "from classified where max_reading is not null group by country")
+    imputed = _with(MEAS, LIMITS) + (
+        "select category, count_if(flag = 'YES')::double / count_if(flag in ('YES', 'NO')) as rate from ("
+        "select m.category, case when t.max_reading is null or v is null then 'NA' "
+        "when not isnan(v) and v > t.max_reading then 'YES' else 'NO' end as flag from ("
+        "select m.*, coalesce(case when m.reading <> 'Unknown' then cast(m.reading as double) end, mu.mu) as v "
+        "from measurements m left join (select category, avg(cast(reading as double)) as mu from measurements "
+        "where reading <> 'Unknown' group by category) mu on m.category = mu.category) m "
+        "left join limits t on lower(m.category) = t.category_key and lower(m.analyte) = t.analyte_key) "
+        "group by category having count_if(flag in ('YES', 'NO')) > 0")
+    return {
+        "audit_unknown_rate_country_alt": _raw(
+            "select country_alt, count_if(lower(reading) = 'unknown')::double / count(*) as rate "
+            "from enriched group by country_alt", True),
+        "audit_na_rate_country_alt": _raw(
+            "select country_alt, count_if(lower(flag) = 'na')::double / count(*) as rate "
+            "from enriched group by country_alt", True),
+        "hazard_rate_by_authority": by_auth,
+        "hazard_by_dual_label": dual,
+        "completeness_by_country": _cls(per_country),
+        "completeness_weighted_rate": _cls(weighted),
+        "hazard_rate_bounds_country": _cls(bounds),
+        "hazard_rate_imputed_category": imputed,
+    }
 _PART_SYN = _values("psyn", "alias, canonical", fx.PART_SYNONYMS)
 
 
@@ -270,4 +319,5 @@ def oracle() -> dict[str, str]:
             f"select p_partkey, coalesce(s.canonical, {norm('p.p_name')}) as item "
             f"from part p left join psyn s on {norm('p.p_name')} = s.alias"),
     })
+    q.update(_alternatives())
     return q

@@ -13,6 +13,15 @@ from pyspark.sql import functions as F
 
 from assayframe.functions.text import normalise_text
 from assayframe.functions.values import clean_reading, standardise_missing
+from assayframe.operators.alternatives import (
+    authority_limits,
+    completeness,
+    completeness_weighted_rate,
+    hazard_by_dual_label,
+    hazard_rate_bounds,
+    hazard_rate_by_authority,
+    hazard_rate_imputed,
+)
 from assayframe.operators.classify import classify
 from assayframe.operators.cleaning import (
     CLEAN_ARITY,
@@ -228,6 +237,60 @@ def q_preview(spark, sf):
     return preview(spark, "clean_measurements", n=10, order_by="record_id")
 
 
+_TSV: dict[tuple[str, str], str] = {}
+
+
+def _clean_tsv(spark, sf):
+    """The cleaned records in the tab-separated layout, written once per session."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _TSV:
+        path = scratch_path(spark, "clean_tsv_audit")
+        write_clean(_clean(spark, sf), path, fmt="tsv")
+        _TSV[key] = path
+    return scan_clean(spark, _TSV[key], fmt="tsv", min_fields=12)
+
+
+def q_audit_unknown_rate_country_alt(spark, sf):
+    """The audit as originally run: on the cleaned text output, records with
+    more than 11 fields, country taken from the alternate column."""
+    return rank_by(unknown_rate(_clean_tsv(spark, sf), "country_alt"), "rate", "country_alt", k=None)
+
+
+def q_audit_na_rate_country_alt(spark, sf):
+    return rank_by(na_rate(_clean_tsv(spark, sf), "country_alt"), "rate", "country_alt", k=None)
+
+
+# ---------------------------------------------- alternatives (several limits …)
+def q_hazard_rate_by_authority(spark, sf):
+    limits = authority_limits(spark, fx.authority_limit_rows())
+    return hazard_rate_by_authority(fx.measurements(spark, sf), limits, "category")
+
+
+def q_hazard_by_dual_label(spark, sf):
+    m = fx.measurements(spark, sf).withColumnRenamed("item", "item_raw")
+    m = canonical_item(m, fx.part_synonyms(spark), item="item_raw", out="item")
+    return hazard_by_dual_label(classify(limit_lookup(m, fx.measurement_limits(spark))))
+
+
+def q_completeness_by_country(spark, sf):
+    return completeness(_classified(spark, sf), "country")
+
+
+def q_completeness_weighted_rate(spark, sf):
+    res = completeness_weighted_rate(completeness(_classified(spark, sf), "country"))
+    return res.select(F.round("weighted_rate", ROUND).alias("weighted_rate"),
+                      F.round("unweighted_rate", ROUND).alias("unweighted_rate"), "groups")
+
+
+def q_hazard_rate_bounds_country(spark, sf):
+    return hazard_rate_bounds(_classified(spark, sf), "country")
+
+
+def q_hazard_rate_imputed_category(spark, sf):
+    m = limit_lookup(fx.measurements(spark, sf), fx.measurement_limits(spark))
+    return hazard_rate_imputed(m, "category")
+
+
 # ------------------------------------------------------------- text & labels
 def q_normalise_text(spark, sf):
     docs = fx.table(spark, sf, "documents")
@@ -284,6 +347,14 @@ def registry() -> dict[str, Query]:
         "scan_clean": q_scan_clean,
         "clean_roundtrip": q_clean_roundtrip,
         "preview": q_preview,
+        "audit_unknown_rate_country_alt": q_audit_unknown_rate_country_alt,
+        "audit_na_rate_country_alt": q_audit_na_rate_country_alt,
+        "hazard_rate_by_authority": q_hazard_rate_by_authority,
+        "hazard_by_dual_label": q_hazard_by_dual_label,
+        "completeness_by_country": q_completeness_by_country,
+        "completeness_weighted_rate": q_completeness_weighted_rate,
+        "hazard_rate_bounds_country": q_hazard_rate_bounds_country,
+        "hazard_rate_imputed_category": q_hazard_rate_imputed_category,
         "normalise_text": q_normalise_text,
         "canonical_item": q_canonical_item,
     })

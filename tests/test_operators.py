@@ -180,3 +180,27 @@ def test_no_python_in_plans(spark):
     plan = plan_of(out)
     for node in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas", "FlatMapGroupsInPandas"):
         assert node not in plan
+
+
+def test_alternatives_bounds_imputation_weights(spark):
+    from assayframe.operators.alternatives import (
+        authority_limits, completeness, completeness_weighted_rate, hazard_rate_bounds, hazard_rate_by_authority,
+        hazard_rate_imputed)
+    df = spark.createDataFrame(
+        [("food-spice", "lead", "3", "IN"), ("food-spice", "lead", "Unknown", "IN"), ("food-spice", "lead", "0.5", "IN"),
+         ("food-spice", "lead", "2", "PE"), ("jewelry", "lead", "50", "PE")],
+        "category string, analyte string, reading string, country string")
+    limited = limit_lookup(df, limit_frame(spark, [("food-spice", "lead", 1.0)]))
+    flagged = classify(limited)
+    assert dict((r[0], (r[1], r[2])) for r in hazard_rate_bounds(flagged, "country").collect()) == {
+        "IN": (1 / 3, 2 / 3), "PE": (1.0, 1.0)}
+    # Unknown in IN is imputed with mean(3, 0.5) = 1.75 > 1 → YES.
+    assert dict(map(tuple, hazard_rate_imputed(limited, "country").collect())) == {"IN": 2 / 3, "PE": 1.0}
+    per = {r[0]: (r[1], r[2]) for r in completeness(flagged, "country").collect()}
+    assert per == {"IN": (0.5, 2 / 3), "PE": (1.0, 0.5)}
+    w = completeness_weighted_rate(completeness(flagged, "country")).collect()[0]
+    assert w["weighted_rate"] == pytest.approx((2 / 3 * 0.5 + 0.5 * 1.0) / (2 / 3 + 0.5)) and w["groups"] == 2
+    lims = authority_limits(spark, [("x", "food-spice", "lead", 1.0), ("y", "food-spice", "lead", 2.5),
+                                    ("y", "jewelry", "lead", 100.0)])
+    got = {(r[0], r[1]): r[2] for r in hazard_rate_by_authority(df, lims, "country").collect()}
+    assert got == {("x", "IN"): 0.5, ("x", "PE"): 1.0, ("y", "IN"): 0.5, ("y", "PE"): 0.0}
