@@ -36,9 +36,12 @@ JVM_DOUBLE = (
 def parse_double(text) -> Column:
     """``double`` from text that a JVM number parser accepts, else NULL.
     Leading/trailing characters <= U+0020 are ignored, as the JVM parser does."""
-    # The anchored grammar either matches the whole trimmed text or yields "",
-    # which does not cast: one reference to the input keeps the expression small.
-    return F.regexp_extract(jvm_trim(as_col(text)), JVM_DOUBLE, 0).try_cast("double")
+    t = jvm_trim(as_col(text))
+    # Spark's cast is the JVM parser plus the words inf / infinity / nan in any
+    # case. Each of those holds an "n", so only text with an n or N needs the
+    # grammar (an anchored match yields "" otherwise, which does not cast).
+    maybe_word = t.contains("n") | t.contains("N")
+    return F.when(maybe_word, F.regexp_extract(t, JVM_DOUBLE, 0)).otherwise(t).try_cast("double")
 
 
 def _lower_in(c: Column, words) -> Column:
@@ -55,7 +58,7 @@ def clean_reading(c) -> Column:
     """Reading text: trim, strip quotes, drop thousands commas, trim again.
     Kept as text when it is a JVM number that is not negative (NaN and -0.0
     stay); otherwise ``Unknown``."""
-    v = jvm_trim(F.regexp_replace(strip_quotes(jvm_trim(as_col(c))), ",", ""))
+    v = jvm_trim(F.replace(strip_quotes(jvm_trim(as_col(c))), F.lit(","), F.lit("")))
     # NULL (not a number) fails the test as well as a negative value does.
     return F.when(~(parse_double(v) < 0), v).otherwise(F.lit(UNKNOWN))
 
@@ -71,8 +74,11 @@ def profile_reading(c) -> Column:
     """Profiling's reading parser: strip quotes and commas; text that is blank
     or contains ``unknown`` or ``na`` in any case (so ``NaN`` too) is rejected;
     negatives are kept. NULL when rejected or not a number."""
-    v = F.regexp_replace(strip_quotes(jvm_trim(as_col(c))), ",", "")
-    reject = F.lower(v).rlike("|".join(PROFILE_REJECT_SUBSTRINGS))
+    v = F.replace(strip_quotes(jvm_trim(as_col(c))), F.lit(","), F.lit(""))
+    lv = F.lower(v)
+    reject = F.lit(False)
+    for word in PROFILE_REJECT_SUBSTRINGS:
+        reject = reject | lv.contains(word)
     # Blank text does not parse, so only the word test needs its own branch.
     return F.when(~reject, parse_double(v))
 

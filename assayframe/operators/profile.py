@@ -37,9 +37,9 @@ def reading_range(df: DataFrame, reading: str = "reading", parsed: bool = False)
     rules, negatives kept); 0.0 for min/max/mean when there are none.
     ``parsed=True`` takes ``reading`` as already numeric."""
     v = F.col(reading) if parsed else profile_reading(F.col(reading))
-    vals = df.select(v.alias("__v")).where(F.col("__v").isNotNull())
+    vals = df.select(v.alias("__v"))          # NULL = not valid; the aggregates skip it
     return vals.agg(
-        F.count(F.lit(1)).alias("n_valid"),
+        F.count("__v").alias("n_valid"),
         F.coalesce(F.min("__v"), F.lit(0.0)).alias("min_reading"),
         F.coalesce(F.max("__v"), F.lit(0.0)).alias("max_reading"),
         F.coalesce(F.avg("__v"), F.lit(0.0)).alias("avg_reading"),

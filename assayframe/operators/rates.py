@@ -39,10 +39,17 @@ def is_unknown(reading: str = "reading") -> Column:
 def group_rate(df: DataFrame, key, hit: Column, among: Column | None = None, min_rate: float | None = None,
                out: str = "rate", with_counts: bool = False) -> DataFrame:
     """``hits / rows`` per group over the rows selected by ``among`` (all rows
-    when None); groups at or below ``min_rate`` are dropped (strict ``>``)."""
+    when None; groups without such rows are absent); groups at or below
+    ``min_rate`` are dropped (strict ``>``)."""
     keys = [key] if isinstance(key, str) else list(key)
-    rows = df.where(among) if among is not None else df
-    agg = rows.groupBy(*keys).agg(F.count_if(hit).alias("hits"), F.count(F.lit(1)).alias("rows"))
+    # Conditional counts instead of a row filter: a filter on a computed
+    # column (such as the flag) is pushed under the projection that computes
+    # it and would evaluate the expression twice per row.
+    if among is None:
+        agg = df.groupBy(*keys).agg(F.count_if(hit).alias("hits"), F.count(F.lit(1)).alias("rows"))
+    else:
+        agg = (df.groupBy(*keys).agg(F.count_if(among & hit).alias("hits"), F.count_if(among).alias("rows"))
+                 .where(F.col("rows") > 0))
     res = agg.withColumn(out, F.col("hits").cast("double") / F.col("rows"))
     if min_rate is not None:
         res = res.where(F.col(out) > F.lit(float(min_rate)))

@@ -44,16 +44,18 @@ def _null_safe_on(keys: Sequence[str], left: DataFrame, right: DataFrame) -> Col
 
 def known_values(df: DataFrame, key, reading: str = "reading", out: str = "v") -> DataFrame:
     """Rows whose reading is not ``Unknown`` (exact case), with the value as
-    double; text that is not a number is left out."""
+    double (NULL for text that is not a number)."""
     keys = _keys(key)
+    # Text that is not a number gives NULL, which every aggregate here skips;
+    # no row filter on the parsed value (it would be parsed twice per row).
     return (df.where(F.col(reading) != UNKNOWN)
-              .select(*keys, parse_double(F.col(reading)).alias(out))
-              .where(F.col(out).isNotNull()))
+              .select(*keys, parse_double(F.col(reading)).alias(out)))
 
 
 def histogram(values: DataFrame, key, value: str = "v", n: str = "n") -> DataFrame:
-    """``(key…, value, n)``: how often each value occurs in each group."""
-    return values.groupBy(*_keys(key), value).agg(F.count(F.lit(1)).alias(n))
+    """``(key…, value, n)``: how often each value occurs in each group
+    (NULL values dropped after aggregation)."""
+    return values.groupBy(*_keys(key), value).agg(F.count(F.lit(1)).alias(n)).where(F.col(value).isNotNull())
 
 
 def group_moments(values: DataFrame, key, value: str = "v", mean: str | None = "mean",

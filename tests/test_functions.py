@@ -122,3 +122,14 @@ def test_normalise_text(spark):
 def test_normalise_is_idempotent(spark):
     df = spark.createDataFrame([(v,) for v, _ in NORMALISED], "v string").select(normalise_text("v").alias("n"))
     assert df.where(normalise_text("n") != F.col("n")).count() == 0
+
+
+def test_parse_double_fast_path_equals_grammar(spark):
+    from assayframe.functions.values import JVM_DOUBLE
+    rnd = random.Random(3)
+    alpha = list("0123456789.eE+-dDfFxXpPabcnNiItyAB \t")
+    vals = ["".join(rnd.choice(alpha) for _ in range(rnd.randint(0, 9))) for _ in range(20000)]
+    vals += ["Infinity", "-Infinity", "NaN", "+NaN", "inf", "nan", "INF", "Inf", "infinity", "0x1p3", "1d"]
+    df = spark.createDataFrame([(v,) for v in vals], "v string")
+    by_grammar = F.regexp_extract(jvm_trim(F.col("v")), JVM_DOUBLE, 0).try_cast("double")
+    assert df.where(~parse_double("v").eqNullSafe(by_grammar)).count() == 0
