@@ -234,6 +234,14 @@ def _alternatives() -> dict[str, str]:
         "left join limits t on lower(m.category) = t.category_key and lower(m.analyte) = t.analyte_key) "
         "group by category having count_if(flag in ('YES', 'NO')) > 0")
     return {
+        "profile_distinct_category": _raw("select distinct f1 as category from lines where n_fields > 7"),
+        "profile_distinct_country": _raw("select distinct f7 as country from lines where n_fields > 7"),
+        "profile_value_count": _raw("select count_if(lower(f1) = 'household') as n from lines where n_fields > 7"),
+        "profile_reading_range": _raw(
+            f"select count(v) as n_valid, coalesce(min(v), 0.0) as min_reading, coalesce(max(v), 0.0) as max_reading, "
+            f"round(coalesce(avg(v), 0.0), {ROUND}) as avg_reading "
+            f"from (select {f5('f4')} as v from lines where n_fields > 7)"),
+        "stream_clean_records": _raw(f"select {CLEAN_12} from enriched", True),
         "audit_unknown_rate_country_alt": _raw(
             "select country_alt, count_if(lower(reading) = 'unknown')::double / count(*) as rate "
             "from enriched group by country_alt", True),

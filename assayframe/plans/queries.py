@@ -25,6 +25,7 @@ from assayframe.operators.alternatives import (
 from assayframe.operators.classify import classify
 from assayframe.operators.cleaning import (
     CLEAN_ARITY,
+    PROFILE_ARITY,
     clean_records,
     required_fields,
     valid_readings,
@@ -45,7 +46,8 @@ from assayframe.operators.stats import group_stats
 from assayframe.plans import fixtures as fx
 from assayframe.session import scratch_path
 from assayframe.sources.clean import CLEAN_COLUMNS, preview, register_table, scan_clean, write_clean
-from assayframe.sources.text import arity_guard, drop_header, field, parse_csv, scan_lines
+from assayframe.sources.text import arity_guard, drop_header, field, fields_to_columns, parse_csv, scan_lines
+from assayframe.streaming.clean_stream import clean_stream, read_line_stream, write_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOP_K = 20
@@ -260,6 +262,38 @@ def q_audit_na_rate_country_alt(spark, sf):
     return rank_by(na_rate(_clean_tsv(spark, sf), "country_alt"), "rate", "country_alt", k=None)
 
 
+def _profiled(spark, sf):
+    """Profiling reads the raw, uncleaned fields of records with > 7 fields."""
+    return fields_to_columns(arity_guard(_parsed(spark, sf), PROFILE_ARITY), CLEAN_COLUMNS[:-1])
+
+
+def q_profile_distinct_category(spark, sf):
+    return distinct_values(_profiled(spark, sf), "category")
+
+
+def q_profile_distinct_country(spark, sf):
+    return distinct_values(_profiled(spark, sf), "country")
+
+
+def q_profile_value_count(spark, sf):
+    return value_count(_profiled(spark, sf), "category", "household")
+
+
+def q_profile_reading_range(spark, sf):
+    res = reading_range(_profiled(spark, sf))
+    return res.withColumn("avg_reading", F.round("avg_reading", ROUND))
+
+
+def q_stream_clean_records(spark, sf):
+    """The cleaning job as a Structured Streaming query over the raw-line
+    files (processed once with an available-now trigger), read back."""
+    out = scratch_path(spark, "stream_clean")
+    lines = read_line_stream(spark, fx.raw_lines_path(spark, sf))
+    q = write_stream(clean_stream(lines, fx.raw_limits(spark), fx.raw_synonyms(spark), fx.RAW_HEADER), out)
+    q.awaitTermination()
+    return scan_clean(spark, out, fmt="parquet")
+
+
 # ---------------------------------------------- alternatives (several limits …)
 def q_hazard_rate_by_authority(spark, sf):
     limits = authority_limits(spark, fx.authority_limit_rows())
@@ -347,6 +381,11 @@ def registry() -> dict[str, Query]:
         "scan_clean": q_scan_clean,
         "clean_roundtrip": q_clean_roundtrip,
         "preview": q_preview,
+        "profile_distinct_category": q_profile_distinct_category,
+        "profile_distinct_country": q_profile_distinct_country,
+        "profile_value_count": q_profile_value_count,
+        "profile_reading_range": q_profile_reading_range,
+        "stream_clean_records": q_stream_clean_records,
         "audit_unknown_rate_country_alt": q_audit_unknown_rate_country_alt,
         "audit_na_rate_country_alt": q_audit_na_rate_country_alt,
         "hazard_rate_by_authority": q_hazard_rate_by_authority,
