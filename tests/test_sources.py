@@ -1,5 +1,3 @@
-import time
-
 from pyspark.sql import functions as F
 
 from assayframe.operators import clean_records, cleaning_report, limit_frame, synonym_frame, valid_readings
