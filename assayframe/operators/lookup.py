@@ -98,14 +98,20 @@ def limit_lookup(df: DataFrame, limits: DataFrame, category: str = "category", a
 
 def canonical_item(df: DataFrame, synonyms: DataFrame | None, item: str = "item", out: str | None = None,
                    alias_col: str = "alias", canonical_col: str = "canonical",
-                   normalise: bool = True, **kw) -> DataFrame:
+                   normalise: bool = True, normalise_keys: bool = False, **kw) -> DataFrame:
     """Normalise ``item`` (unless ``normalise=False``) and replace it by its
     canonical name when the normalised text is a dictionary key; otherwise the
-    normalised text stays. One step, not transitive."""
+    normalised text stays. One step, not transitive.
+
+    Keys are used as given, so a key holding characters that normalisation
+    removes (a hyphen, say) never matches. ``normalise_keys=True`` normalises
+    the keys too (they must still be unique afterwards)."""
     out = out or item
     text = normalise_text(F.col(item)) if normalise else F.col(item)
     if synonyms is None:
         return df.withColumn(out, text)
+    if normalise_keys:
+        synonyms = synonyms.select(normalise_text(F.col(alias_col)).alias(alias_col), F.col(canonical_col))
     staged = df.withColumn("__item_norm", text)
     joined = lookup(staged, synonyms, on=[(F.col("__item_norm"), alias_col)],
                     values=[(canonical_col, "__item_canon")], what="synonyms", **kw)

@@ -204,3 +204,30 @@ def test_alternatives_bounds_imputation_weights(spark):
                                     ("y", "jewelry", "lead", 100.0)])
     got = {(r[0], r[1]): r[2] for r in hazard_rate_by_authority(df, lims, "country").collect()}
     assert got == {("x", "IN"): 0.5, ("x", "PE"): 1.0, ("y", "IN"): 0.5, ("y", "PE"): 0.0}
+
+
+def test_canonical_item_normalised_keys_opt_in(spark):
+    syn = synonym_frame(spark, [("khmeli-suneli", "khmeli suneli")])
+    df = spark.createDataFrame([("Khmeli-Suneli",)], "item string")
+    assert [r[0] for r in canonical_item(df, syn).collect()] == ["khmelisuneli"]
+    assert [r[0] for r in canonical_item(df, syn, normalise_keys=True).collect()] == ["khmeli suneli"]
+
+
+def test_required_fields_all_and_any(spark):
+    from assayframe.operators import required_fields
+    from assayframe.sources.text import FIELDS
+    df = spark.createDataFrame([(["0", "x", "", "unknown", "1"],), (["0", "", " ", "UNKNOWN", "unknown or not stated"],),
+                                (["0", "a", "b", "c", "d"],)], f"{FIELDS} array<string>")
+    assert required_fields(df).count() == 1
+    assert required_fields(df, mode="any").count() == 2
+
+
+def test_cleaning_functions_idempotent(spark):
+    from assayframe.functions import clean_reading, standardise_missing
+    rnd = random.Random(5)
+    alpha = list('aAnN/ ,"0123456789.-eEuUkKoOwWlL\t')
+    vals = ["".join(rnd.choice(alpha) for _ in range(rnd.randint(0, 10))) for _ in range(3000)]
+    df = spark.createDataFrame([(v,) for v in vals], "v string")
+    once = df.select(standardise_missing("v").alias("s"), clean_reading("v").alias("r"))
+    again = once.where((standardise_missing("s") != F.col("s")) | (clean_reading("r") != F.col("r")))
+    assert again.count() == 0
