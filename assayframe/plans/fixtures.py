@@ -60,11 +60,12 @@ def measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
     pa = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_name", "p_brand")
     su = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     na = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    # supplier ⋈ nation first: both are small dimensions, so the fact table
-    # meets one pre-joined side instead of two.
-    sn = su.join(na, su.s_nationkey == na.n_nationkey).select("s_suppkey", "n_name")
+    # A plain chain: each dimension keeps its own size statistics, so the
+    # planner can broadcast the small ones (a pre-joined supplier ⋈ nation has
+    # no usable estimate and turned into a sort-merge join of the facts).
     joined = (li.join(pa, li.l_partkey == pa.p_partkey)
-                .join(sn, li.l_suppkey == sn.s_suppkey))
+                .join(su, li.l_suppkey == su.s_suppkey)
+                .join(na, su.s_nationkey == na.n_nationkey))
     reading = F.when(F.col("l_discount") == 0.0, F.lit("Unknown")).otherwise(F.col("l_quantity").cast("string"))
     return joined.select(
         F.col("l_orderkey").alias("record_id"), F.col("p_type").alias("category"), F.col("p_name").alias("item"),
