@@ -4,9 +4,11 @@
 Dimension frames are checked before use:
 - key uniqueness (a map literal keeps one value per key, a join would fan
   out), failing clearly on duplicates;
-- a proven row bound (``limit(bound + 1).count()``) decides between a
-  broadcast hash join and a shuffled join; AQE may still switch at runtime.
-Both checks are small actions on the dimension only, never on the facts.
+- a proven row count decides between a broadcast hash join and a shuffled
+  join; AQE may still switch at runtime.
+A dimension built from driver-side rows (``limit_frame``, ``synonym_frame``)
+is checked on the driver and carries its count; any other DataFrame gets one
+grouped-count job over the dimension (never over the facts).
 """
 
 from __future__ import annotations
@@ -80,7 +82,7 @@ def lookup(df: DataFrame, dim: DataFrame, on: Sequence[tuple[Column, str]], valu
     left = df.select("*", *[expr.alias(f"__lf_{i}") for i, (expr, _) in enumerate(on)])
     cond = [F.col(f"__lf_{i}") == F.col(tmp[k]) for i, (_, k) in enumerate(on)]
     joined = left.join(d, cond, "left")
-    out_cols = [F.col(c) for c in df.columns] + [F.col(vtmp[v]).alias(name) for v, name in values]
+    out_cols = [F.col(f"`{c}`") for c in df.columns] + [F.col(vtmp[v]).alias(name) for v, name in values]
     return joined.select(*out_cols)
 
 

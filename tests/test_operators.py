@@ -231,3 +231,10 @@ def test_cleaning_functions_idempotent(spark):
     once = df.select(standardise_missing("v").alias("s"), clean_reading("v").alias("r"))
     again = once.where((standardise_missing("s") != F.col("s")) | (clean_reading("r") != F.col("r")))
     assert again.count() == 0
+
+
+def test_lookup_keeps_odd_column_names(spark):
+    df = spark.createDataFrame([("Food-Spice", "Lead", "2", 1)], "category string, analyte string, reading string, `a.b` int")
+    out = limit_lookup(df, limit_frame(spark, LIMITS))
+    assert out.columns == ["category", "analyte", "reading", "a.b", "max_reading"]
+    assert rows(out) == [("Food-Spice", "Lead", "2", 1, 1.0)]
