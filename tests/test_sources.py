@@ -113,3 +113,22 @@ def test_streaming_running_rate(spark, tmp_path):
     q.awaitTermination(120)
     got = {r["category"]: r["rate"] for r in spark.table("na_rates_test").collect()}
     assert got == {"Food-Spice": 0.5, "Cosmetics": 0.0, "Unknown": 1.0}
+
+
+def test_four_jobs_end_to_end(spark, tmp_path):
+    from assayframe.plans.jobs import analytics_job, audit_job, clean_job, profile_job
+    raw = str(tmp_path / "raw_jobs")
+    write_lines(raw, LINES)
+    prof = profile_job(spark, raw)
+    assert prof["records"].collect()[0][0] == 7
+    assert {r[0] for r in prof["categories"].collect()} == {"Food-Spice", "UNKNOWN", "Cosmetics", "null"}
+    assert prof["reading_range"].collect()[0]["n_valid"] == 5
+    for fmt in ("parquet", "tsv"):
+        out = str(tmp_path / f"clean_jobs_{fmt}")
+        rep = clean_job(spark, raw, out, limit_frame(spark, LIMITS), None, fmt=fmt).collect()[0]
+        assert rep["cleaned_records"] == 4 and rep["na_flags"] == 2
+        res = analytics_job(spark, out, fmt=fmt)
+        assert dict(map(tuple, res["hazard_rate_category"].collect())) == {"Food-Spice": 1.0, "Cosmetics": 1.0}
+        assert res["median_by_category"].count() == 3
+        aud = audit_job(spark, out, fmt=fmt)
+        assert dict(map(tuple, aud["na_rate_category"].collect())) == {"Food-Spice": 0.5, "Cosmetics": 0.0, "Unknown": 1.0}
