@@ -76,6 +76,11 @@ def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parque
     return spark.table(name)
 
 
+def show_tables(spark: SparkSession) -> DataFrame:
+    """Tables and views of the current catalog database."""
+    return spark.sql("SHOW TABLES")
+
+
 def describe(spark: SparkSession, name: str) -> DataFrame:
     """Column names and types of a catalog table."""
     return spark.sql(f"DESCRIBE TABLE {name}")
