@@ -13,8 +13,8 @@ Scale design (one group may hold a third of all rows):
   would merge one value→count map per group in a single task): the histogram
   is range-partitioned on (key, value), so a hot group is split across many
   partitions; running counts are taken inside each (partition, key) slice; a
-  small table of slice totals (about partitions + groups rows) gives each
-  slice its offset; the rows holding ranks ⌊(N+1)/2⌋ and ⌊N/2⌋+1 are then
+  small table of slice totals (about partitions + groups rows, counted and
+  then broadcast) gives each slice its offset; the rows holding ranks ⌊(N+1)/2⌋ and ⌊N/2⌋+1 are then
   picked out. Exact, and every task holds one bounded slice. The sliced
   histogram is checkpointed (reliable, shared folder) so the slice of each
   row is fixed once.
@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assayframe.functions.values import UNKNOWN, parse_double
+from assayframe.operators.lookup import DEFAULT_BROADCAST_ROWS
 from assayframe.session import shared_dir
 
 STATS = ("mean", "median", "mode", "stddev")
@@ -96,6 +97,13 @@ def group_median(hist: DataFrame, key, value: str = "v", n: str = "n", out: str
     slices = (slices
               .withColumn("__offset", F.sum("__slice_n").over(by_key.orderBy("__pid")) - F.col("__slice_n"))
               .withColumn("__total", F.sum("__slice_n").over(by_key)))
+    # The slice table has at most partitions + groups - 1 rows. It is written
+    # once (so the histogram is read for it once), its count proves its size,
+    # and within the bound it is broadcast: the sliced histogram is then not
+    # shuffled again for the join.
+    slices = slices.checkpoint(eager=True)
+    if slices.count() <= DEFAULT_BROADCAST_ROWS:
+        slices = F.broadcast(slices)
     s = slices.alias("s")
     l = local.alias("l")
     cond = _null_safe_on(keys, l, s) & (F.col("l.__pid") == F.col("s.__pid"))
