@@ -155,3 +155,18 @@ def group_stats(df: DataFrame, key, stats: Sequence[str] = STATS, reading: str =
                                        *[out[c] for c in out.columns if c not in keys],
                                        *[p[c] for c in p.columns if c not in keys])
     return out.select(*keys, *[names[s] for s in STATS if s in stats])
+
+
+def group_stats_by_each(df: DataFrame, keys: Sequence[str], stats: Sequence[str] = STATS, reading: str = "reading",
+                        round_to: int | None = None, dimension: str = "dimension", key: str = "key") -> DataFrame:
+    """Statistics for several grouping columns in one pass, in long form
+    ``(dimension, key, stats…)``: each known reading is repeated once per
+    grouping column (the row expansion GROUPING SETS would do), so the facts
+    are scanned once and the histogram, mode and median run once for all
+    columns. Key values are compared as text."""
+    values = df.where(F.col(reading) != UNKNOWN).select(
+        F.explode(F.array(*[F.struct(F.lit(k).alias(dimension), F.col(k).cast("string").alias(key))
+                            for k in keys])).alias("__d"),
+        F.col(reading))
+    long = values.select(F.col(f"__d.{dimension}").alias(dimension), F.col(f"__d.{key}").alias(key), reading)
+    return group_stats(long, [dimension, key], stats=stats, reading=reading, round_to=round_to)

@@ -7,6 +7,7 @@ printing; callers ``show``, ``write`` or collect the small ones.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from assayframe.operators.cleaning import PROFILE_ARITY, clean_records
 from assayframe.operators.distribution import nested_distribution, value_distribution
@@ -20,7 +21,8 @@ from assayframe.operators.profile import (
 )
 from assayframe.operators.ranking import rank_by
 from assayframe.operators.rates import group_hits, hazard_rate, is_yes, na_rate, unknown_rate
-from assayframe.operators.stats import group_stats
+from assayframe.operators.stats import group_stats_by_each
+from assayframe.session import shared_dir
 from assayframe.sources.clean import CLEAN_COLUMNS, scan_clean, write_clean
 from assayframe.sources.text import arity_guard, drop_header, fields_to_columns, first_line, parse_csv, scan_lines
 
@@ -65,11 +67,15 @@ def analytics_job(spark: SparkSession, clean_path: str, fmt: str = "parquet", k:
     hazard rates; the makers and items with the most YES flags."""
     df = scan_clean(spark, clean_path, fmt=fmt)
     out: dict[str, DataFrame] = {}
+    # All statistics for the three grouping columns in one pass; the result
+    # (one row per group) is written once so each ranked view reads it back.
+    shared_dir(spark)
+    res = group_stats_by_each(df, ["category", country, "maker"]).checkpoint(eager=True)
     for key, stats in (("category", ("mean", "median", "mode", "stddev")), (country, ("mean", "median", "mode")),
                        ("maker", ("mean", "median", "mode"))):
-        res = group_stats(df, key, stats=stats)
+        part = res.where(F.col("dimension") == key).select(F.col("key").alias(key), *stats)
         for stat in stats:
-            out[f"{stat}_by_{key}"] = rank_by(res.select(key, stat), stat, key, k=k)
+            out[f"{stat}_by_{key}"] = rank_by(part.select(key, stat), stat, key, k=k)
     out["analyte_distribution"] = rank_by(value_distribution(df, "analyte"), "n", "analyte", k=k)
     out["category_per_analyte"] = nested_distribution(df, "analyte", "category").orderBy("analyte")
     out["hazard_rate_category"] = rank_by(hazard_rate(df, "category"), "rate", "category", k=k)

@@ -279,6 +279,13 @@ def oracle() -> dict[str, str]:
         for stat in ("mean", "median", "mode"):
             q[f"{stat}_by_{key}"] = _stat(key, stat)
     q["stddev_by_category"] = _stat("category", "stddev")
+    q["stats_by_each_key"] = _meas(" union all ".join(
+        f"select * from (select '{k}' as dimension, s.{k} as key, s.mean, s.median, d.mode, s.stddev from "
+        f"(select {k}, round(avg(v), {ROUND}) as mean, median(v) as median, round(stddev_pop(v), {ROUND}) as stddev "
+        f"from ({_KNOWN.format(k=k)}) group by {k}) s join "
+        f"(select {k}, v as mode from (select {k}, v, row_number() over (partition by {k} order by n desc, v asc) "
+        f"as rn from (select {k}, v, count(*) as n from ({_KNOWN.format(k=k)}) group by {k}, v)) where rn = 1) d "
+        f"using ({k}))" for k in ("category", "country", "maker")))
     known = _KNOWN.format(k="maker")
     q.update({
         "top_k_groups": _meas(f"select maker, round(avg(v), {ROUND}) as mean from ({known}) group by maker "

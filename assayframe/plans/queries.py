@@ -42,7 +42,7 @@ from assayframe.operators.profile import (
 )
 from assayframe.operators.ranking import rank_by
 from assayframe.operators.rates import group_hits, hazard_rate, is_yes, na_rate, unknown_rate
-from assayframe.operators.stats import group_stats
+from assayframe.operators.stats import group_stats, group_stats_by_each
 from assayframe.plans import fixtures as fx
 from assayframe.session import scratch_path
 from assayframe.sources.clean import CLEAN_COLUMNS, preview, register_table, scan_clean, write_clean
@@ -117,6 +117,11 @@ def _stat_query(key: str, stat: str) -> Query:
     return q
 
 
+def q_stats_by_each_key(spark, sf):
+    """Mean, median, mode and σ by category, country and maker in one pass."""
+    return group_stats_by_each(fx.measurements(spark, sf), ["category", "country", "maker"], round_to=ROUND)
+
+
 def q_top_k_groups(spark, sf):
     """The 20 makers with the highest mean reading."""
     res = group_stats(fx.measurements(spark, sf), "maker", stats=("mean",), round_to=ROUND)
@@ -355,6 +360,7 @@ def registry() -> dict[str, Query]:
         for stat in ("mean", "median", "mode"):
             q[f"{stat}_by_{key}"] = _stat_query(key, stat)
     q["stddev_by_category"] = _stat_query("category", "stddev")
+    q["stats_by_each_key"] = q_stats_by_each_key
     q.update({
         "top_k_groups": q_top_k_groups,
         "analyte_distribution": q_analyte_distribution,

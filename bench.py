@@ -37,6 +37,7 @@ HEADLINE = [
     "median_by_maker",
     "mode_by_maker",
     "stddev_by_category",
+    "stats_by_each_key",
     "top_k_groups",
     "category_per_analyte",
     "reading_range",
