@@ -238,3 +238,32 @@ def test_lookup_keeps_odd_column_names(spark):
     out = limit_lookup(df, limit_frame(spark, LIMITS))
     assert out.columns == ["category", "analyte", "reading", "a.b", "max_reading"]
     assert rows(out) == [("Food-Spice", "Lead", "2", 1, 1.0)]
+
+
+def test_stats_match_brute_force_and_multi_key_form(spark):
+    from assayframe.operators.stats import group_stats_by_each
+    rnd = random.Random(23)
+    rows_ = []
+    for i in range(2000):
+        rows_.append((f"c{rnd.randint(0, 6)}", f"m{rnd.randint(0, 40)}",
+                      "Unknown" if rnd.random() < 0.1 else str(rnd.randint(0, 30) / 2)))
+    df = spark.createDataFrame(rows_, "category string, maker string, reading string")
+    got = {r["category"]: r for r in group_stats(df, "category").collect()}
+    by = {}
+    for c, _, v in rows_:
+        if v != "Unknown":
+            by.setdefault(c, []).append(float(v))
+    for c, vals in by.items():
+        counts = {}
+        for v in vals:
+            counts[v] = counts.get(v, 0) + 1
+        top = max(counts.values())
+        assert got[c]["median"] == statistics.median(vals)
+        assert got[c]["mode"] == min(v for v, n in counts.items() if n == top)
+        assert got[c]["mean"] == pytest.approx(statistics.fmean(vals), rel=1e-12)
+        assert got[c]["stddev"] == pytest.approx(statistics.pstdev(vals), rel=1e-9)
+    each = group_stats_by_each(df, ["category", "maker"], round_to=6)
+    for key in ("category", "maker"):
+        single = {tuple(r) for r in group_stats(df, key, round_to=6).collect()}
+        multi = {tuple(r)[1:] for r in each.where(F.col("dimension") == key).collect()}
+        assert multi == single
