@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from assayframe.plans.queries import registry  # noqa: E402
 from assayframe.session import build_session  # noqa: E402
 
-QUERIES = ["classify", "hazard_country_over_half", "top_makers", "mean_by_maker", "median_by_maker",
+QUERIES = ["classify", "hazard_country_over_half", "top_makers", "mean_by_maker", "median_by_maker", "stats_by_each_key",
            "mode_by_maker", "category_per_analyte", "clean_records", "cleaning_report", "normalise_text",
            "hazard_rate_by_authority", "hazard_rate_imputed_category"]
 NODE = re.compile(r"^\(\d+\) (.+?)\s*$")
