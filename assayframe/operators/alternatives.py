@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from assayframe.functions.values import NO_LIMIT, UNKNOWN, parse_double
 from assayframe.operators.classify import NO, YES
-from assayframe.operators.lookup import limit_frame, limit_lookup
+from assayframe.operators.lookup import DEFAULT_BROADCAST_ROWS, limit_frame, limit_lookup
 from assayframe.operators.stats import _null_safe_on, group_moments, known_values
+from assayframe.session import shared_dir
 
 
 def authority_limits(spark, rows: Sequence[tuple[str, str, str, float]]) -> dict[str, DataFrame]:
@@ -102,9 +103,15 @@ def hazard_rate_bounds(df: DataFrame, key: str, reading: str = "reading", limit:
 
 def impute_group_mean(df: DataFrame, key: str, reading: str = "reading", out: str = "value") -> DataFrame:
     """Numeric reading with each Unknown replaced by the mean of the known
-    readings of its group. The means are one row per group, joined back (a
-    broadcast once AQE sees their size), so no group is gathered in one task."""
+    readings of its group. The means are one row per group, joined back, so
+    no group is gathered in one task."""
     means = group_moments(known_values(df, key, reading), key, mean="__mean", stddev=None)
+    # One row per group: written once, counted, and broadcast within the bound
+    # (otherwise a shuffled join, where AQE splits a hot key).
+    shared_dir(df.sparkSession)
+    means = means.checkpoint(eager=True)
+    if means.count() <= DEFAULT_BROADCAST_ROWS:
+        means = F.broadcast(means)
     joined = df.join(means, _null_safe_on([key], df, means), "left").drop(means[key])
     known = F.when(F.col(reading) != UNKNOWN, parse_double(F.col(reading)))
     return joined.withColumn(out, F.coalesce(known, F.col("__mean"))).drop("__mean")
