@@ -132,3 +132,20 @@ def test_four_jobs_end_to_end(spark, tmp_path):
         assert res["median_by_category"].count() == 3
         aud = audit_job(spark, out, fmt=fmt)
         assert dict(map(tuple, aud["na_rate_category"].collect())) == {"Food-Spice": 0.5, "Cosmetics": 0.0, "Unknown": 1.0}
+
+
+def test_streaming_rates_accumulate_over_batches(spark, tmp_path):
+    import os
+    src = str(tmp_path / "incoming3")
+    os.makedirs(src)
+    body = [line for line in LINES if line != HEADER]
+    for i, chunk in enumerate((body[:3], body[3:])):
+        with open(f"{src}/part-{i}.txt", "w") as f:
+            f.write("\n".join([HEADER] + chunk) + "\n")
+    lim = limit_frame(spark, LIMITS)
+    stream = clean_stream(read_line_stream(spark, src, max_files_per_trigger=1), lim, None, HEADER)
+    q = write_rates(running_rate(stream, "category", F.lower("flag") == "na"), "na_rates_batches")
+    q.awaitTermination(180)
+    assert len(q.recentProgress) >= 2                      # one micro-batch per file
+    got = {r["category"]: (r["hits"], r["rows"]) for r in spark.table("na_rates_batches").collect()}
+    assert got == {"Food-Spice": (1, 2), "Cosmetics": (0, 1), "Unknown": (1, 1)}
