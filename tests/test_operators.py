@@ -267,3 +267,15 @@ def test_stats_match_brute_force_and_multi_key_form(spark):
         single = {tuple(r) for r in group_stats(df, key, round_to=6).collect()}
         multi = {tuple(r)[1:] for r in each.where(F.col("dimension") == key).collect()}
         assert multi == single
+
+
+def test_nested_distribution_splits_beyond_the_bound(spark):
+    df = spark.createDataFrame([("lead", f"c{i}") for i in range(40)] + [("zinc", "c1")],
+                               "analyte string, category string")
+    one = nested_distribution(df, "analyte", "category")
+    assert one.columns == ["analyte", "counts"] and one.count() == 2
+    split = nested_distribution(df, "analyte", "category", max_list=10)
+    assert "part" in split.columns and split.count() > 2
+    assert max(len(r["counts"]) for r in split.collect()) <= 10
+    flat = sorted((r["analyte"], c["category"], c["n"]) for r in split.collect() for c in r["counts"])
+    assert flat == sorted([("lead", f"c{i}", 1) for i in range(40)] + [("zinc", "c1", 1)])
