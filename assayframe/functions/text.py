@@ -59,9 +59,10 @@ def split_csv(line) -> Column:
     """Quote-aware comma split of one line into ``array<string>``.
 
     A comma separates fields iff an even number of quotes follows it on the
-    line. Linear-time form: split the line at quotes; the commas of segment
-    ``i`` of ``m`` are separators iff ``m - 1 - i`` is even; turn those into a
-    stand-in character, rejoin, split at the stand-in. Empty trailing fields
+    line. Linear-time form: split the line at quotes; the commas of the
+    segment that is ``j``-th from the end (counting from 0) are separators
+    iff ``j`` is even; turn those into a stand-in character, rejoin, split at
+    the stand-in. Empty trailing fields
     are kept. Each field is then trimmed and loses one leading and one
     trailing quote. Doubled quotes inside a field are left as they are.
     """
