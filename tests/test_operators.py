@@ -279,3 +279,10 @@ def test_nested_distribution_splits_beyond_the_bound(spark):
     assert max(len(r["counts"]) for r in split.collect()) <= 10
     flat = sorted((r["analyte"], c["category"], c["n"]) for r in split.collect() for c in r["counts"])
     assert flat == sorted([("lead", f"c{i}", 1) for i in range(40)] + [("zinc", "c1", 1)])
+
+
+def test_stats_with_integer_and_null_keys(spark):
+    df = spark.createDataFrame([(1, "4"), (1, "2"), (2, "7"), (None, "3"), (None, "5"), (None, "5")],
+                               "grp int, reading string")
+    got = {r[0]: (r[1], r[2]) for r in group_stats(df, "grp", stats=("median", "mode")).collect()}
+    assert got == {1: (3.0, 2.0), 2: (7.0, 7.0), None: (5.0, 5.0)}
