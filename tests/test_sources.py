@@ -149,3 +149,11 @@ def test_streaming_rates_accumulate_over_batches(spark, tmp_path):
     assert len(q.recentProgress) >= 2                      # one micro-batch per file
     got = {r["category"]: (r["hits"], r["rows"]) for r in spark.table("na_rates_batches").collect()}
     assert got == {"Food-Spice": (1, 2), "Cosmetics": (0, 1), "Unknown": (1, 1)}
+
+
+def test_cleaning_report_with_nothing_left(spark, tmp_path):
+    raw = str(tmp_path / "raw_empty")
+    write_lines(raw, [HEADER, "", "a,b", "1,UNKNOWN,x,Lead,5,u,m,c,c,,"])
+    rep = cleaning_report(scan_lines(spark, raw), limit_frame(spark, LIMITS), None, header=HEADER).collect()[0]
+    assert rep.asDict() == {"raw_records": 3, "cleaned_records": 0, "dropped": 3, "unknown_readings": 0,
+                            "unknown_percent": 0, "na_flags": 0}
