@@ -157,3 +157,15 @@ def test_cleaning_report_with_nothing_left(spark, tmp_path):
     rep = cleaning_report(scan_lines(spark, raw), limit_frame(spark, LIMITS), None, header=HEADER).collect()[0]
     assert rep.asDict() == {"raw_records": 3, "cleaned_records": 0, "dropped": 3, "unknown_readings": 0,
                             "unknown_percent": 0, "na_flags": 0}
+
+
+def test_audit_country_column_is_an_argument(spark, tmp_path):
+    from assayframe.plans.jobs import audit_job, clean_job
+    raw = str(tmp_path / "raw_audit")
+    write_lines(raw, [HEADER, "1,Cosmetics,Kajal,Lead,12,ppm,M,India,Nepal,,", "2,Cosmetics,Kajal,Lead,-1,ppm,M,India,India,,"])
+    out = str(tmp_path / "clean_audit")
+    clean_job(spark, raw, out, limit_frame(spark, LIMITS), None)
+    by_alt = dict(map(tuple, audit_job(spark, out)["unknown_rate_country"].collect()))
+    by_country = dict(map(tuple, audit_job(spark, out, country="country")["unknown_rate_country"].collect()))
+    assert by_alt == {"Nepal": 0.0, "India": 1.0}
+    assert by_country == {"India": 0.5}
