@@ -89,8 +89,13 @@ def main():
     spark = build_session(f"local[{cpus}]")
     qs = registry()
     names = [n for n in HEADLINE if n in qs]
+    failed = {}
     for n in names:                       # warm-up pass (JIT, file listing, fixtures written)
-        run_once(spark, qs[n], sf)
+        try:
+            run_once(spark, qs[n], sf)
+        except Exception as e:  # noqa: BLE001  (report it and keep the one JSON line)
+            failed[n] = f"{type(e).__name__}: {str(e)[:200]}"
+    names = [n for n in names if n not in failed]
     times = {n: [] for n in names}
     for _ in range(runs):
         for n in names:
@@ -118,6 +123,7 @@ def main():
         "unit": "sec",
         "queries": med,
         "variants": variants,
+        "failed": failed,
         "sf": os.path.basename(sf.rstrip("/")).replace("sf", ""),
         "cpus": int(cpus),
         "runs": runs,
