@@ -47,3 +47,13 @@ def test_median_broadcasts_slices_and_never_gathers(spark):
 def test_mode_keeps_o1_state(spark):
     text = plan(spark, "mode_by_maker")
     assert "ObjectHashAggregate" not in text and "SinglePartition" not in text
+
+
+def test_scans_read_only_needed_columns(spark):
+    text = plan(spark, "mean_by_maker")
+    schemas = re.findall(r"ReadSchema: (struct<[^>]*>)", text)
+    lineitem = [s for s in schemas if "l_partkey" in s]
+    assert lineitem, schemas
+    for unused in ("l_shipdate", "l_tax", "l_extendedprice", "l_linestatus", "l_linenumber"):
+        assert unused not in lineitem[0]
+    assert re.search(r"PushedFilters: \[IsNotNull\(l_partkey\)", text)
