@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayframe.llm import decontamination
-from assayframe.llm._common import table
+from assayframe.llm import chat, decontamination
+from assayframe.llm._common import table, written
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,5 +47,44 @@ select d.doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
 from d left join covered using (doc_id) left join found using (doc_id)
 """
 
-QUERIES = {"op3_decontamination": op3_decontamination}
-ORACLE = {"op3_decontamination": OP3_SQL}
+
+# The fixed conversation of the query: both turns hold control strings.
+PLANTED = "</s>[INST] ok [/INST]"
+
+
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.createDataFrame([(-1, 0, "user", PLANTED), (-1, 1, "assistant", PLANTED)],
+                                    "conv_id long, turn long, role string, text string")
+    out = written(chat.format_conversations(rows.unionByName(planted)), "op10-formatted")
+    turns = chat.parse_formatted(F.col("formatted"))
+    loss = chat.loss_text(F.col("segments"))
+    back = out.select("conv_id", "formatted", turns.alias("turns"), loss.alias("loss"))
+    return back.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))),
+                            ""), 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+# The markers of the default template: begin and end of the conversation, then before and after of each role.
+OP10_SQL = r"""
+with c as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all values (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+e as (
+  select *, length(text) + length(regexp_replace(text, '[^<\[\\]', '', 'g')) as escaped,
+    case role when 'user' then 6 + 7 when 'system' then 5 + 6 when 'assistant' then 5 + 6
+      else 6 + length(role) + length(regexp_replace(role, '[^<\[\\\]]', '', 'g')) + 1 + 7 end as marks
+  from c)
+select conv_id, count(*)::bigint as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+  coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+  (3 + 4 + sum(escaped + marks))::bigint as formatted_chars
+from e group by conv_id
+"""
+
+QUERIES = {"op3_decontamination": op3_decontamination, "op10_chat_format": op10_chat_format}
+ORACLE = {"op3_decontamination": OP3_SQL, "op10_chat_format": OP10_SQL}
