@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayframe.llm import chat, decontamination
+from assayframe.llm import chat, decontamination, line_chunks
 from assayframe.llm._common import table, written
 
 
@@ -86,5 +86,37 @@ select conv_id, count(*)::bigint as n_turns,
 from e group by conv_id
 """
 
-QUERIES = {"op3_decontamination": op3_decontamination, "op10_chat_format": op10_chat_format}
-ORACLE = {"op3_decontamination": OP3_SQL, "op10_chat_format": OP10_SQL}
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_chunks.dedup_lines(table(spark, sf_dir, "documents"))
+
+
+OP7_SQL = r"""
+with l as (
+  select doc_id, i, line, md5(line) as h, i = len(ls) as is_last
+  from (select doc_id, string_split(text, chr(10)) as ls from documents where coalesce(text, '') <> '') t,
+       unnest(range(1, len(ls) + 1)) as u(i), unnest([ls[i]]) as v(line)),
+e as (
+  select *, is_last or substr(md5(coalesce(lag(h) over (partition by doc_id order by i), '') || h), 1, 1)
+    in ('0', '1', '2', '3') as is_end
+  from l),
+n as (
+  select *, coalesce(sum(is_end::int) over (partition by doc_id order by i rows between unbounded preceding
+    and 1 preceding), 0) as chunk from e),
+c as (
+  select doc_id, chunk, count(*) as n_lines, string_agg(line, chr(10) order by i) as txt from n group by doc_id, chunk),
+r as (
+  select *, n_lines >= 2 and row_number() over (partition by txt order by doc_id, chunk) > 1 as gone from c),
+d as (
+  select doc_id, sum(n_lines) as n_lines, count(*) as n_chunks, count(*) filter (gone) as n_removed_chunks,
+    coalesce(sum(n_lines) filter (gone), 0) as n_removed_lines,
+    coalesce(string_agg(txt, chr(10) order by chunk) filter (not gone), '') as txt
+  from r group by doc_id)
+select doc_id, coalesce(d.n_lines, 0)::bigint as n_lines, coalesce(n_chunks, 0)::bigint as n_chunks,
+  coalesce(n_removed_chunks, 0)::bigint as n_removed_chunks, coalesce(n_removed_lines, 0)::bigint as n_removed_lines,
+  coalesce(d.txt, '') as text
+from documents left join d using (doc_id)
+"""
+
+QUERIES = {"op7_line_dedup": op7_line_dedup, "op3_decontamination": op3_decontamination, "op10_chat_format": op10_chat_format}
+ORACLE = {"op7_line_dedup": OP7_SQL, "op3_decontamination": OP3_SQL, "op10_chat_format": OP10_SQL}
