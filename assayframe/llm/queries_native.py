@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayframe.llm import chat, decontamination, line_chunks
+from assayframe.llm import fingerprints as fp
 from assayframe.llm._common import table, written
 
 
@@ -118,5 +119,33 @@ select doc_id, coalesce(d.n_lines, 0)::bigint as n_lines, coalesce(n_chunks, 0):
 from documents left join d using (doc_id)
 """
 
-QUERIES = {"op7_line_dedup": op7_line_dedup, "op3_decontamination": op3_decontamination, "op10_chat_format": op10_chat_format}
+
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = fp.documents_by_key(table(spark, sf_dir, "documents"))
+    info = base.select("key", "doc_id", F.length("text").cast("long").alias("n_chars"))
+    links = written(fp.next_by_id(info), "next-document")
+    # The first half-length of each next text travels to the document it goes into.
+    half = F.floor(F.col("n_chars") / 2).cast("int")
+    heads = (links.select(F.col("key").alias("to"), "n_chars", F.col("next_key").alias("key")).join(base, "key")
+             .select(F.col("to").alias("key"), F.left("text", half).alias("head")))
+    edited = F.concat(F.left("text", (F.length("text") - F.floor(F.length("text") / 2)).cast("int")), F.col("head"))
+    changed = base.join(heads, "key").select("key", edited.alias("text"))
+    shas = changed.select("key", F.sha2("text", 256).alias("edited_sha256"))
+
+    own = fp.sample(base.select("key", "text")).withColumnRenamed("samples", "own")
+    other = fp.sample(changed).withColumnRenamed("samples", "other")
+    none = fp.no_words()
+    rows = (info.join(shas, "key").join(own, "key", "left").join(other, "key", "left")
+            .select("key", "doc_id", "n_chars", "edited_sha256", F.coalesce("own", none).alias("own"),
+                    F.coalesce("other", none).alias("other")))
+    rows = written(rows, "samples")
+    following = rows.select(F.col("key").alias("next_key"), F.col("own").alias("next"))
+    return (rows.join(links.select("key", "next_key"), "key").join(following, "next_key")
+            .select("doc_id", "n_chars", "edited_sha256", fp.as_string(F.col("own")).alias("fingerprint"),
+                    fp.as_string(F.col("other")).alias("edited_fingerprint"),
+                    fp.likeness(F.col("own"), F.col("other")).alias("near_edited"),
+                    fp.likeness(F.col("own"), F.col("next")).alias("near_next")))
+
+
+QUERIES = {"op6_fingerprints": op6_fingerprints, "op7_line_dedup": op7_line_dedup, "op3_decontamination": op3_decontamination, "op10_chat_format": op10_chat_format}
 ORACLE = {"op7_line_dedup": OP7_SQL, "op3_decontamination": OP3_SQL, "op10_chat_format": OP10_SQL}
