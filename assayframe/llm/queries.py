@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from assayframe.llm import queries_native
+from assayframe.llm import queries_free, queries_native
 
 
 def queries() -> dict:
-    return dict(queries_native.QUERIES)
+    return queries_native.QUERIES | queries_free.QUERIES
 
 
 def oracle() -> dict:
