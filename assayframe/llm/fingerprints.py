@@ -31,13 +31,20 @@ EMPTY = -1
 _SPACE = r"[\x20\x09-\x0D]+"
 
 
-def documents_by_key(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``key, doc_id, text``: one row per distinct (id, text), partitioned by the
-    key, a hash of both; what follows groups and joins on it without a shuffle."""
+def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``key, doc_id, text`` per row; the key is a hash of id and text."""
     rows = docs.select(F.col(id_col).alias("doc_id"), as_text(F.col(text_col)).alias("text"))
-    rows = rows.withColumn("key", F.xxhash64("doc_id", "text"))
-    once = Window.partitionBy("key").orderBy("key")
-    return rows.withColumn("n", F.row_number().over(once)).where("n = 1").select("key", "doc_id", "text")
+    return rows.withColumn("key", F.xxhash64("doc_id", "text"))
+
+
+def texts_by_key(rows: DataFrame) -> DataFrame:
+    """``key, text``: each document once, partitioned by the key; what follows
+    groups and joins on it without moving the text again."""
+    return rows.select("key", "text").dropDuplicates(["key"])
+
+
+def ids_by_key(rows: DataFrame) -> DataFrame:
+    return rows.select("key", "doc_id", F.length("text").cast("long").alias("n_chars")).dropDuplicates(["key"])
 
 
 def _samples(term: Column, log_weight: Column, k: int) -> list[Column]:
@@ -59,17 +66,17 @@ def _samples(term: Column, log_weight: Column, k: int) -> list[Column]:
     return out
 
 
-def sample(texts: DataFrame, k: int = SAMPLES) -> DataFrame:
-    """``key, samples`` (array of ``k`` longs) for ``key, text`` rows that are
-    partitioned by ``key``; documents without words are absent."""
+def sample(texts: DataFrame, k: int = SAMPLES, by: tuple = ("key",)) -> DataFrame:
+    """``samples`` (array of ``k`` longs) per group ``by`` of rows with a ``text``;
+    groups without words are absent."""
     words = F.filter(F.split(F.lower("text"), _SPACE), lambda w: w != "")
-    terms = texts.select("key", F.explode_outer(words).alias("word")).where("word is not null")
-    weights = (terms.select("key", F.xxhash64("word").alias("term"))
-               .groupBy("key", "term").agg(F.count("*").alias("w"))
-               .select("key", "term", F.ln(F.col("w").cast("double")).alias("log_w")))
-    mins = weights.groupBy("key").agg(*_samples(F.col("term"), F.col("log_w"), k))
+    terms = texts.select(*by, F.explode_outer(words).alias("word")).where("word is not null")
+    weights = (terms.select(*by, F.xxhash64("word").alias("term"))
+               .groupBy(*by, "term").agg(F.count("*").alias("w"))
+               .select(*by, "term", F.ln(F.col("w").cast("double")).alias("log_w")))
+    mins = weights.groupBy(*by).agg(*_samples(F.col("term"), F.col("log_w"), k))
     low = [F.col(f"s{i}").bitwiseAND(F.lit(0xFFFFFFFF)) for i in range(k)]
-    return mins.select("key", F.array(*low).alias("samples"))
+    return mins.select(*by, F.array(*low).alias("samples"))
 
 
 def no_words(k: int = SAMPLES) -> Column:
@@ -89,10 +96,9 @@ def as_string(samples: Column) -> Column:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SAMPLES) -> DataFrame:
-    """``doc_id, n_chars, samples, fingerprint`` per distinct document."""
-    base = documents_by_key(docs, id_col, text_col)
-    found = base.select("key", "doc_id", F.length("text").cast("long").alias("n_chars")).join(
-        sample(base.select("key", "text"), k), "key", "left")
+    """``key, doc_id, n_chars, samples, fingerprint`` per distinct document."""
+    rows = keyed(docs, id_col, text_col)
+    found = ids_by_key(rows).join(sample(texts_by_key(rows), k), "key", "left")
     samples = F.coalesce("samples", no_words(k))
     return found.select("key", "doc_id", "n_chars", samples.alias("samples")).withColumn(
         "fingerprint", as_string(F.col("samples")))
@@ -106,7 +112,7 @@ def next_by_id(keys: DataFrame) -> DataFrame:
     window per partition gives the follower, and the head of the next partition
     that of its last row. Only the heads, one row per partition, meet in one task.
     """
-    ranged = (keys.repartitionByRange(F.desc("doc_id"), "key")
+    ranged = (keys.repartitionByRange(F.desc("doc_id"), F.col("key"))
               .withColumn("part", F.spark_partition_id()))
     ranged = written(ranged, "ids-by-range")
     order = [F.desc("doc_id"), F.col("key")]

@@ -121,26 +121,29 @@ from documents left join d using (doc_id)
 
 
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = fp.documents_by_key(table(spark, sf_dir, "documents"))
-    info = base.select("key", "doc_id", F.length("text").cast("long").alias("n_chars"))
-    links = written(fp.next_by_id(info), "next-document")
-    # The first half-length of each next text travels to the document it goes into.
-    half = F.floor(F.col("n_chars") / 2).cast("int")
-    heads = (links.select(F.col("key").alias("to"), "n_chars", F.col("next_key").alias("key")).join(base, "key")
-             .select(F.col("to").alias("key"), F.left("text", half).alias("head")))
-    edited = F.concat(F.left("text", (F.length("text") - F.floor(F.length("text") / 2)).cast("int")), F.col("head"))
-    changed = base.join(heads, "key").select("key", edited.alias("text"))
-    shas = changed.select("key", F.sha2("text", 256).alias("edited_sha256"))
-
-    own = fp.sample(base.select("key", "text")).withColumnRenamed("samples", "own")
-    other = fp.sample(changed).withColumnRenamed("samples", "other")
+    rows = fp.keyed(table(spark, sf_dir, "documents"))
+    ids, texts = fp.ids_by_key(rows), fp.texts_by_key(rows)
+    links = written(fp.next_by_id(ids), "next-document")
+    # The first half-length of each next text travels to the document it goes into;
+    # both joins read the one shuffle of the texts by key.
+    heads = (links.select(F.col("key").alias("to"), "n_chars", F.col("next_key").alias("key")).join(texts, "key")
+             .select(F.col("to").alias("key"), F.left("text", F.floor(F.col("n_chars") / 2).cast("int")).alias("head")))
+    half = F.floor(F.length("text") / 2).cast("int")
+    both = texts.join(heads, "key").select("key", F.explode(F.array(
+        F.struct(F.lit(0).alias("side"), F.col("text").alias("text")),
+        F.struct(F.lit(1).alias("side"), F.concat(F.left("text", F.length("text") - half), "head").alias("text")),
+    )).alias("v")).select("key", "v.side", "v.text")
+    samples = fp.sample(both, by=("key", "side"))
     none = fp.no_words()
-    rows = (info.join(shas, "key").join(own, "key", "left").join(other, "key", "left")
-            .select("key", "doc_id", "n_chars", "edited_sha256", F.coalesce("own", none).alias("own"),
-                    F.coalesce("other", none).alias("other")))
-    rows = written(rows, "samples")
-    following = rows.select(F.col("key").alias("next_key"), F.col("own").alias("next"))
-    return (rows.join(links.select("key", "next_key"), "key").join(following, "next_key")
+    of = lambda side: F.coalesce(F.first(F.when(F.col("side") == side, F.col("samples")), ignorenulls=True), none)
+    pairs = samples.groupBy("key").agg(of(0).alias("own"), of(1).alias("other"))
+    shas = both.where("side = 1").select("key", F.sha2("text", 256).alias("edited_sha256"))
+    found = (ids.join(shas, "key").join(pairs, "key", "left")
+             .select("key", "doc_id", "n_chars", "edited_sha256", F.coalesce("own", none).alias("own"),
+                     F.coalesce("other", none).alias("other")))
+    found = written(found, "samples")
+    following = found.select(F.col("key").alias("next_key"), F.col("own").alias("next"))
+    return (found.join(links.select("key", "next_key"), "key").join(following, "next_key")
             .select("doc_id", "n_chars", "edited_sha256", fp.as_string(F.col("own")).alias("fingerprint"),
                     fp.as_string(F.col("other")).alias("edited_fingerprint"),
                     fp.likeness(F.col("own"), F.col("other")).alias("near_edited"),
