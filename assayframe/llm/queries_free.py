@@ -6,11 +6,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayframe.llm import token_files
+from assayframe.llm import mixing, token_files
 from assayframe.llm._common import table
 from assayframe.session import scratch_path
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-shards")
     token_files.write_token_files(table(spark, sf_dir, "documents"), path)
@@ -19,5 +23,6 @@ def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_mixing": op1_mixing,
     "op8_token_output": op8_token_output,
 }
