@@ -31,15 +31,17 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from assayframe.llm import simple8b
-from assayframe.llm._common import as_text
+from assayframe.llm._common import as_text, written
 
 MAGIC = b"S8B1"
 SHARD_IDS = 1 << 20         # a shard ends with the document that reaches this many ids
-CACHE_ENTRIES = 400_000     # per Python worker, about 100 MB
+CACHE_ENTRIES = 500_000     # per Python worker, about 120 MB
+CHUNK_BYTES = 8 << 20       # texts encoded at a time
 SHARD_SCHEMA = ("part int, shard int, first_in_part long, n_ids long, doc_ids array<long>, payload binary")
 _SPACE_LIKE = re.compile("[\\s\x1c-\x1f\x85᠎​⁠﻿]")
 
@@ -52,25 +54,39 @@ def default_tokenizer() -> str:
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes."""
 
+    JOINS = b"joins"            # marks a stretch that belongs to the one before it
+
     def __init__(self, path: str, cache_entries: int = CACHE_ENTRIES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"      # Spark runs one task per core
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.special = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
-        self.cache: dict[str, bytes | None] = {}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        # In a byte-level vocabulary a token that starts with a space starts with this letter.
+        self.spaced = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.spaced[[i for t, i in vocabulary.items() if t[0] == "\u0120"]] = True
+        self.cache: dict[str, bytes] = {}
         self.entries = cache_entries
         self.marks = dict(zip(",.", self._encode([",", "."])))
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _encode_stretches(self, units: list[str]) -> list[bytes]:
+        """Ids of each stretch with the space before it: all are encoded as one
+        text and cut where a token starts with a space."""
+        ids = np.frombuffer(self._encode([" " + " ".join(units)])[0], dtype="<u4")
+        starts = np.flatnonzero(self.spaced[ids])
+        if len(starts) != len(units) or starts[0] != 0:
+            return self._encode([" " + u for u in units])
+        raw, cuts = ids.tobytes(), [*(4 * starts).tolist(), 4 * len(ids)]
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
+
     def _learn(self, units: set[str]) -> None:
-        if len(self.cache) + len(units) > self.entries:
-            self.cache = {}
         cache, whole, marked = self.cache, set(), []
         for u in units:
-            if not u or _SPACE_LIKE.match(u) or u.startswith(self.special):
-                cache[u] = None             # belongs to the stretch before it
+            if self._joins(u):
+                cache[u] = self.JOINS
             elif len(u) > 1 and u[-1] in self.marks and u[-2].isalpha():
                 marked.append(u)            # letters and a mark are split there by the tokenizer
                 if u[:-1] not in cache:
@@ -78,7 +94,8 @@ class Encoder:
             else:
                 whole.add(u)
         order = list(whole)
-        cache.update(zip(order, self._encode([" " + u for u in order])))
+        for a in range(0, len(order), 1000):
+            cache.update(zip(order[a:a + 1000], self._encode_stretches(order[a:a + 1000])))
         for u in marked:
             cache[u] = cache[u[:-1]] + self.marks[u[-1]]
 
@@ -86,29 +103,54 @@ class Encoder:
         """A text with stretches that belong to the ones before them."""
         parts = [units[0]]
         for u in units[1:]:
-            if self.cache[u] is None:
+            if self._joins(u):
                 parts[-1] += " " + u
             else:
                 parts.append(" " + u)
         return b"".join(self._encode(parts))
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.split(" ") for t in texts]
-        need: set[str] = set()
-        for units in split:
-            need.update(units[1:])
-        new = need - self.cache.keys()
-        if len(self.cache) + len(new) > self.entries:
-            new = need                      # the cache is about to start anew
-        self._learn(new)
-        heads = self._encode([units[0] for units in split])
-        out, cache = [], self.cache
-        for units, head in zip(split, heads):
-            try:
-                out.append(head + b"".join([cache[u] for u in units[1:]]))
-            except TypeError:
-                out.append(self._joined(units))
-        return out
+    def _joins(self, unit: str) -> bool:
+        return not unit or bool(_SPACE_LIKE.match(unit)) or unit.startswith(self.special)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """``(lengths, ids)`` of an array of strings without nulls.
+
+        Arrow cuts the texts and numbers the distinct stretches; only those are
+        looked up, and the ids of all texts are gathered from theirs at once."""
+        parts = pc.split_pattern(texts, " ")
+        offsets = parts.offsets.to_numpy()
+        heads = offsets[:-1] - offsets[0]
+        coded = parts.flatten().dictionary_encode()
+        at = coded.indices.to_numpy()
+        units = coded.dictionary.to_pylist()
+        ids = list(map(self.cache.get, units))
+        if None in ids:
+            new = {u for u, i in zip(units, ids) if i is None}
+            if len(self.cache) + len(new) > self.entries:
+                self.cache, new = {}, set(units)
+            self._learn(new)
+            ids = [self.cache[u] if i is None else i for u, i in zip(units, ids)]
+        joins = np.fromiter((i is self.JOINS for i in ids), dtype=bool, count=len(ids))
+
+        # The first stretch of a text has no space before it; a text with stretches
+        # to be joined is encoded apart and its ids take the place of the first.
+        inner = joins[at]
+        inner[heads] = False
+        odd = np.logical_or.reduceat(inner, heads)
+        firsts = self._encode([units[i] for i in at[heads]])
+        for row in np.flatnonzero(odd):
+            firsts[row] = self._joined(parts[int(row)].as_py())
+        own = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
+        first_len = np.fromiter(map(len, firsts), dtype=np.int64, count=len(firsts)) // 4
+        own[joins] = 0
+        pool = np.frombuffer(b"".join([b"" if j else i for i, j in zip(ids, joins)] + firsts), dtype="<u4")
+        begin, length = (np.cumsum(own) - own)[at], own[at]
+        length[np.repeat(odd, np.diff(offsets))] = 0
+        begin[heads] = own.sum() + np.cumsum(first_len) - first_len
+        length[heads] = first_len
+        ends = np.cumsum(length)
+        where = np.arange(ends[-1]) + np.repeat(begin - ends + length, length)
+        return np.add.reduceat(length, heads), pool[where]
 
 
 def shard_bytes(lengths: np.ndarray, ids: np.ndarray) -> bytes:
@@ -135,34 +177,49 @@ def shard_values(payload: bytes) -> tuple[np.ndarray, np.ndarray]:
     return lengths, simple8b.unpack(words, offsets, n_ids, escaped)
 
 
+def _pieces(batches: Iterator[pa.RecordBatch], size: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches with about ``size`` bytes of text, one row at least."""
+    for batch in batches:
+        sizes = pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False).astype(np.int64)
+        groups = (np.cumsum(sizes) - sizes) // size
+        edges = [0, *(np.flatnonzero(np.diff(groups)) + 1).tolist(), len(sizes)]
+        for a, b in zip(edges, edges[1:]):
+            if b > a:
+                yield batch.slice(a, b - a)
+
+
 def _writer(path: str, end_id: int, shard_ids: int) -> Callable:
+    schema = pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("first_in_part", pa.int64()),
+                        ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("payload", pa.binary())])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = Encoder(path), array("I", [end_id]).tobytes()
-        part, shard, done, docs, texts, size = None, 0, 0, [], [], 0
-        schema = pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("first_in_part", pa.int64()),
-                            ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("payload", pa.binary())])
+        encoder = Encoder(path)
+        part, shard, done = 0, 0, 0
+        docs, lengths, ids, size = [], [], [], 0
 
         def flush() -> pa.RecordBatch:
-            lengths = np.array([len(t) // 4 for t in texts], dtype=np.uint64)
-            payload = shard_bytes(lengths, np.frombuffer(b"".join(texts), "<u4"))
-            return pa.RecordBatch.from_arrays(
-                [pa.array([v], t) for v, t in zip((part, shard, done, size, docs, payload), schema.types)], schema=schema)
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+            payload = shard_bytes(np.concatenate(lengths), np.concatenate(ids))
+            doc_ids = pa.concat_arrays(docs).to_pylist()
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(
+                (part, shard, done, size, doc_ids, payload), schema.types)], schema=schema)
+
+        for batch in _pieces(batches):
             part = batch.column("part")[0].as_py()
-            ids = batch.column("doc_id").to_pylist()
-            column = batch.column("text")
-            for a in range(0, len(ids), 256):       # the ids of a few hundred texts at a time
-                encoded = encoder.encode(column.slice(a, 256).to_pylist())
-                for doc_id, e in zip(ids[a:a + 256], encoded):
-                    docs.append(doc_id)
-                    texts.append(e + end)
-                    size += len(e) // 4 + 1
-                    if size >= shard_ids:
-                        yield flush()
-                        shard, done, docs, texts, size = shard + 1, done + size, [], [], 0
+            n, values = encoder.encode(batch.column("text"))
+            ends = np.cumsum(n)
+            values, n, ends = np.insert(values, ends, end_id), n + 1, ends + np.arange(1, len(n) + 1)
+            a = 0
+            while a < len(n):       # cut after the document that fills the shard
+                before = ends[a] - n[a]
+                b = min(len(n), int(np.searchsorted(ends, before + shard_ids - size)) + 1)
+                docs.append(batch.column("doc_id").slice(a, b - a))
+                lengths.append(n[a:b])
+                ids.append(values[before:ends[b - 1]])
+                size += int(ends[b - 1] - before)
+                a = b
+                if size >= shard_ids:
+                    yield flush()
+                    shard, done, docs, lengths, ids, size = shard + 1, done + size, [], [], [], 0
         if docs:
             yield flush()
     return run
@@ -205,6 +262,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     totals = shards.groupBy("part").agg(F.sum("n_ids").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    bases = written(bases, "token-bases")       # its size on disk lets the planner choose the join
     docs = shards.select("part", "first_in_part", "doc_ids", "payload").mapInArrow(
         _reader, "part int, doc_id long, start long, n_tokens long, ids binary")
     return docs.join(bases, "part").select("doc_id", (F.col("start") + F.col("base")).alias("start"), "n_tokens", "ids")
