@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayframe.llm import mixing, token_files
+from assayframe.llm import mixing, near_dup, token_files
 from assayframe.llm._common import table
 from assayframe.session import scratch_path
 
@@ -22,7 +22,12 @@ def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op8_token_output": op8_token_output,
+    "op9_near_dup": op9_near_dup,
 }
