@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import string
+import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +20,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that functions
+    run inside tasks can be imported there; like submitting it with --py-files."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    folder = tempfile.mkdtemp(prefix="assayframe-package-")
+    archive = shutil.make_archive(os.path.join(folder, "assayframe"), "zip", os.path.dirname(package),
+                                  os.path.basename(package))
+    sc.addPyFile(archive)
+    _shipped.add(sc.applicationId)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: the result no longer
     depends on the executors that computed it, and several readers share it."""

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayframe.llm import mixing, near_dup, token_files
-from assayframe.llm._common import table
+from assayframe.llm._common import ship_package, table
 from assayframe.session import scratch_path
 
 
@@ -16,6 +16,7 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     path = scratch_path(spark, "token-shards")
     token_files.write_token_files(table(spark, sf_dir, "documents"), path)
     back = token_files.read_token_files(spark, path)
@@ -23,6 +24,7 @@ def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
 
