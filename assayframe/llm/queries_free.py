@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayframe.llm import mixing, near_dup, token_files
+from assayframe.llm import kneser_ney, mixing, near_dup, token_files
 from assayframe.llm._common import ship_package, table
 from assayframe.session import scratch_path
 
@@ -15,6 +15,12 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    found = kneser_ney.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "lang", "n_bytes", "log_perplexity", "threshold", "keep")
+
+
 def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     path = scratch_path(spark, "token-shards")
@@ -30,6 +36,7 @@ def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op5_quality": op5_quality,
     "op8_token_output": op8_token_output,
     "op9_near_dup": op9_near_dup,
 }
