@@ -153,6 +153,17 @@ class Encoder:
         return np.add.reduceat(length, heads), pool[where]
 
 
+_encoders: dict[str, Encoder] = {}
+
+
+def _encoder(path: str) -> Encoder:
+    """The worker's encoder: it stays, with its cache, for the next task."""
+    if path not in _encoders:
+        _encoders.clear()
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
+
+
 def shard_bytes(lengths: np.ndarray, ids: np.ndarray) -> bytes:
     words, offsets, escaped = simple8b.pack(ids)
     head = np.array([len(lengths), len(ids), len(offsets), len(words), len(escaped)], dtype="<u8")
@@ -193,7 +204,7 @@ def _writer(path: str, end_id: int, shard_ids: int) -> Callable:
                         ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("payload", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encoder = _encoder(path)
         part, shard, done = 0, 0, 0
         docs, lengths, ids, size = [], [], [], 0
 
