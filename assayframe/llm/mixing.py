@@ -124,3 +124,18 @@ def mix_documents(docs: DataFrame, seed: int = 7) -> DataFrame:
     rows = docs.select("doc_id", "source", "lang", "text", tokens.alias("tokens"))
     rows = rows.select("doc_id", "source", "lang", form_topic(F.col("text"), F.col("tokens")).alias("topic"), "tokens")
     return mix(rows, seed=seed).select("doc_id", *DIMENSIONS, "tokens", "probability", "sampled")
+
+
+def sample_documents(docs: DataFrame, seed: int = 7) -> DataFrame:
+    """The sampled rows of ``docs``, columns unchanged. A row's cell is looked up
+    again in the cell table, so the texts are not shuffled."""
+    tokens = token_count(F.col("text"))
+    cell = {"__source": F.coalesce(F.col("source").cast("string"), F.lit("")),
+            "__lang": F.coalesce(F.col("lang").cast("string"), F.lit("")),
+            "__topic": form_topic(F.col("text"), tokens)}
+    rows = docs.select(*[c.alias(n) for n, c in cell.items()], tokens.alias("tokens"))
+    cells = written(cell_totals(rows, list(cell)), "mix-totals")
+    chances = keep_probabilities(rake(cells, tempered_targets(cells, list(cell))), list(cell))
+    chances = written(chances.withColumnRenamed("probability", "__probability"), "mix-probabilities")
+    marked = docs.withColumns(cell).join(chances, list(cell))
+    return marked.where(uniform(F.col("doc_id"), seed) < F.col("__probability")).select(*docs.columns)

@@ -44,7 +44,7 @@ SLACK = 0.2                 # signatures this far below the threshold are ruled
 
 
 def _profile(k: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("cls", pa.binary()),
+    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64()), ("n_shingles", pa.int64()), ("cls", pa.binary()),
                         ("bands", pa.list_(pa.int64())), ("sig", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -56,7 +56,7 @@ def _profile(k: int):
             bands = superminhash.band_hashes(sig, ROWS)
             empty = sizes == 0
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), pa.array(sizes),
+                batch.column("doc_id"), batch.column("fp"), pa.array(sizes),
                 pa.array([None if e else _shingles.digest(s) for e, s in zip(empty, sets)], pa.binary()),
                 pa.ListArray.from_arrays(np.arange(0, bands.size + 1, BANDS, dtype=np.int32), bands.reshape(-1)),
                 pa.array([s.tobytes() for s in sig], pa.binary()),
@@ -146,12 +146,13 @@ def _pairs_in_small(members: DataFrame, limit: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` per document row. Documents are
-    linked when their sets of ``shingle``-word shingles have
+    """``doc_id, fp, n_shingles, component_id, kept`` per document row (``fp`` is a
+    hash of the text). Documents are linked when their sets of ``shingle``-word shingles have
     100 * intersection >= ``percent`` * union."""
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), as_text(F.col(text_col)).alias("text"))
+    text = as_text(F.col(text_col))
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("fp"), text.alias("text"))
     profile = written(docs.mapInArrow(
-        _profile(shingle), "doc_id long, n_shingles long, cls binary, bands array<long>, sig binary"), "profiles")
+        _profile(shingle), "doc_id long, fp long, n_shingles long, cls binary, bands array<long>, sig binary"), "profiles")
     firsts = profile.where("cls is not null").groupBy("cls").agg(
         F.min("doc_id").alias("least_id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"),
         F.first("sig").alias("sig"))
@@ -190,12 +191,22 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
         "cls", "least_id", F.coalesce("root", "cls").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
     named = rooted.join(least, "root").select("cls", "component_id")
-    out = profile.select("doc_id", "n_shingles", "cls").join(named, "cls", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(
+    out = profile.select("doc_id", "fp", "n_shingles", "cls").join(named, "cls", "left").select(
+        "doc_id", "fp", "n_shingles", F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(
             F.col("component_id")).alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def drop_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id",
+                         text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows that are not the first of their group, columns
+    unchanged; repeated rows of the first document are one document and stay."""
+    gone = near_duplicates(docs, shingle, percent, id_col, text_col).where("not kept").select(
+        F.col("doc_id").alias("__gone_id"), F.col("fp").alias("__gone_fp"))
+    same = (docs[id_col] == gone["__gone_id"]) & (F.xxhash64(as_text(docs[text_col])) == gone["__gone_fp"])
+    return docs.join(gone, same, "left_anti")
+
+
 def _between_components(large: DataFrame, groups: DataFrame, classes: DataFrame, sets: DataFrame, percent: int,
                         min_equal: int) -> DataFrame:
     """Links inside large buckets between classes of different components.

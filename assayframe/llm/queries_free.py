@@ -31,7 +31,8 @@ def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
+    found = near_dup.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 QUERIES = {
