@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayframe.llm import kneser_ney, maxent_lm, mixing, near_dup, token_files
+from assayframe.llm import kneser_ney, maxent_lm, mixing, near_dup, suffix_dedup, token_files
 from assayframe.llm._common import ship_package, table
 from assayframe.session import scratch_path
 
@@ -15,6 +15,11 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return suffix_dedup.dedup_bytes(table(spark, sf_dir, "documents"))
+
+
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     return maxent_lm.score(table(spark, sf_dir, "documents"))
@@ -42,6 +47,7 @@ def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op4_lm_scoring": op4_lm_scoring,
     "op5_quality": op5_quality,
     "op8_token_output": op8_token_output,
