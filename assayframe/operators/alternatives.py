@@ -9,15 +9,16 @@ broadcast dimensions, one grouped aggregate; no row explosion of the facts.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assayframe.functions.values import NO_LIMIT, UNKNOWN, parse_double
 from assayframe.operators.classify import NO, YES
-from assayframe.operators.lookup import DEFAULT_BROADCAST_ROWS, limit_frame, limit_lookup
+from assayframe.operators.lookup import check_unique, limit_frame, lookup
 from assayframe.operators.stats import _null_safe_on, group_moments, known_values
-from assayframe.session import shared_dir
+from assayframe.session import write_once
 
 
 def authority_limits(spark, rows: Sequence[tuple[str, str, str, float]]) -> dict[str, DataFrame]:
@@ -39,14 +40,23 @@ def value_flag(value: Column, limit: Column) -> Column:
 def hazard_rate_by_authority(df: DataFrame, limits: Mapping[str, DataFrame], key: str,
                              category: str = "category", analyte: str = "analyte", reading: str = "reading",
                              authority: str = "authority", min_rate: float | None = None) -> DataFrame:
-    """YES / (YES + NO) per (authority, key). One lookup column per authority
-    (each a broadcast join to a checked dimension), one aggregate over one
-    scan, then the small per-key result is turned into long form."""
-    cur = df.select(key, category, analyte, reading)
+    """YES / (YES + NO) per (authority, key). The limits become one dimension
+    with a column per authority: one join, one aggregate over one scan, then the
+    small per-key result is turned into long form."""
     value = F.when(F.col(reading) != UNKNOWN, parse_double(F.col(reading)))
-    names = list(limits)
-    for i, a in enumerate(names):
-        cur = limit_lookup(cur, limits[a], category=category, analyte=analyte, out=f"__lim{i}")
+    names, pair = list(limits), ["category_key", "analyte_key"]
+    for a in names:
+        if getattr(limits[a], "_assay_unique_rows", None) is None:
+            check_unique(limits[a], pair, f"limits of {a}")
+    every = reduce(DataFrame.unionByName, [
+        limits[a].select(*pair, F.lit(i).alias("__a"), F.col("max_reading").cast("double").alias("__max"))
+        for i, a in enumerate(names)])
+    wide = every.groupBy(*pair).agg(*[F.max(F.when(F.col("__a") == i, F.col("__max"))).alias(f"__lim{i}")
+                                      for i in range(len(names))])
+    wide._assay_unique_rows = (tuple(pair), None)
+    cur = lookup(df.select(key, category, analyte, reading), wide,
+                 on=[(F.lower(F.col(category)), pair[0]), (F.lower(F.col(analyte)), pair[1])],
+                 values=[(f"__lim{i}", f"__lim{i}") for i in range(len(names))], what="limits")
     flags = [value_flag(value, F.col(f"__lim{i}")) for i in range(len(names))]
     agg = cur.groupBy(key).agg(*[x for i, f in enumerate(flags) for x in (
         F.count_if(f == YES).alias(f"__yes{i}"), F.count_if(f.isin(YES, NO)).alias(f"__dec{i}"))])
@@ -105,13 +115,9 @@ def impute_group_mean(df: DataFrame, key: str, reading: str = "reading", out: st
     """Numeric reading with each Unknown replaced by the mean of the known
     readings of its group. The means are one row per group, joined back, so
     no group is gathered in one task."""
-    means = group_moments(known_values(df, key, reading), key, mean="__mean", stddev=None)
-    # One row per group: written once, counted, and broadcast within the bound
-    # (otherwise a shuffled join, where AQE splits a hot key).
-    shared_dir(df.sparkSession)
-    means = means.checkpoint(eager=True)
-    if means.count() <= DEFAULT_BROADCAST_ROWS:
-        means = F.broadcast(means)
+    # One row per group, written once: its size in bytes is then known, and the
+    # planner broadcasts it or joins by shuffle, where AQE splits a hot key.
+    means = write_once(group_moments(known_values(df, key, reading), key, mean="__mean", stddev=None), "group-means")
     joined = df.join(means, _null_safe_on([key], df, means), "left").drop(means[key])
     known = F.when(F.col(reading) != UNKNOWN, parse_double(F.col(reading)))
     return joined.withColumn(out, F.coalesce(known, F.col("__mean"))).drop("__mean")

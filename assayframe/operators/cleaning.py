@@ -81,5 +81,5 @@ def valid_readings(lines: DataFrame, header: str | None = None, line_col: str =
     fields, reading parsed after stripping quotes and commas; text containing
     ``unknown`` or ``na`` is dropped; negatives stay."""
     parsed = arity_guard(parse_csv(drop_header(lines, header, line_col), line_col), PROFILE_ARITY)
-    v = profile_reading(field(position))
-    return parsed.select(*([F.col(line_col)] if keep_line else []), v.alias(out)).where(F.col(out).isNotNull())
+    v = F.inline(F.array(F.struct(profile_reading(field(position)).alias(out))))     # parsed once, then filtered
+    return parsed.select(*([F.col(line_col)] if keep_line else []), v).where(F.col(out).isNotNull())

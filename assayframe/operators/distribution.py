@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assayframe.session import shared_dir
-
 
 def value_distribution(df: DataFrame, key: str, out: str = "n") -> DataFrame:
     """Rows per value of ``key``."""
@@ -18,28 +16,16 @@ def pair_distribution(df: DataFrame, outer: str, inner: str, out: str = "n") ->
     return df.groupBy(outer, inner).agg(F.count(F.lit(1)).alias(out))
 
 
-MAX_LIST = 1_000_000
-
-
 def nested_distribution(df: DataFrame, outer: str, inner: str, out: str = "n", list_col: str = "counts",
-                        max_list: int = MAX_LIST) -> DataFrame:
-    """Per ``outer`` value, the sorted list of (inner, n).
-
-    Counting happens on the flat pairs first (partial aggregation), so a list
-    holds one entry per distinct ``inner`` value, never one per row. The
-    pairs are written once and the longest list is measured: within
-    ``max_list`` entries each ``outer`` value gets one row (the original
-    shape); beyond it every list is split into hash parts (an extra ``part``
-    column, several rows per value, each list about half of ``max_list``) so
-    that no task builds an unbounded list. The flat form (``pair_distribution``) needs none of this."""
-    shared_dir(df.sparkSession)
-    pairs = pair_distribution(df, outer, inner, out).checkpoint(eager=True)
-    longest = pairs.groupBy(outer).count().agg(F.max("count")).first()[0] or 0
-    entry = F.sort_array(F.collect_list(F.struct(F.col(inner), F.col(out)))).alias(list_col)
-    if longest <= max_list:
-        return pairs.groupBy(outer).agg(entry)
-    # Twice the minimum number of parts: hash buckets are balanced only in
-    # expectation, so the slack keeps each list near half the bound.
-    parts = -(-2 * longest // max_list)
-    part = F.pmod(F.xxhash64(F.col(inner)), F.lit(parts)).alias("part")
-    return pairs.groupBy(outer, part).agg(entry)
+                        digits: int = 1) -> DataFrame:
+    """``outer, part, counts``: per ``outer`` value and part, the sorted list of
+    (inner, n). ``part`` is the first ``digits`` hex digits of ``md5(inner)`` (null
+    counts as the empty string), so a list holds about 16 ** -digits of the distinct
+    inner values of its outer value. The shape is the same at every size; the caller
+    picks ``digits`` so that a list fits a row (0: one list per outer value).
+
+    Counting happens on the flat pairs first (partial aggregation): a list holds
+    one entry per distinct value, never one per row."""
+    pairs = pair_distribution(df, outer, inner, out)
+    part = F.substr(F.md5(F.coalesce(F.col(inner).cast("string"), F.lit(""))), F.lit(1), F.lit(digits)).alias("part")
+    return pairs.groupBy(outer, part).agg(F.sort_array(F.collect_list(F.struct(F.col(inner), F.col(out)))).alias(list_col))

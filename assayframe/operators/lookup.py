@@ -1,14 +1,12 @@
 """Dictionary lookups as left equi-joins: synonyms (item → canonical) and limits
 ((category, analyte) → max reading).
 
-Dimension frames are checked before use:
-- key uniqueness (a map literal keeps one value per key, a join would fan
-  out), failing clearly on duplicates;
-- a proven row count decides between a broadcast hash join and a shuffled
-  join; AQE may still switch at runtime.
-A dimension built from driver-side rows (``limit_frame``, ``synonym_frame``)
-is checked on the driver and carries its count; any other DataFrame gets one
-grouped-count job over the dimension (never over the facts).
+Dimension frames are checked for key uniqueness before use (a map literal keeps
+one value per key, a join would fan out) and fail clearly on duplicates. A
+dimension built from driver-side rows (``limit_frame``, ``synonym_frame``) is
+checked on the driver; any other DataFrame gets one grouped-count job over the
+dimension (never over the facts). Whether it is broadcast is left to the planner
+and AQE, which go by bytes: rows may hold texts of any length.
 """
 
 from __future__ import annotations
@@ -20,22 +18,10 @@ from pyspark.sql import functions as F
 
 from assayframe.functions.text import normalise_text
 
-# A broadcast copy goes to every executor: keep it well below the smallest
-# executor heap. 2M short rows is a few tens of MB.
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
 class DimensionError(ValueError):
     pass
 
 
-def row_bound(dim: DataFrame, bound: int) -> int | None:
-    """Number of rows if it is at most ``bound``, else None (reads at most
-    ``bound + 1`` rows)."""
-    n = dim.limit(bound + 1).count()
-    return n if n <= bound else None
-
-
 def dimension_profile(dim: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
     """(rows, largest number of rows sharing one key) in one job over the
     dimension: a grouped count with map-side combine, then one row."""
@@ -51,34 +37,19 @@ def check_unique(dim: DataFrame, keys: Sequence[str], what: str = "dimension") -
     return rows
 
 
-def prepare_dimension(dim: DataFrame, keys: Sequence[str], what: str,
-                      broadcast_rows: int = DEFAULT_BROADCAST_ROWS, check: bool = True,
-                      proven_rows: int | None = None) -> DataFrame:
-    """Unique-key check plus a broadcast hint when the row count is proven to
-    be within ``broadcast_rows``; otherwise a shuffled join (AQE may still
-    turn it into a broadcast once the real size is known). ``proven_rows``:
-    the dimension was built from driver-side rows already checked."""
-    if proven_rows is not None:
-        rows = proven_rows
-    else:
-        rows = check_unique(dim, keys, what) if check else row_bound(dim, broadcast_rows)
-    if rows is not None and rows <= broadcast_rows:
-        return F.broadcast(dim)
-    return dim
-
-
 def lookup(df: DataFrame, dim: DataFrame, on: Sequence[tuple[Column, str]], values: Sequence[tuple[str, str]],
-           what: str = "dimension", broadcast_rows: int = DEFAULT_BROADCAST_ROWS, check: bool = True) -> DataFrame:
+           what: str = "dimension") -> DataFrame:
     """Left join ``df`` to ``dim``; ``on`` pairs a fact expression with a
     dimension key column, ``values`` maps dimension columns to output names.
-    Rows of ``df`` are never duplicated or dropped."""
+    Rows of ``df`` are never duplicated or dropped: a repeated key fails. No join
+    is forced; the planner broadcasts a dimension by its size in bytes."""
     keys = [k for _, k in on]
     proven = getattr(dim, "_assay_unique_rows", None)
-    proven_rows = proven[1] if proven is not None and tuple(proven[0]) == tuple(keys) else None
+    if proven is None or tuple(proven[0]) != tuple(keys):
+        check_unique(dim, keys, what)
     tmp = {k: f"__lk_{i}" for i, k in enumerate(keys)}
     vtmp = {v: f"__lv_{i}" for i, (v, _) in enumerate(values)}
     d = dim.select(*[F.col(k).alias(tmp[k]) for k in keys], *[F.col(v).alias(vtmp[v]) for v, _ in values])
-    d = prepare_dimension(d, list(tmp.values()), what, broadcast_rows, check, proven_rows)
     left = df.select("*", *[expr.alias(f"__lf_{i}") for i, (expr, _) in enumerate(on)])
     cond = [F.col(f"__lf_{i}") == F.col(tmp[k]) for i, (_, k) in enumerate(on)]
     joined = left.join(d, cond, "left")
@@ -144,8 +115,7 @@ def literal_frame(spark, rows: Sequence[Sequence], columns: Sequence[str]) -> Da
 def keyed_frame(spark, rows: Sequence[Sequence], columns: Sequence[str], keys: Sequence[str],
                 what: str = "dimension") -> DataFrame:
     """``literal_frame`` whose key columns are checked for uniqueness on the
-    driver; the frame carries its proven row count, so lookups need no
-    Spark job to decide on a broadcast."""
+    driver, so lookups need no Spark job for that."""
     idx = [list(columns).index(k) for k in keys]
     seen: set = set()
     for r in rows:

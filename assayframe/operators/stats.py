@@ -3,21 +3,19 @@ population standard deviation.
 
 Scale design (one group may hold a third of all rows):
 
-* mean and σ are algebraic aggregates (partial + final), O(1) state per group.
+* mean and σ alone are algebraic aggregates (partial + final), O(1) state per group.
 * mode and median start from a value histogram ``(key, value, n)`` built by a
   spillable hash aggregate with map-side combine; a hot group shrinks to its
-  distinct values.
+  distinct values. It is written once, and every requested statistic is taken
+  from it, so the facts are scanned once.
 * mode = ``min_by(value, (-n, value))``: O(1) state per group, ties go to the
   smallest value.
 * median never puts a whole group into one task (``percentile``/``median``
   would merge one value→count map per group in a single task): the histogram
   is range-partitioned on (key, value), so a hot group is split across many
-  partitions; running counts are taken inside each (partition, key) slice; a
-  small table of slice totals (about partitions + groups rows, counted and
-  then broadcast) gives each slice its offset; the rows holding ranks ⌊(N+1)/2⌋ and ⌊N/2⌋+1 are then
-  picked out. Exact, and every task holds one bounded slice. The sliced
-  histogram is checkpointed (reliable, shared folder) so the slice of each
-  row is fixed once.
+  partitions. The totals of its (partition, key) slices tell which slices hold
+  the ranks ⌊(N+1)/2⌋ and ⌊N/2⌋+1, at most two per group; running counts are
+  taken in those alone. Exact, and every task holds one bounded slice.
 """
 
 from __future__ import annotations
@@ -29,8 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assayframe.functions.values import UNKNOWN, parse_double
-from assayframe.operators.lookup import DEFAULT_BROADCAST_ROWS
-from assayframe.session import shared_dir
+from assayframe.session import write_once
 
 STATS = ("mean", "median", "mode", "stddev")
 
@@ -43,6 +40,14 @@ def _null_safe_on(keys: Sequence[str], left: DataFrame, right: DataFrame) -> Col
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 
 
+def _join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """All columns of ``left``, then those of ``right`` but the keys, matched null-safely."""
+    named = {k: f"__right_{i}" for i, k in enumerate(keys)}
+    renamed = right.select(*[F.col(k).alias(named.get(k, k)) for k in right.columns])
+    cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(named[k])) for k in keys])
+    return left.join(renamed, cond, how).drop(*named.values())
+
+
 def known_values(df: DataFrame, key, reading: str = "reading", out: str = "v") -> DataFrame:
     """Rows whose reading is not ``Unknown`` (exact case), with the value as
     double (NULL for text that is not a number)."""
@@ -54,9 +59,25 @@ def known_values(df: DataFrame, key, reading: str = "reading", out: str = "v") -
 
 
 def histogram(values: DataFrame, key, value: str = "v", n: str = "n") -> DataFrame:
-    """``(key…, value, n)``: how often each value occurs in each group
-    (NULL values dropped after aggregation)."""
-    return values.groupBy(*_keys(key), value).agg(F.count(F.lit(1)).alias(n)).where(F.col(value).isNotNull())
+    """``(key…, value, n)``: how often each value occurs in each group (NULL
+    included: readings that are known but not numbers)."""
+    return values.groupBy(*_keys(key), value).agg(F.count(F.lit(1)).alias(n))
+
+
+def moments_of(hist: DataFrame, key, value: str = "v", n: str = "n", mean: str = "mean",
+               stddev: str | None = "stddev") -> DataFrame:
+    """Mean and σ per group from a written histogram. σ sums squared distances
+    from the mean in a second pass over it, which loses no digits. A group without
+    numbers has NULLs."""
+    keys = _keys(key)
+    number = F.col(value).isNotNull()
+    means = hist.groupBy(*keys).agg((F.sum(F.col(value) * F.col(n)) / F.sum(F.when(number, F.col(n)))).alias(mean))
+    if stddev is None:
+        return means
+    both = _join_on_keys(hist, means, keys)
+    far = F.col(n) * (F.col(value) - F.col(mean)) * (F.col(value) - F.col(mean))
+    return both.groupBy(*keys).agg(F.first(mean).alias(mean), F.sqrt(
+        F.sum(far) / F.sum(F.when(number, F.col(n)))).alias(stddev))
 
 
 def group_moments(values: DataFrame, key, value: str = "v", mean: str | None = "mean",
@@ -71,7 +92,7 @@ def group_moments(values: DataFrame, key, value: str = "v", mean: str | None = "
 
 def group_mode(hist: DataFrame, key, value: str = "v", n: str = "n", out: str = "mode") -> DataFrame:
     """Most frequent value per group; ties → smallest value."""
-    return hist.groupBy(*_keys(key)).agg(F.min_by(F.col(value), F.struct((-F.col(n)).alias("c"), F.col(value))).alias(out))
+    return hist.where(F.col(value).isNotNull()).groupBy(*_keys(key)).agg(F.min_by(F.col(value), F.struct((-F.col(n)).alias("c"), F.col(value))).alias(out))
 
 
 def group_median(hist: DataFrame, key, value: str = "v", n: str = "n", out: str = "median",
@@ -79,46 +100,31 @@ def group_median(hist: DataFrame, key, value: str = "v", n: str = "n", out: str
     """Exact median per group from a histogram (mean of the two middle values
     for an even count), computed in bounded slices (see module doc)."""
     keys = _keys(key)
-    spark = hist.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # Range bounds come from sampling, so two evaluations of this step could
-    # slice differently. Write it once to the shared checkpoint folder: both
-    # branches below then read the same slice of every row, and a lost
-    # executor recomputes from the written copy.
-    shared_dir(spark)
-    ranged = (hist.repartitionByRange(parts, *keys, value)
-                  .withColumn("__pid", F.spark_partition_id())
-                  .checkpoint(eager=True))
-    in_slice = (Window.partitionBy("__pid", *keys).orderBy(value)
-                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = ranged.withColumn("__cum", F.sum(n).over(in_slice))
-    slices = ranged.groupBy("__pid", *keys).agg(F.sum(n).alias("__slice_n"))
+    hist = hist.where(F.col(value).isNotNull())
+    parts = partitions or int(hist.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Range bounds come from sampling, so two evaluations could slice differently:
+    # the sliced histogram is written once.
+    ranged = write_once(hist.repartitionByRange(parts, *keys, value)
+                        .withColumn("__pid", F.spark_partition_id()), "median-slices")
     by_key = Window.partitionBy(*keys)
-    slices = (slices
-              .withColumn("__offset", F.sum("__slice_n").over(by_key.orderBy("__pid")) - F.col("__slice_n"))
-              .withColumn("__total", F.sum("__slice_n").over(by_key)))
-    # The slice table has at most partitions + groups - 1 rows. It is written
-    # once (so the histogram is read for it once), its count proves its size,
-    # and within the bound it is broadcast: the sliced histogram is then not
-    # shuffled again for the join.
-    slices = slices.checkpoint(eager=True)
-    if slices.count() <= DEFAULT_BROADCAST_ROWS:
-        slices = F.broadcast(slices)
-    s = slices.alias("s")
-    l = local.alias("l")
-    cond = _null_safe_on(keys, l, s) & (F.col("l.__pid") == F.col("s.__pid"))
-    j = l.join(s, cond).select(*[F.col(f"l.{k}").alias(k) for k in keys], F.col(f"l.{value}").alias(value),
-                               (F.col("s.__offset") + F.col(f"l.__cum")).alias("__hi"),
-                               F.col(f"l.{n}").alias(n), F.col("s.__total").alias("__total"))
+    slices = ranged.groupBy("__pid", *keys).agg(F.sum(n).alias("__slice_n"))
+    slices = (slices.withColumn("__offset", F.sum("__slice_n").over(by_key.orderBy("__pid")) - F.col("__slice_n"))
+                    .withColumn("__total", F.sum("__slice_n").over(by_key)))
     lo_rank = F.floor((F.col("__total") + 1) / 2)
     hi_rank = F.floor(F.col("__total") / 2) + 1
+    holds = lambda r: (F.col("__offset") < r) & (r <= F.col("__offset") + F.col("__slice_n"))
+    middle = write_once(slices.where(holds(lo_rank) | holds(hi_rank)).drop("__slice_n"), "median-middle")
+    kept = _join_on_keys(ranged, middle, [*keys, "__pid"])
+    in_slice = (Window.partitionBy("__pid", *keys).orderBy(value)
+                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    kept = kept.withColumn("__hi", F.col("__offset") + F.sum(n).over(in_slice))
     start = F.col("__hi") - F.col(n)          # ranks start+1 … __hi hold this value
     at = lambda r: (start < r) & (r <= F.col("__hi"))
-    picked = (j.where(at(lo_rank) | at(hi_rank))
-               .groupBy(*keys)
-               .agg(F.max(F.when(at(lo_rank), F.col(value))).alias("__lo"),
-                    F.max(F.when(at(hi_rank), F.col(value))).alias("__hi_v"),
-                    F.max("__total").alias("__total")))
+    picked = (kept.where(at(lo_rank) | at(hi_rank))
+                  .groupBy(*keys)
+                  .agg(F.max(F.when(at(lo_rank), F.col(value))).alias("__lo"),
+                       F.max(F.when(at(hi_rank), F.col(value))).alias("__hi_v"),
+                       F.max("__total").alias("__total")))
     med = F.when(F.col("__total") % 2 == 1, F.col("__lo")).otherwise((F.col("__lo") + F.col("__hi_v")) / 2.0)
     return picked.select(*keys, med.alias(out))
 
@@ -126,34 +132,31 @@ def group_median(hist: DataFrame, key, value: str = "v", n: str = "n", out: str
 def group_stats(df: DataFrame, key, stats: Sequence[str] = STATS, reading: str = "reading",
                 round_to: int | None = None, names: dict | None = None) -> DataFrame:
     """One row per group of known readings with the requested statistics
-    (``mean``, ``median``, ``mode``, ``stddev`` — population form)."""
+    (``mean``, ``median``, ``mode``, ``stddev`` — population form). A group whose
+    known readings are all not numbers has NULLs, whichever are requested."""
     keys = _keys(key)
     names = {s: s for s in STATS} | (names or {})
     unknown = set(stats) - set(STATS)
     if unknown:
         raise ValueError(f"unknown statistics {sorted(unknown)}")
     values = known_values(df, keys, reading)
-    parts: list[DataFrame] = []
-    if "mean" in stats or "stddev" in stats:
-        m = group_moments(values, keys, mean=names["mean"] if "mean" in stats else None,
-                          stddev=names["stddev"] if "stddev" in stats else None)
-        if round_to is not None:
-            for s in ("mean", "stddev"):
-                if s in stats:
-                    m = m.withColumn(names[s], F.round(names[s], round_to))
-        parts.append(m)
-    if "median" in stats or "mode" in stats:
-        h = histogram(values, keys)
+    if not {"median", "mode"} & set(stats):
+        out = group_moments(values, keys, mean=names["mean"] if "mean" in stats else None,
+                            stddev=names["stddev"] if "stddev" in stats else None)
+    else:
+        hist = write_once(histogram(values, keys), "histogram")
+        out = moments_of(hist, keys, mean=names["mean"], stddev=names["stddev"] if "stddev" in stats else None)
+        parts = []
         if "median" in stats:
-            parts.append(group_median(h, keys, out=names["median"]))
+            parts.append(group_median(hist, keys, out=names["median"]))
         if "mode" in stats:
-            parts.append(group_mode(h, keys, out=names["mode"]))
-    out = parts[0]
-    for p in parts[1:]:
-        cond = _null_safe_on(keys, out, p)
-        out = out.join(p, cond).select(*[out[k] for k in keys],
-                                       *[out[c] for c in out.columns if c not in keys],
-                                       *[p[c] for c in p.columns if c not in keys])
+            parts.append(group_mode(hist, keys, out=names["mode"]))
+        for p in parts:
+            out = _join_on_keys(out, p, keys, "left")
+    if round_to is not None:
+        for s in ("mean", "stddev"):
+            if s in stats:
+                out = out.withColumn(names[s], F.round(names[s], round_to))
     return out.select(*keys, *[names[s] for s in STATS if s in stats])
 
 
@@ -162,8 +165,7 @@ def group_stats_by_each(df: DataFrame, keys: Sequence[str], stats: Sequence[str]
     """Statistics for several grouping columns in one pass, in long form
     ``(dimension, key, stats…)``: each known reading is repeated once per
     grouping column (the row expansion GROUPING SETS would do), so the facts
-    are scanned once and the histogram, mode and median run once for all
-    columns. Key values are compared as text."""
+    are scanned once and one histogram serves all columns. Key values are compared as text."""
     values = df.where(F.col(reading) != UNKNOWN).select(
         F.explode(F.array(*[F.struct(F.lit(k).alias(dimension), F.col(k).cast("string").alias(key))
                             for k in keys])).alias("__d"),

@@ -6,25 +6,34 @@ printing; callers ``show``, ``write`` or collect the small ones.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from assayframe.operators.cleaning import PROFILE_ARITY, clean_records
-from assayframe.operators.distribution import nested_distribution, value_distribution
-from assayframe.operators.profile import (
-    cleaning_report,
-    distinct_values,
-    reading_range,
-    row_count,
-    row_count_grouped,
-    value_count,
+from assayframe.functions.values import NO_LIMIT, UNKNOWN, profile_reading
+from assayframe.operators.cleaning import (
+    CLEAN_ARITY,
+    PROFILE_ARITY,
+    READING_POSITION,
+    clean_columns,
+    enrich,
+    required_fields,
 )
+from assayframe.operators.distribution import nested_distribution, value_distribution
 from assayframe.operators.ranking import rank_by
-from assayframe.operators.rates import group_hits, hazard_rate, is_yes, na_rate, unknown_rate
+from assayframe.operators.rates import is_decided, is_na, is_unknown, is_yes
 from assayframe.operators.stats import group_stats_by_each
-from assayframe.session import shared_dir
+from assayframe.session import write_once
 from assayframe.sources.clean import CLEAN_COLUMNS, scan_clean, write_clean
-from assayframe.sources.text import arity_guard, drop_header, fields_to_columns, first_line, parse_csv, scan_lines
+from assayframe.sources.text import (
+    FIELDS,
+    arity_guard,
+    drop_header,
+    field,
+    fields_to_columns,
+    first_line,
+    parse_csv,
+    scan_lines,
+)
 
 # --- fixed values: what the original jobs report ------------------------------
 TOP = 20                         # rows shown per ranked result
@@ -37,19 +46,56 @@ def profile_job(spark: SparkSession, path: str, header: str | None = None) -> di
     """Record counts, distinct values and the range of valid readings of the
     raw text (uncleaned fields, records with more than 7 fields)."""
     lines = drop_header(scan_lines(spark, path), header)
+    # Two reads of the text: one for all counts, one for all distinct values.
+    summary = write_once(profile_summary(parse_csv(lines)), "profile-summary")
     fields = fields_to_columns(arity_guard(parse_csv(lines), PROFILE_ARITY), CLEAN_COLUMNS[:-1])
+    values = write_once(distinct_of_each(fields, ("category", "analyte", "maker", "country")), "profile-values")
+    of = lambda c: values.where(F.col("column") == c).select(F.col("value").alias(c))
     return {
-        "records": row_count(lines),
-        "records_grouped": row_count_grouped(lines),
-        "categories": distinct_values(fields, "category"),
-        "other_count": value_count(fields, "category", COUNTED_CATEGORY),
-        "analytes": distinct_values(fields, "analyte"),
-        "makers": distinct_values(fields, "maker"),
-        "countries": distinct_values(fields, "country"),
-        "reading_range": reading_range(fields),
+        "records": summary.select("n"),
+        "records_grouped": summary.select(F.lit("records").alias("key"), "n"),
+        "categories": of("category"),
+        "other_count": summary.select(F.col("other_count").alias("n")),
+        "analytes": of("analyte"),
+        "makers": of("maker"),
+        "countries": of("country"),
+        "reading_range": summary.select("n_valid", "min_reading", "max_reading", "avg_reading"),
     }
 
 
+def profile_summary(parsed: DataFrame) -> DataFrame:
+    """One row: records, how often ``COUNTED_CATEGORY`` is the category, and the
+    range of valid readings, in one aggregate over split lines."""
+    wide = F.size(FIELDS) > PROFILE_ARITY
+    return parsed.select(
+        F.when(wide, F.lower(field(1))).alias("category"),
+        F.when(wide, profile_reading(field(READING_POSITION))).alias("v")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("category") == COUNTED_CATEGORY.lower()).alias("other_count"),
+        F.count("v").alias("n_valid"), F.coalesce(F.min("v"), F.lit(0.0)).alias("min_reading"),
+        F.coalesce(F.max("v"), F.lit(0.0)).alias("max_reading"), F.coalesce(F.avg("v"), F.lit(0.0)).alias("avg_reading"))
+
+
+def distinct_of_each(df: DataFrame, columns) -> DataFrame:
+    """``column, value``: the distinct values of several columns in one pass."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
+    return df.select(F.inline(pairs)).distinct()
+
+
+def group_counts(df: DataFrame, keys) -> DataFrame:
+    """``dimension, key, rows, yes, decided, na, unknown`` for several grouping
+    columns in one pass; every rate is a ratio of two of them."""
+    pairs = F.array(*[F.struct(F.lit(k).alias("dimension"), F.col(k).cast("string").alias("key")) for k in keys])
+    return df.select(F.inline(pairs), "flag", "reading").groupBy("dimension", "key").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(is_yes()).alias("yes"), F.count_if(is_decided()).alias("decided"),
+        F.count_if(is_na()).alias("na"), F.count_if(is_unknown()).alias("unknown"))
+
+
+def _rate(counts: DataFrame, key: str, hits: str, among: str, above: float | None = None) -> DataFrame:
+    mine = counts.where((F.col("dimension") == key) & (F.col(among) > 0))
+    rates = mine.select(F.col("key").alias(key), (F.col(hits).cast("double") / F.col(among)).alias("rate"))
+    return rates.where(F.col("rate") > above) if above is not None else rates
+
+
 def clean_job(spark: SparkSession, path: str, out_path: str, limits: DataFrame, synonyms: DataFrame | None,
               header: str | None = None, fmt: str = "parquet") -> DataFrame:
     """Clean, normalise and flag the raw text, overwrite ``out_path`` with the
@@ -57,8 +103,19 @@ def clean_job(spark: SparkSession, path: str, out_path: str, limits: DataFrame,
     lines = scan_lines(spark, path)
     if header is None:
         header = first_line(lines)
-    write_clean(clean_records(lines, limits, synonyms, header=header), out_path, fmt=fmt)
-    return cleaning_report(lines, limits, synonyms, header=header)
+    # The input is parsed once: records are counted while the cleaned ones are
+    # written, and the report's other numbers are read back from the output.
+    seen = Observation()
+    parsed = parse_csv(drop_header(lines, header)).observe(seen, F.count(F.lit(1)).alias("raw_records"))
+    kept = required_fields(arity_guard(parsed, CLEAN_ARITY))
+    write_clean(enrich(kept.select(*clean_columns()), limits, synonyms), out_path, fmt=fmt)
+    counts = scan_clean(spark, out_path, fmt=fmt).agg(
+        F.count(F.lit(1)).alias("cleaned_records"), F.count_if(F.col("reading") == UNKNOWN).alias("unknown_readings"),
+        F.count_if(F.col("flag") == NO_LIMIT).alias("na_flags"))
+    raw = F.lit(seen.get["raw_records"]).cast("long")
+    pct = F.coalesce(F.try_divide(F.col("unknown_readings").cast("double"), F.col("cleaned_records")) * 100, F.lit(0.0))
+    return counts.select(raw.alias("raw_records"), "cleaned_records", (raw - F.col("cleaned_records")).alias("dropped"),
+                         "unknown_readings", pct.cast("int").alias("unknown_percent"), "na_flags")
 
 
 def analytics_job(spark: SparkSession, clean_path: str, fmt: str = "parquet", k: int | None = TOP,
@@ -67,10 +124,11 @@ def analytics_job(spark: SparkSession, clean_path: str, fmt: str = "parquet", k:
     hazard rates; the makers and items with the most YES flags."""
     df = scan_clean(spark, clean_path, fmt=fmt)
     out: dict[str, DataFrame] = {}
-    # All statistics for the three grouping columns in one pass; the result
-    # (one row per group) is written once so each ranked view reads it back.
-    shared_dir(spark)
-    res = group_stats_by_each(df, ["category", country, "maker"]).checkpoint(eager=True)
+    # All statistics for the three grouping columns in one pass, all rates and hits
+    # in another; the results (one row per group) are written once so that each
+    # ranked view reads them back.
+    res = write_once(group_stats_by_each(df, ["category", country, "maker"]), "job-stats")
+    counts = write_once(group_counts(df, ["category", country, "maker", "item"]), "job-counts")
     for key, stats in (("category", ("mean", "median", "mode", "stddev")), (country, ("mean", "median", "mode")),
                        ("maker", ("mean", "median", "mode"))):
         part = res.where(F.col("dimension") == key).select(F.col("key").alias(key), *stats)
@@ -78,11 +136,14 @@ def analytics_job(spark: SparkSession, clean_path: str, fmt: str = "parquet", k:
             out[f"{stat}_by_{key}"] = rank_by(part.select(key, stat), stat, key, k=k)
     out["analyte_distribution"] = rank_by(value_distribution(df, "analyte"), "n", "analyte", k=k)
     out["category_per_analyte"] = nested_distribution(df, "analyte", "category").orderBy("analyte")
-    out["hazard_rate_category"] = rank_by(hazard_rate(df, "category"), "rate", "category", k=k)
-    out["hazard_country_over_half"] = rank_by(hazard_rate(df, country, min_rate=HAZARD_CUTOFF), "rate", country, k=k)
-    out["hazard_maker_over_half"] = rank_by(hazard_rate(df, "maker", min_rate=HAZARD_CUTOFF), "rate", "maker", k=k)
-    out["top_makers"] = rank_by(group_hits(df, "maker", is_yes()), "n", "maker", k=k)
-    out["top_items"] = rank_by(group_hits(df, "item", is_yes()), "n", "item", k=k)
+    out["hazard_rate_category"] = rank_by(_rate(counts, "category", "yes", "decided"), "rate", "category", k=k)
+    out["hazard_country_over_half"] = rank_by(
+        _rate(counts, country, "yes", "decided", HAZARD_CUTOFF), "rate", country, k=k)
+    out["hazard_maker_over_half"] = rank_by(
+        _rate(counts, "maker", "yes", "decided", HAZARD_CUTOFF), "rate", "maker", k=k)
+    for name, key in (("top_makers", "maker"), ("top_items", "item")):
+        hits = counts.where((F.col("dimension") == key) & (F.col("yes") > 0))
+        out[name] = rank_by(hits.select(F.col("key").alias(key), F.col("yes").alias("n")), "n", key, k=k)
     return out
 
 
@@ -92,9 +153,10 @@ def audit_job(spark: SparkSession, clean_path: str, fmt: str = "parquet", k: int
     (the alternate country column, as the original audit read it), over
     complete cleaned records."""
     df = scan_clean(spark, clean_path, fmt=fmt, min_fields=12 if fmt == "tsv" else None)
+    counts = write_once(group_counts(df, ["category", country]), "audit-counts")
     return {
-        "unknown_rate_category": rank_by(unknown_rate(df, "category"), "rate", "category", k=k),
-        "unknown_rate_country": rank_by(unknown_rate(df, country), "rate", country, k=k),
-        "na_rate_category": rank_by(na_rate(df, "category"), "rate", "category", k=k),
-        "na_rate_country": rank_by(na_rate(df, country), "rate", country, k=k),
+        "unknown_rate_category": rank_by(_rate(counts, "category", "unknown", "rows"), "rate", "category", k=k),
+        "unknown_rate_country": rank_by(_rate(counts, country, "unknown", "rows"), "rate", country, k=k),
+        "na_rate_category": rank_by(_rate(counts, "category", "na", "rows"), "rate", "category", k=k),
+        "na_rate_country": rank_by(_rate(counts, country, "na", "rows"), "rate", country, k=k),
     }

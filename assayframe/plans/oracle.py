@@ -293,6 +293,11 @@ def oracle() -> dict[str, str]:
         "analyte_distribution": _meas("select analyte, count(*) as n from measurements group by analyte"),
         "category_per_analyte_flat": _meas("select analyte, category, count(*) as n from measurements "
                                            "group by analyte, category"),
+        "category_per_analyte": _meas(
+            "select analyte, substr(md5(category), 1, 1) as part, "
+            "string_agg(category || ':' || n, ',' order by category) as counts from "
+            "(select analyte, category, count(*) as n from measurements group by analyte, category) t "
+            "group by analyte, substr(md5(category), 1, 1)"),
         "value_count": _meas("select count_if(lower(category) = 'promo') as n from measurements"),
         "distinct_category": _meas("select distinct category from measurements"),
         "distinct_analyte": _meas("select distinct analyte from measurements"),
@@ -328,6 +333,7 @@ def oracle() -> dict[str, str]:
             "count_if(flag = 'NA') as na_flags from enriched) c", True),
         "scan_clean": _raw(f"select {CLEAN_12} from enriched", True),
         "clean_roundtrip": _raw(f"select {CLEAN_12} from enriched", True),
+        "catalog_partitioned": _raw(f"select {CLEAN_12} from enriched", True),
         "preview": _raw(f"select {CLEAN_12} from enriched order by record_id limit 10", True),
         "normalise_text": f"select doc_id, {norm('text')} as text_norm from documents",
         "canonical_item": _with(_PART_SYN) + (

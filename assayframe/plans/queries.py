@@ -137,7 +137,9 @@ def q_category_per_analyte_flat(spark, sf):
 
 
 def q_category_per_analyte(spark, sf):
-    return nested_distribution(fx.measurements(spark, sf), "analyte", "category")
+    nested = nested_distribution(fx.measurements(spark, sf), "analyte", "category")
+    entry = lambda c: F.concat(c["category"], F.lit(":"), c["n"])
+    return nested.select("analyte", "part", F.array_join(F.transform("counts", entry), ",").alias("counts"))
 
 
 def q_value_count(spark, sf):
@@ -244,6 +246,13 @@ def q_preview(spark, sf):
     return preview(spark, "clean_measurements", n=10, order_by="record_id")
 
 
+def q_catalog_partitioned(spark, sf):
+    """The cleaned records written by category and read back as a catalog table."""
+    path = scratch_path(spark, "clean_by_category")
+    write_clean(_clean(spark, sf), path, fmt="parquet", partition_by=["category"])
+    return register_table(spark, "clean_by_category", path)
+
+
 _TSV: dict[tuple[str, str], str] = {}
 
 
@@ -387,6 +396,7 @@ def registry() -> dict[str, Query]:
         "scan_clean": q_scan_clean,
         "clean_roundtrip": q_clean_roundtrip,
         "preview": q_preview,
+        "catalog_partitioned": q_catalog_partitioned,
         "profile_distinct_category": q_profile_distinct_category,
         "profile_distinct_country": q_profile_distinct_country,
         "profile_value_count": q_profile_value_count,

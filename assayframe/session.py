@@ -10,7 +10,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -59,6 +59,15 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+def write_once(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder as Parquet and read it back: several
+    readers share one evaluation, a lost executor recomputes nothing before it,
+    and the planner knows its size in bytes when it chooses a join."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str, unique: bool = True) -> str:
     """A path under the shared folder; ``unique`` adds a random suffix."""
     suffix = f"-{uuid.uuid4().hex[:12]}" if unique else ""

@@ -29,7 +29,7 @@ def write_clean(df: DataFrame, path: str, fmt: str = "parquet",
                 columns: Sequence[str] = CLEAN_COLUMNS) -> None:
     """Overwrite ``path`` with the cleaned records.
 
-    ``fmt="parquet"``: typed columns, optional ``partition_by`` (e.g.
+    ``fmt="parquet"``: named columns, optional ``partition_by`` (e.g.
     ``["category"]``) for partition pruning downstream.
     ``fmt="tsv"``: one line per record, fields joined by a tab, no header.
     """
@@ -55,7 +55,7 @@ def scan_clean(spark: SparkSession, path: str, fmt: str = "parquet",
     """
     if fmt == "parquet":
         schema = T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).parquet(path).select(*columns)     # partition columns come last otherwise
     if fmt != "tsv":
         raise ValueError(f"unknown format {fmt!r}")
     parts = F.split(F.regexp_replace(F.col("value"), "\t+$", ""), TAB, -1)
@@ -65,15 +65,35 @@ def scan_clean(spark: SparkSession, path: str, fmt: str = "parquet",
     return df.select(*[F.get(F.col("__f"), i).alias(c) for i, c in enumerate(columns)])
 
 
-def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> DataFrame:
+def partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """Names of the ``name=value`` folder levels below ``path``."""
+    names, at = [], spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    while True:
+        below = [s.getPath() for s in fs.listStatus(at) if s.isDirectory() and "=" in s.getPath().getName()]
+        if not below:
+            return names
+        names.append(below[0].getName().split("=", 1)[0])
+        at = below[0]
+
+
+def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet",
+                   columns: Sequence[str] = CLEAN_COLUMNS) -> DataFrame:
     """Catalog table over a cleaned-output folder (external: dropping it keeps
-    the files). Returns ``spark.table(name)``."""
+    the files); partitions written by ``partition_by`` are registered with it,
+    all as strings. Returns ``spark.table(name)``."""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     if fmt == "parquet":
-        spark.catalog.createTable(name, path=path, source="parquet")
+        parts = partition_columns(spark, path)
+        held = ", ".join(f"`{c}` STRING" for c in [*[c for c in columns if c not in parts], *parts])
+        by = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in parts)})" if parts else ""
+        where = path.replace("'", "\\'")
+        spark.sql(f"CREATE TABLE {name} ({held}) USING parquet{by} LOCATION '{where}'")
+        if parts:
+            spark.catalog.recoverPartitions(name)
     else:
         scan_clean(spark, path, fmt).createOrReplaceTempView(name)
-    return spark.table(name)
+    return spark.table(name).select(*columns)
 
 
 def show_tables(spark: SparkSession) -> DataFrame:

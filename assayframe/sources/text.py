@@ -25,9 +25,10 @@ def scan_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 
 
 def first_line(lines: DataFrame, col: str = LINE) -> str:
-    """The first line of the input (one small driver action). With several
-    input files the order of files is the reader's, so callers that know the
-    header should pass it to ``drop_header`` instead."""
+    """The first line of the input (one small driver action). Only a single
+    file has a first line: with several, the header must be given."""
+    if len(lines.inputFiles()) > 1:
+        raise ValueError("the input has several files: pass the header text")
     row = lines.select(col).first()
     return row[0] if row is not None else ""
 
@@ -41,7 +42,10 @@ def drop_header(lines: DataFrame, header: str | None = None, col: str = LINE) ->
 
 def parse_csv(lines: DataFrame, col: str = LINE, out: str = FIELDS) -> DataFrame:
     """Add ``fields: array<string>``: the quote-aware split of ``col``."""
-    return lines.withColumn(out, split_csv(F.col(col)))
+    # Behind a generator the split is evaluated once: filters on the fields
+    # cannot be pushed below it, where each would hold a copy of the split.
+    kept = lines.drop(out) if out in lines.columns else lines
+    return kept.select("*", F.inline(F.array(F.struct(split_csv(F.col(col)).alias(out)))))
 
 
 def arity_guard(df: DataFrame, more_than: int = 10, fields: str = FIELDS) -> DataFrame:

@@ -4,7 +4,7 @@ Parsing, guards, cleaning, both lookups and the flag are stateless row
 operations, so the batch functions apply unchanged to a streaming DataFrame
 (the lookups become stream-static broadcast joins). Rates per group are a
 stateful aggregation whose state is one (hits, rows) pair per group.
-Checkpoints live under the shared folder of ``spark.checkpoint.dir``, so a
+The default checkpoint of a written stream lies inside its output folder, so a
 restarted query resumes where it stopped.
 """
 
@@ -38,10 +38,13 @@ def clean_stream(lines: DataFrame, limits: DataFrame, synonyms: DataFrame | None
 def write_stream(df: DataFrame, path: str, checkpoint: str | None = None, fmt: str = "parquet",
                  available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
     """Append the stream to ``path``. ``available_now`` processes what is
-    there and stops; otherwise a trigger every ``processing_time``."""
-    spark = df.sparkSession
+    there and stops; otherwise a trigger every ``processing_time``.
+
+    The file sink keeps its own log of batches in ``path``, so progress and
+    output must go together: without ``checkpoint`` it is ``path/_checkpoint``
+    (readers skip it), and a second call goes on after the first."""
     writer = (df.writeStream.format(fmt).outputMode("append").option("path", path)
-                .option("checkpointLocation", checkpoint or scratch_path(spark, "stream-checkpoint")))
+                .option("checkpointLocation", checkpoint or f"{path.rstrip('/')}/_checkpoint"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time or "1 minute")
     return writer.start()
 

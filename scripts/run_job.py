@@ -35,7 +35,8 @@ def main(argv=None):
     ap.add_argument("--show", type=int, default=20)
     ap.add_argument("--results")
     a = ap.parse_args(argv)
-    spark = SparkSession.builder.appName(f"assayframe-{a.job}").getOrCreate()
+    spark = (SparkSession.builder.appName(f"assayframe-{a.job}")
+             .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true").getOrCreate())
     if a.job == "profile":
         results = jobs.profile_job(spark, a.input, a.header)
     elif a.job == "clean":

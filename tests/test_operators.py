@@ -140,7 +140,7 @@ def test_unbounded_dimension_is_not_broadcast(spark):
     try:
         dim = spark.createDataFrame([(str(i), f"c{i}") for i in range(50)], "alias string, canonical string")
         df = spark.createDataFrame([("3",), ("x",)], "item string")
-        out = lookup(df, dim, on=[(F.col("item"), "alias")], values=[("canonical", "canon")], broadcast_rows=10)
+        out = lookup(df, dim, on=[(F.col("item"), "alias")], values=[("canonical", "canon")])
         assert "BroadcastHashJoin" not in plan_of(out)
         assert sorted(rows(out), key=str) == [("3", "c3"), ("x", None)]
     finally:
@@ -169,7 +169,8 @@ def test_reading_range_keeps_negatives(spark):
 def test_nested_distribution_sorted_lists(spark):
     df = spark.createDataFrame([("lead", "b"), ("lead", "a"), ("lead", "a"), ("zinc", "c")],
                                "analyte string, category string")
-    got = {r["analyte"]: [tuple(x) for x in r["counts"]] for r in nested_distribution(df, "analyte", "category").collect()}
+    got = {r["analyte"]: [tuple(x) for x in r["counts"]]
+           for r in nested_distribution(df, "analyte", "category", digits=0).collect()}
     assert got == {"lead": [("a", 2), ("b", 1)], "zinc": [("c", 1)]}
 
 
@@ -269,16 +270,47 @@ def test_stats_match_brute_force_and_multi_key_form(spark):
         assert multi == single
 
 
-def test_nested_distribution_splits_beyond_the_bound(spark):
-    df = spark.createDataFrame([("lead", f"c{i}") for i in range(40)] + [("zinc", "c1")],
-                               "analyte string, category string")
-    one = nested_distribution(df, "analyte", "category")
-    assert one.columns == ["analyte", "counts"] and one.count() == 2
-    split = nested_distribution(df, "analyte", "category", max_list=10)
-    assert "part" in split.columns and split.count() > 2
-    assert max(len(r["counts"]) for r in split.collect()) <= 10
-    flat = sorted((r["analyte"], c["category"], c["n"]) for r in split.collect() for c in r["counts"])
-    assert flat == sorted([("lead", f"c{i}", 1) for i in range(40)] + [("zinc", "c1", 1)])
+def test_nested_distribution_has_one_shape(spark):
+    import hashlib
+    few = spark.createDataFrame([("lead", "c1"), ("zinc", None)], "analyte string, category string")
+    many = spark.createDataFrame([("lead", f"c{i}") for i in range(400)] + [("zinc", "c1")],
+                                 "analyte string, category string")
+    for df in (few, many):
+        nested = nested_distribution(df, "analyte", "category")
+        assert nested.columns == ["analyte", "part", "counts"]
+        for r in nested.collect():
+            assert r["counts"] == sorted(r["counts"], key=lambda c: c["category"] or "")
+            assert {hashlib.md5((c["category"] or "").encode()).hexdigest()[:1] for c in r["counts"]} == {r["part"]}
+    flat = sorted((r["analyte"], c["category"], c["n"])
+                  for r in nested_distribution(many, "analyte", "category", digits=2).collect() for c in r["counts"])
+    assert flat == sorted([("lead", f"c{i}", 1) for i in range(400)] + [("zinc", "c1", 1)])
+
+
+def test_groups_do_not_depend_on_the_statistics(spark):
+    df = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "1"), ("b", "3"), ("c", "Unknown"), (None, "z")],
+                               "grp string, reading string")
+    for stats in (("mean",), ("stddev",), ("median",), ("mode",), ("mean", "median"), ("mean", "median", "mode", "stddev")):
+        got = {r[0]: tuple(r)[1:] for r in group_stats(df, "grp", stats=stats).collect()}
+        assert set(got) == {"a", "b", None}
+        assert set(got["a"]) == {None} and None not in got["b"]
+
+
+def test_sigma_from_the_histogram_is_stable(spark):
+    values = [1e9 + 0.1 * i for i in range(9)] * 3
+    df = spark.createDataFrame([("a", repr(v)) for v in values], "grp string, reading string")
+    r = group_stats(df, "grp").first()
+    assert r["stddev"] == pytest.approx(__import__("statistics").pstdev(values), rel=1e-6)
+
+
+def test_long_aliases_are_not_broadcast_by_row_count(spark):
+    """A dimension under two million rows whose texts are long: the planner goes by
+    bytes, no hint overrides it."""
+    dim = spark.range(3000).select(F.concat(F.repeat(F.lit("long alias "), 1000), F.col("id")).alias("alias"),
+                                   F.col("id").cast("string").alias("canonical"))
+    df = spark.createDataFrame([("3",)], "item string")
+    out = lookup(df, dim, on=[(F.col("item"), "alias")], values=[("canonical", "canon")])
+    assert "strategy=broadcast" not in out._jdf.queryExecution().analyzed().toString()
+    assert "broadcast" not in out._jdf.queryExecution().logical().toString().lower()
 
 
 def test_stats_with_integer_and_null_keys(spark):

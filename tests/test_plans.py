@@ -36,7 +36,7 @@ def test_top_k_is_take_ordered(spark):
     assert "TakeOrderedAndProject" in text and "SinglePartition" not in text
 
 
-def test_median_broadcasts_slices_and_never_gathers(spark):
+def test_median_joins_its_few_middle_slices_and_never_gathers(spark):
     text = plan(spark, "median_by_maker")
     assert "BroadcastHashJoin" in text
     assert "Window" in text
@@ -57,3 +57,26 @@ def test_scans_read_only_needed_columns(spark):
     for unused in ("l_shipdate", "l_tax", "l_extendedprice", "l_linestatus", "l_linenumber"):
         assert unused not in lineitem[0]
     assert re.search(r"PushedFilters: \[IsNotNull\(l_partkey\)", text)
+
+
+def test_no_round_robin_shuffle(spark):
+    for name in ("hazard_country_over_half", "normalise_text", "mean_by_maker", "reading_range", "clean_records"):
+        assert "RoundRobinPartitioning" not in plan(spark, name)
+
+
+def test_lines_are_split_once(spark):
+    """One split per line and scan, however many conditions and columns use it."""
+    for name in ("clean_records", "valid_readings", "profile_distinct_category"):
+        text = plan(spark, name)
+        assert text.count("Scan text") == 1
+        assert len(re.findall(r"Generate inline\(", text)) >= 1
+        assert text.count("array_join(") == 1, name
+
+
+def test_statistics_scan_the_facts_once(spark):
+    """The histogram is the only reader of the facts: what remains reads written tables."""
+    from assayframe.operators.stats import group_stats_by_each
+    from assayframe.plans import fixtures as fx
+    facts = fx.measurements(spark, SF_SMALL)
+    text = group_stats_by_each(facts, ["category", "maker"])._jdf.queryExecution().executedPlan().toString()
+    assert "l_discount" not in text and re.search(r"ReadSchema: struct<dimension:string,key:string,v:double,n:bigint", text)

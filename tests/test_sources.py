@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from assayframe.operators import clean_records, cleaning_report, limit_frame, synonym_frame, valid_readings
@@ -169,3 +170,49 @@ def test_audit_country_column_is_an_argument(spark, tmp_path):
     by_country = dict(map(tuple, audit_job(spark, out, country="country")["unknown_rate_country"].collect()))
     assert by_alt == {"Nepal": 0.0, "India": 1.0}
     assert by_country == {"India": 0.5}
+
+
+def test_stream_called_again_goes_on(spark, tmp_path):
+    src, out = str(tmp_path / "arriving"), str(tmp_path / "stream_out")
+    lim = limit_frame(spark, LIMITS)
+    write_lines(src, [HEADER, "1,Cosmetics,Kajal,Lead,12,ppm,M,India,Nepal,,"])
+    for rows_so_far, more in ((1, "2,Cosmetics,Kohl,Lead,1,ppm,M,India,Nepal,,"), (2, None)):
+        write_stream(clean_stream(read_line_stream(spark, src), lim, None, HEADER), out).awaitTermination(120)
+        assert spark.read.parquet(out).count() == rows_so_far
+        if more:
+            with open(f"{src}/later.txt", "w") as f:
+                f.write(HEADER + "\n" + more + "\n")
+
+
+def test_partitioned_table_has_all_rows(spark, tmp_path):
+    from assayframe.sources import describe, show_tables
+    raw, out = str(tmp_path / "raw_part"), str(tmp_path / "clean_part")
+    write_lines(raw, LINES)
+    clean = clean_records(scan_lines(spark, raw), limit_frame(spark, LIMITS), None, header=HEADER)
+    write_clean(clean, out, partition_by=["category", "analyte"])
+    table = register_table(spark, "clean_partitioned", out)
+    want = sorted(map(tuple, scan_clean(spark, out).collect()))
+    assert sorted(map(tuple, table.collect())) == want and len(want) == clean.count()
+    assert "clean_partitioned" in {r["tableName"] for r in show_tables(spark).collect()}
+    assert {r["data_type"] for r in describe(spark, "clean_partitioned").collect() if r["col_name"] in CLEAN_COLUMNS} == {"string"}
+    spark.sql("DROP TABLE clean_partitioned")
+
+
+def test_several_files_need_the_header(spark, tmp_path):
+    src = str(tmp_path / "two_files")
+    write_lines(src, [HEADER, "1,a"])
+    with open(f"{src}/second.txt", "w") as f:
+        f.write(HEADER + "\n2,b\n")
+    with pytest.raises(ValueError):
+        drop_header(scan_lines(spark, src))
+    assert drop_header(scan_lines(spark, src), HEADER).count() == 2
+
+
+def test_tab_in_a_field_shifts_the_text_layout(spark, tmp_path):
+    raw = str(tmp_path / "raw_tab")
+    write_lines(raw, [HEADER, "1,Cosmetics,Kajal,Lead,12,ppm,Ma\tker,India,Nepal,,"])
+    clean = clean_records(scan_lines(spark, raw), limit_frame(spark, LIMITS), None, header=HEADER)
+    out = str(tmp_path / "clean_tab")
+    write_clean(clean, out, fmt="tsv")
+    r = scan_clean(spark, out, fmt="tsv").first()
+    assert (r["maker"], r["country"], r["country_alt"]) == ("Ma", "ker", "India")
