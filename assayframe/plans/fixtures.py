@@ -85,9 +85,9 @@ RAW_LIMITS = (
     ("food-spice", "lead", 1.0),
 )
 RAW_SYNONYMS = (
-    ("turmeric haldi", "turmeric"),
-    ("100 kashmiri chilli", "chili powder"),
-    ("khmeli-suneli", "khmeli suneli"),
+    ("goldroot marrow", "goldroot"),
+    ("100 highland pepperel", "pepperel dust"),
+    ("blue-fennet", "blue fennet"),
 )
 RAW_HEADER = "record_id,category,item,analyte,reading,unit,maker,country,country_alt,extra_9,extra_10"
 # Hand-written lines appended to the composed ones: split edge cases, then
@@ -107,10 +107,10 @@ EDGE_LINES = (
     "e05,N/A,Chili Powder,Lead,5,ppm,M,India,India,,",
     "e06,na,Chili Powder,Lead,5,ppm,M,India,India,,",
     'e07,  "unknown "  ,Chili Powder,Lead,5,ppm,M,India,India,,',
-    'e08,Food-Spice,  Turmeric (Haldi) Powder ,Lead,"1,200.5",ppm,M,India,India,,',
-    "e09,Food-Spice,Turmeric Haldi,Lead,1.0,ppm,M,India,India,,",
-    "e10,Food-Spice,Khmeli-Suneli,Lead,-1,ppm,M,Georgia,Georgia,,",
-    "e11,Food-Spice,100% KASHMIRI\tchilli,Lead,-0.0,ppm,M,India,India,,",
+    'e08,Food-Spice,  Goldroot (Marrow) Powder ,Lead,"1,200.5",ppm,M,India,India,,',
+    "e09,Food-Spice,Goldroot Marrow,Lead,1.0,ppm,M,India,India,,",
+    "e10,Food-Spice,Blue-Fennet,Lead,-1,ppm,M,Georgia,Georgia,,",
+    "e11,Food-Spice,100% HIGHLAND\tpepperel,Lead,-0.0,ppm,M,India,India,,",
     "e12,Food-Spice,a((b)c),Lead,<5,ppm,M,India,India,,",
     "e13,Food-Spice,红椒,Lead,1L,ppm,M,China,China,,",
     "e14,Food-Spice,Chili,Lead,nan,ppm,M,India,India,,",

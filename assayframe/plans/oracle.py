@@ -160,7 +160,7 @@ for _line in fx.EDGE_LINES[len(_EDGE_SPLITS):]:
     if _line.startswith("e07"):
         _EDGE_SPLITS.append(["e07", "unknown ", "Chili Powder", "Lead", "5", "ppm", "M", "India", "India", "", ""])
     elif _line.startswith("e08"):
-        _EDGE_SPLITS.append(["e08", "Food-Spice", "Turmeric (Haldi) Powder", "Lead", "1,200.5", "ppm", "M",
+        _EDGE_SPLITS.append(["e08", "Food-Spice", "Goldroot (Marrow) Powder", "Lead", "1,200.5", "ppm", "M",
                              "India", "India", "", ""])
     else:
         assert '"' not in _line

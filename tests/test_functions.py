@@ -109,8 +109,8 @@ def test_profile_reading_keeps_negatives_rejects_na_text(spark):
 
 
 NORMALISED = [
-    ("  Turmeric (Haldi) Powder ", "turmeric powder"), ("Khmeli-Suneli", "khmelisuneli"),
-    ("100% KASHMIRI\tchilli", "100 kashmiri chilli"), ("a((b)c)", "ac"), ("红椒", ""),
+    ("  Goldroot (Marrow) Powder ", "goldroot powder"), ("Blue-Fennet", "bluefennet"),
+    ("100% HIGHLAND\tpepperel", "100 highland pepperel"), ("a((b)c)", "ac"), ("红椒", ""),
     ("Chili  Powder\n(hot)\x0b", "chili powder"), ("Unknown", "unknown"),
 ]
 

@@ -19,8 +19,8 @@ from assayframe.streaming import clean_stream, read_line_stream, running_rate, w
 HEADER = "id,category,item,analyte,reading,unit,maker,country,country_alt,x9,x10"
 LINES = [
     HEADER,
-    "1,Food-Spice,Turmeric (Haldi),Lead,\"1,200.5\",ppm,\"Maker, A\",India,India,,",
-    "2,Food-Spice,Turmeric,Lead,-3,ppm,M,India,India,,",
+    "1,Food-Spice,Goldroot (Marrow),Lead,\"1,200.5\",ppm,\"Maker, A\",India,India,,",
+    "2,Food-Spice,Goldroot,Lead,-3,ppm,M,India,India,,",
     "",
     HEADER,
     "3,UNKNOWN,Chili,Lead,5,ppm,M,India,India,,",
@@ -51,14 +51,14 @@ def test_scan_keeps_blank_and_header_dropped_everywhere(spark, tmp_path):
 def test_clean_and_report(spark, tmp_path):
     write_lines(str(tmp_path / "raw"), LINES)
     lines = scan_lines(spark, str(tmp_path / "raw"))
-    syn = synonym_frame(spark, [("turmeric", "turmeric powder")])
+    syn = synonym_frame(spark, [("goldroot", "goldroot powder")])
     lim = limit_frame(spark, LIMITS)
     clean = clean_records(lines, lim, syn, header=HEADER)
     got = {r["record_id"]: r for r in clean.collect()}
     assert set(got) == {"1", "2", "4", "5"}
-    assert got["1"]["item"] == "turmeric powder" and got["1"]["reading"] == "1200.5" and got["1"]["flag"] == "YES"
+    assert got["1"]["item"] == "goldroot powder" and got["1"]["reading"] == "1200.5" and got["1"]["flag"] == "YES"
     assert got["1"]["maker"] == "Maker, A"
-    assert got["2"]["item"] == "turmeric powder" and got["2"]["reading"] == "Unknown" and got["2"]["flag"] == "NA"
+    assert got["2"]["item"] == "goldroot powder" and got["2"]["reading"] == "Unknown" and got["2"]["flag"] == "NA"
     assert got["4"]["country"] == "Unknown" and got["4"]["country_alt"] == "Unknown" and got["4"]["flag"] == "YES"
     assert got["5"]["category"] == "Unknown" and got["5"]["flag"] == "NA"
     assert got["1"]["extra_9"] == "Unknown"
