@@ -92,7 +92,8 @@ def group_moments(values: DataFrame, key, value: str = "v", mean: str | None = "
 
 def group_mode(hist: DataFrame, key, value: str = "v", n: str = "n", out: str = "mode") -> DataFrame:
     """Most frequent value per group; ties → smallest value."""
-    return hist.where(F.col(value).isNotNull()).groupBy(*_keys(key)).agg(F.min_by(F.col(value), F.struct((-F.col(n)).alias("c"), F.col(value))).alias(out))
+    rarest_last = F.struct((-F.col(n)).alias("c"), F.col(value))
+    return hist.where(F.col(value).isNotNull()).groupBy(*_keys(key)).agg(F.min_by(F.col(value), rarest_last).alias(out))
 
 
 def group_median(hist: DataFrame, key, value: str = "v", n: str = "n", out: str = "median",
