@@ -56,9 +56,11 @@ MIDDLE = LENGTH - COVER     # bytes that a sample's rank stands for
 WIDE = LEFT + LENGTH        # bytes of a context
 STRIDE = 192                # of a context in a bucket's text, padded
 BLOCK_BYTES = 16 << 20
-SEGMENT = 16 << 20          # of a text longer than that, handled as overlapping pieces
-SHARD_BYTES = 64 << 20      # input bytes per shard of keys
-BUCKET_ROWS = 20_000
+PIECE_BYTES = 1 << 20       # of a block's texts, whose K-grams are in memory at a time
+SEGMENT = 2 << 20           # a longer text is handled as overlapping pieces of this size
+SHARD_BYTES = 16 << 20      # input bytes per shard of keys and buckets
+BUCKET_ROWS = 8_000
+SLICE = 4096                # rows whose bytes are gathered at a time
 HOT_KEY = 50_000
 _POSITION = np.uint64(26)   # bits of a position beside a hash when windows take their least
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -103,7 +105,7 @@ def _segments(docs: pa.Table, segment: int) -> Iterator[tuple[np.ndarray, np.nda
     """``(bytes, begins, rows, offsets)`` of pieces of the block: texts, or
     overlapping parts of a long one, with their row and offset in the text."""
     row = 0
-    for piece in _shingles.pieces(iter(docs.combine_chunks().to_batches())):
+    for piece in _shingles.pieces(iter(docs.combine_chunks().to_batches()), PIECE_BYTES):
         flat, begins = _shingles.text_bytes(piece.column("text"))
         if len(flat) <= segment:
             yield flat, begins, np.arange(row, row + piece.num_rows), np.zeros(piece.num_rows, dtype=np.int64)
@@ -229,6 +231,16 @@ def _first_of_each(*columns) -> np.ndarray:
     return out
 
 
+def _context_bytes(flat: np.ndarray, at: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """``WIDE`` bytes from each position, zero outside ``lo`` to ``hi``."""
+    out = np.empty((len(at), WIDE), dtype=np.uint8)
+    for i in range(0, len(at), SLICE):
+        column = at[i:i + SLICE, None] + np.arange(WIDE)
+        inside = (column >= lo[i:i + SLICE, None]) & (column < hi[i:i + SLICE, None])
+        out[i:i + SLICE] = np.where(inside, flat[np.clip(column, 0, len(flat) - 1)], 0)
+    return out
+
+
 def _list_contexts(shards: int, segment: int):
     def run(key: tuple[pa.Scalar, ...], docs: pa.Table, known: pa.Table) -> pa.Table:
         docs = _ordered(docs)
@@ -249,11 +261,9 @@ def _list_contexts(shards: int, segment: int):
             here["key"], here["doc"], here["row"], here["at"] = a.key, ids[row], row, a.at + shift
             here["context"] = mix(a.hashes(lo, hi) + (a.at - lo).astype(np.uint64) * _ODD)
             here["back"], here["from_"], here["to"] = a.at - lo, a.at - a.lo, a.at - a.hi
-            column = (a.at - LEFT)[:, None] + np.arange(WIDE)
-            body = np.where((column >= lo[:, None]) & (column < hi[:, None]), flat[np.clip(column, 0, len(flat) - 1)], 0)
-            cold = ~is_hot
+            cold = np.flatnonzero(~is_hot)
             sent.append(here[cold])
-            texts.append(body[cold].astype(np.uint8))
+            texts.append(_context_bytes(flat, a.at[cold] - LEFT, lo[cold], hi[cold]))
             if is_hot.any():
                 h = np.flatnonzero(is_hot)
                 count = a.hi[h] - a.lo[h] + 1
@@ -315,7 +325,10 @@ def _dense_ranks(*columns) -> np.ndarray:
 
 def _words(text: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
     """``n`` bytes from each position as big-endian 64-bit words: rows x n / 8."""
-    return np.ascontiguousarray(text[at[:, None] + np.arange(n)]).view(">u8").astype(np.uint64)
+    out = np.empty((len(at), n // 8), dtype=np.uint64)
+    for i in range(0, len(at), SLICE):
+        out[i:i + SLICE] = text[at[i:i + SLICE, None] + np.arange(n)].view(">u8")
+    return out
 
 
 def sample_ranks(text: np.ndarray, at: np.ndarray) -> np.ndarray:
