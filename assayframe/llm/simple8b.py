@@ -21,26 +21,31 @@ _PAD = 64
 _PER_SELECTOR = np.array((0, *COUNTS, 1), dtype=np.int64)
 
 
+_SHORT = np.frexp(np.arange(1 << 16, dtype=np.float64))[1].astype(np.uint8)
+
+
 def _bit_lengths(values: np.ndarray) -> np.ndarray:
     """Bits of each value; 61 or more for those that need an escape."""
+    if values.max(initial=0) < len(_SHORT):
+        return _SHORT[values]
     bits = np.frexp(values.astype(np.float64))[1].astype(np.uint8)
     return np.where(values >> np.uint64(60) > 0, np.uint8(64), np.minimum(bits, np.uint8(60)))
 
 
 def _selectors(bits: np.ndarray) -> np.ndarray:
     """For every position of every (padded) block, the selector that packs most
-    values from there on."""
+    values from there on. A position that has no room for a selector's values has
+    none for the next one's, which are more and narrower: the search ends there."""
     width = bits.shape[1] - _PAD
-    power = {1: bits}
-    for p in (1, 2, 4, 8, 16):
-        m = power[p]
-        power[2 * p] = np.maximum(m[:, :-p], m[:, p:])
     best = np.full((bits.shape[0], width), ESCAPE, dtype=np.uint8)
-    for s in range(14, 0, -1):                      # few wide values first, many narrow ones last
+    most, p = bits, 1                               # most: the largest of p values from each position
+    for s in range(14, 0, -1):
         n, b = COUNTS[s - 1], BITS[s - 1]
-        p = 1 << (n.bit_length() - 1)
-        m = power[p]
-        fits = np.maximum(m[:, :width], m[:, n - p:n - p + width]) <= b
+        while 2 * p <= n:
+            most, p = np.maximum(most[:, :-p], most[:, p:]), 2 * p
+        fits = np.maximum(most[:, :width], most[:, n - p:n - p + width]) <= b
+        if not fits.any():
+            break
         best[fits] = s
     return best
 

@@ -40,7 +40,7 @@ from assayframe.llm._common import as_text, written
 
 MAGIC = b"S8B1"
 SHARD_IDS = 1 << 20         # a shard ends with the document that reaches this many ids
-CACHE_ENTRIES = 500_000     # per Python worker, about 120 MB
+CACHE_ENTRIES = 800_000     # per Python worker in both generations, below 200 MB
 CHUNK_BYTES = 8 << 20       # texts encoded at a time
 SHARD_SCHEMA = ("part int, shard int, first_in_part long, n_ids long, doc_ids array<long>, payload binary")
 _SPACE_LIKE = re.compile("[\\s\x1c-\x1f\x85᠎​⁠﻿]")
@@ -51,6 +51,14 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable
+    bytes stand for themselves, the others for the letters from U+0100 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes."""
 
@@ -61,43 +69,61 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.special = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        # In a byte-level vocabulary a token that starts with a space starts with this letter.
-        self.spaced = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
-        self.spaced[[i for t, i in vocabulary.items() if t[0] == "\u0120"]] = True
+        self.model, self.letters = self.tokenizer.model, _byte_letters()
+        # Two generations: what is used again moves to the new one, so that common
+        # stretches stay when the old one is dropped.
         self.cache: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.entries = cache_entries
-        self.marks = dict(zip(",.", self._encode([",", "."])))
+        *marks, self.line_end = self._encode([",", ".", "\n"])
+        self.marks = dict(zip(",.", marks))
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode_stretches(self, units: list[str]) -> list[bytes]:
-        """Ids of each stretch with the space before it: all are encoded as one
-        text and cut where a token starts with a space."""
-        ids = np.frombuffer(self._encode([" " + " ".join(units)])[0], dtype="<u4")
-        starts = np.flatnonzero(self.spaced[ids])
-        if len(starts) != len(units) or starts[0] != 0:
-            return self._encode([" " + u for u in units])
-        raw, cuts = ids.tobytes(), [*(4 * starts).tolist(), 4 * len(ids)]
-        return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
-
-    def _learn(self, units: set[str]) -> None:
-        cache, whole, marked = self.cache, set(), []
+    def _word(self, word: str, space: bool) -> bytes:
+        """Ids of a run of letters, after a space or not: one piece to the
+        tokenizer, so its merges alone are applied."""
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(self.letters[32] + word if space else word)]).tobytes()
+
+    def _plain(self, text: str, space: bool = True) -> bytes | None:
+        """Ids of letters, or letters and a mark, which the tokenizer cuts apart."""
+        if text.isalpha():
+            return self._word(text, space)
+        if text[-1:] in self.marks and text[:-1].isalpha():
+            word = text[:-1]
+            known = (self.cache.get(word) or self.old.get(word)) if space else None
+            return (known or self._word(word, space)) + self.marks[text[-1]]
+        return None
+
+    def _learn(self, units: list[str]) -> None:
+        """Put the stretches, none of which is in the new generation, into it."""
+        if len(self.cache) + len(units) > self.entries // 2:
+            self.old, self.cache = self.cache, {}
+        cache, old, others = self.cache, self.old, []
         for u in units:
-            if self._joins(u):
+            ids = old.get(u) or self._plain(u)
+            if ids is None and "\n" in u:      # a single line end between two words is a piece of its own
+                left, right = u.split("\n", 1)
+                left, right = self._plain(left), self._plain(right, space=False)
+                ids = left + self.line_end + right if left and right else None
+            if ids is not None:
+                cache[u] = ids
+            elif self._joins(u):
                 cache[u] = self.JOINS
-            elif len(u) > 1 and u[-1] in self.marks and u[-2].isalpha():
-                marked.append(u)            # letters and a mark are split there by the tokenizer
-                if u[:-1] not in cache:
-                    whole.add(u[:-1])
             else:
-                whole.add(u)
-        order = list(whole)
-        for a in range(0, len(order), 1000):
-            cache.update(zip(order[a:a + 1000], self._encode_stretches(order[a:a + 1000])))
-        for u in marked:
-            cache[u] = cache[u[:-1]] + self.marks[u[-1]]
+                others.append(u)
+        cache.update(zip(others, self._encode([" " + u for u in others])))
+
+    def _heads(self, units: list[str]) -> list[bytes]:
+        """Ids of the first stretches of texts, which no space precedes."""
+        ids = [self._plain(u, space=False) for u in units]
+        others = [i for i, x in enumerate(ids) if x is None]
+        for i, x in zip(others, self._encode([units[i] for i in others])):
+            ids[i] = x
+        return ids
 
     def _joined(self, units: list[str]) -> bytes:
         """A text with stretches that belong to the ones before them."""
@@ -125,10 +151,7 @@ class Encoder:
         units = coded.dictionary.to_pylist()
         ids = list(map(self.cache.get, units))
         if None in ids:
-            new = {u for u, i in zip(units, ids) if i is None}
-            if len(self.cache) + len(new) > self.entries:
-                self.cache, new = {}, set(units)
-            self._learn(new)
+            self._learn([u for u, i in zip(units, ids) if i is None])
             ids = [self.cache[u] if i is None else i for u, i in zip(units, ids)]
         joins = np.fromiter((i is self.JOINS for i in ids), dtype=bool, count=len(ids))
 
@@ -137,20 +160,20 @@ class Encoder:
         inner = joins[at]
         inner[heads] = False
         odd = np.logical_or.reduceat(inner, heads)
-        firsts = self._encode([units[i] for i in at[heads]])
+        firsts = self._heads([units[i] for i in at[heads]])
         for row in np.flatnonzero(odd):
             firsts[row] = self._joined(parts[int(row)].as_py())
-        own = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
-        first_len = np.fromiter(map(len, firsts), dtype=np.int64, count=len(firsts)) // 4
+        own = np.fromiter(map(len, ids), dtype=np.int32, count=len(ids)) // 4
+        first_len = np.fromiter(map(len, firsts), dtype=np.int32, count=len(firsts)) // 4
         own[joins] = 0
         pool = np.frombuffer(b"".join([b"" if j else i for i, j in zip(ids, joins)] + firsts), dtype="<u4")
-        begin, length = (np.cumsum(own) - own)[at], own[at]
+        begin, length = (np.cumsum(own, dtype=np.int32) - own)[at], own[at]
         length[np.repeat(odd, np.diff(offsets))] = 0
         begin[heads] = own.sum() + np.cumsum(first_len) - first_len
         length[heads] = first_len
-        ends = np.cumsum(length)
-        where = np.arange(ends[-1]) + np.repeat(begin - ends + length, length)
-        return np.add.reduceat(length, heads), pool[where]
+        ends = np.cumsum(length, dtype=np.int32)
+        where = np.arange(ends[-1], dtype=np.int32) + np.repeat(begin - ends + length, length)
+        return np.add.reduceat(length, heads).astype(np.int64), pool[where]
 
 
 _encoders: dict[str, Encoder] = {}
