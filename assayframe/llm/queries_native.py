@@ -150,5 +150,10 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
                     fp.likeness(F.col("own"), F.col("next")).alias("near_next")))
 
 
-QUERIES = {"op6_fingerprints": op6_fingerprints, "op7_line_dedup": op7_line_dedup, "op3_decontamination": op3_decontamination, "op10_chat_format": op10_chat_format}
-ORACLE = {"op7_line_dedup": OP7_SQL, "op3_decontamination": OP3_SQL, "op10_chat_format": OP10_SQL}
+QUERIES = {
+    "op3_decontamination": op3_decontamination,
+    "op6_fingerprints": op6_fingerprints,
+    "op7_line_dedup": op7_line_dedup,
+    "op10_chat_format": op10_chat_format,
+}
+ORACLE = {"op3_decontamination": OP3_SQL, "op7_line_dedup": OP7_SQL, "op10_chat_format": OP10_SQL}
