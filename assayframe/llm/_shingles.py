@@ -71,11 +71,12 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return flat, offsets.astype(np.int64) - offsets[0]
 
 
-def _word_edges(flat: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First byte of each word, and the byte after its last; a text ends every word."""
+def _word_edges(flat: np.ndarray, begins: np.ndarray, space: np.ndarray = _IS_SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """First byte of each word, and the byte after its last; a text ends every word.
+    ``space`` tells of each byte value whether it stands between words."""
     if not len(flat):
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    word = ~_IS_SPACE[flat]
+    word = ~space[flat]
     edge = np.zeros(len(flat) + 1, dtype=bool)
     edge[begins] = True
     start = np.flatnonzero(word & (np.concatenate(([True], ~word[:-1])) | edge[:-1]))
@@ -87,12 +88,12 @@ def word_ends(flat: np.ndarray, begins: np.ndarray) -> np.ndarray:
     return _word_edges(flat, begins)[1]
 
 
-def word_hashes(flat: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(flat: np.ndarray, begins: np.ndarray, space: np.ndarray = _IS_SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each word, and per text the index of its first word (one more entry)."""
     n = len(flat)
     if not n:
         return np.empty(0, np.uint64), np.zeros(len(begins), dtype=np.int64)
-    start, end = _word_edges(flat, begins)
+    start, end = _word_edges(flat, begins, space)
     power, inverse = _power_tables(n)
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_VALUES[flat] * power)))
     hashes = mix((sums[end] - sums[start]) * inverse[start] + (end - start).astype(np.uint64))

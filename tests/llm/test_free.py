@@ -4,6 +4,7 @@ import collections
 import hashlib
 import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -12,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from assayframe.llm import (_shingles, kneser_ney, maxent_lm, mixing, near_dup, queries, simple8b, suffix_dedup,
-                            superminhash, token_files)
+                            superminhash, token_files, word_scores)
 from assayframe.llm.components import components
 from assayframe.session import scratch_path
 from .conftest import SF, lower_words
@@ -315,6 +316,29 @@ def test_quality_separates_labels(spark):
     assert both[both.quality == 0].keep.mean() < 0.35
 
 
+def test_quality_rejects_toxic_words_and_repeats(spark):
+    sf = "/root/testdata/sf0.1"
+    got = queries.queries()["op5_quality"](spark, sf).toPandas()
+    both = got.merge(spark.read.parquet(f"{sf}/labels.parquet").toPandas(), on="doc_id")
+    both = both[both.n_bytes > 0]
+    assert both[(both.quality == 1) & (both.toxic == 0)].keep.mean() > 0.98
+    assert both[(both.quality == 1) & (both.toxic == 1) & (both.lang == "en")].keep.mean() < 0.1
+    assert both[both.quality == 0].keep.mean() < 0.05
+
+
+def test_word_scores_equal_a_plain_version():
+    texts = ["A b, a B! c", "", "x", "one two three " * 9, "scum"]
+    words, _ = word_scores.words(pa.array(["scum", "b"]))
+    order = np.argsort(words)
+    worst, repeats = word_scores.scores(pa.array(texts), (words[order], np.array([2.5, 1.0])[order]))
+    assert worst.tolist() == [1.0, 0.0, 0.0, 0.0, 2.5]
+    n = word_scores.WINDOW
+    for t, r in zip(texts, repeats.tolist()):
+        w = re.findall(r"[a-z0-9]+", t.lower())
+        again = [x in w[max(i - n + 1, 0):i] for i, x in enumerate(w)]
+        assert r == max((sum(again[max(i - n + 1, 0):i + 1]) for i in range(len(w))), default=0)
+
+
 def test_quality_on_edge_rows(spark, edge_docs, no_docs):
     labels = spark.createDataFrame([(1, 1, 0), (1, 1, 0), (2, 1, None), (None, 1, 0), (8, None, 0)],
                                    "doc_id long, quality int, toxic int")
