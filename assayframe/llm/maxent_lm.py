@@ -12,13 +12,27 @@ before (n-gram), the two words before (n-gram), and the word before the last
 of their last three bytes, those hashes being clustered by the common tokens they
 stand next to.
 
-Training counts every token of every training text. The weights start at smoothed
-log ratios and are then raised by gradient updates: each round takes its share of
-the documents, tasks return observed minus expected class counts per feature, and
-the sums, scaled by the expected counts, move the weights. The model has a fixed
-size; the token counts grow with the corpus and are never gathered: documents are
-scored in blocks, each of which lists its distinct words, has them looked up in the
-sharded count table, and scores its texts in sparse numpy batches.
+Training counts every token of every training text. The weights of the hashed
+features start at smoothed log ratios and are then raised by gradient updates: each
+round reads all training documents, tasks return observed minus expected class
+counts per feature, and the sums, scaled by the expected counts, move the weights.
+
+Hashed features are of a fixed size, so many contexts share one. Beside them each
+context of each template has features of its own, whose number grows with the
+corpus: one per class that followed it in training. Their weights,
+log(1 + count / (strength * P)) beside the P of the features before, are the mode
+under a Dirichlet prior of that strength around P and keep the softmax normalised:
+
+    P'(class | context) = (count(context, class) + strength * P) / (count(context) + strength)
+
+template by template: skip, word before, two words before. The strength is the one
+of ``STRENGTHS`` under which a shard's training counts are likeliest, each left out
+of its own context.
+
+Token counts and context counts are never gathered: documents are scored in blocks,
+each of which lists its distinct words and contexts, has them looked up by shard,
+and scores its texts in sparse numpy batches. The lists of a shard carry the
+training counts, so that a shard sums what it looks up.
 
 Defined results: a null text is empty and has the end token alone; a null id counts
 as an empty one and a null is never held out by itself; repeated rows are scored
@@ -29,6 +43,7 @@ hashes.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,7 +60,11 @@ CLASSES = 32
 SUFFIXES = 4096             # hashed word endings
 BUCKETS = 4096              # hashed features per template
 TEMPLATES = 3
-ROUNDS = 4
+ROUNDS = 4                  # the first sets the weights, the others move them
+CONTEXT_BITS = 44           # of a context's hash, above the class in a key
+CLASS_BITS = 5
+CONTEXTS_PER_SHARD = 1 << 20
+STRENGTHS = 4.0 ** np.arange(9)
 STEP = 0.7                  # of the distance that would match each feature's counts alone
 BLOCK_BYTES = 16 << 20
 WORDS_PER_SHARD = 1 << 20
@@ -99,6 +118,13 @@ class Classes:
 
 def features(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Rows of the weight table for each token: templates x tokens."""
+    size = np.uint64(BUCKETS)
+    return np.stack([x % size + np.uint64(t) * size for t, x in enumerate(contexts(hashes, first))]).astype(np.int64)
+
+
+def contexts(hashes: np.ndarray, first: np.ndarray, templates=range(TEMPLATES)) -> list[np.ndarray]:
+    """Hash of each token's context, per template: word before, two words before, and
+    the word before the last."""
     n = len(hashes)
     one, two = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
     one[1:], two[2:] = hashes[:-1], hashes[:-2]
@@ -106,9 +132,8 @@ def features(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     one[start], two[start] = 0, 0
     second = start + 1
     two[second[second < first[1:]]] = 0
-    size = np.uint64(BUCKETS)
-    return np.stack([mix(one + _ODD) % size, mix(mix(one + _ODD) * _ODD + two) % size + size,
-                     mix(two * _ODD + np.uint64(7)) % size + size + size]).astype(np.int64)
+    makers = (lambda: mix(one + _ODD), lambda: mix(mix(one + _ODD) * _ODD + two), lambda: mix(two * _ODD + np.uint64(7)))
+    return [makers[t]() for t in templates]
 
 
 def class_log_probabilities(rows: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -201,24 +226,38 @@ def cluster(counts: np.ndarray, k: int, rounds: int = 25) -> np.ndarray:
     return nearest
 
 
+def _shares(rows: np.ndarray, by_class: np.ndarray) -> np.ndarray:
+    """Classes x tokens: the softmax of the summed weights (``by_class``: classes x rows)."""
+    logits = np.empty((CLASSES, rows.shape[1]), dtype=np.float32)
+    for k, w in enumerate(by_class):
+        np.take(w + w[-1], rows[0], out=logits[k], mode="clip")
+        for r in rows[1:]:
+            logits[k] += np.take(w, r, mode="clip")
+    logits -= logits.max(axis=0)
+    np.exp(logits, out=logits)
+    logits /= logits.sum(axis=0)
+    return logits
+
+
 def _feature_counts(classes: Classes, weights: np.ndarray | None):
     """Per feature and class the observed counts and, with weights, the expected."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows_n = TEMPLATES * BUCKETS + 1
         seen = np.zeros((rows_n, CLASSES))
         expected = np.zeros((rows_n, CLASSES))
+        by_class = None if weights is None else np.ascontiguousarray(weights.T, dtype=np.float32)
         for _, hashes, endings, first in _batches(_shingles.pieces(batches, 1 << 20)):
             y, rows = classes(hashes, endings), features(hashes, first)
             for r in rows:
                 seen.reshape(-1)[:] += np.bincount(r * CLASSES + y, minlength=rows_n * CLASSES)
             seen[-1] += np.bincount(y, minlength=CLASSES)
             if weights is not None:
-                p = np.exp(class_log_probabilities(rows, weights))
-                expected[-1] += p.sum(axis=0)
-                for r in rows:
-                    order = np.argsort(r, kind="stable")
-                    row, start = np.unique(r[order], return_index=True)
-                    expected[row] += np.add.reduceat(p[order], start, axis=0)
+                own_rows = [r - t * BUCKETS for t, r in enumerate(rows)]
+                for k, p in enumerate(_shares(rows, by_class)):
+                    p = p.astype(np.float64)
+                    expected[-1, k] += p.sum()
+                    for t, r in enumerate(own_rows):
+                        expected[t * BUCKETS:(t + 1) * BUCKETS, k] += np.bincount(r, weights=p, minlength=BUCKETS)
         yield _as_rows(np.stack([seen, expected]))
     return run
 
@@ -246,9 +285,8 @@ def train(texts: DataFrame) -> tuple[DataFrame, dict]:
 
     shape = (2, TEMPLATES * BUCKETS + 1, CLASSES)
     weights = None
-    for part in range(ROUNDS):
-        share = texts.where(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(ROUNDS)) == part).select("text")
-        seen, expected = _summed(share, _feature_counts(classes, weights), shape)
+    for _ in range(ROUNDS):
+        seen, expected = _summed(texts.select("text"), _feature_counts(classes, weights), shape)
         weights = _start(seen) if weights is None else _update(weights, seen, expected)
     return counts, {"classes": classes, "weights": weights.astype(np.float32), "mass": mass,
                     "n": n, "v": v, "unseen": (once + 0.5) / (n + 1) if n else 1.0}
@@ -305,29 +343,158 @@ def _look_up(key: tuple[pa.Scalar, ...], lists: pa.Table, counts: pa.Table) -> p
                                 names=["block", "words", "counts"])
 
 
-def _score(model: dict):
+def _keys(context: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """A context of one template and the class after it, in one number."""
+    return ((context >> np.uint64(64 - CONTEXT_BITS)) << np.uint64(CLASS_BITS)) | y.astype(np.uint64)
+
+
+def _planes(values: np.ndarray, raw: int = 0) -> bytes:
+    """Byte planes of whole numbers: how many the largest needs, the lowest ``raw`` as
+    they are (hashes), the others deflated (few values, mostly small)."""
+    width = max(-(-int(values.max(initial=0)).bit_length() // 8), raw, 1)
+    planes = values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T
+    return bytes([width, raw]) + len(values).to_bytes(4, "little") + planes[:raw].tobytes() + zlib.compress(
+        planes[raw:].tobytes(), 1)
+
+
+def _from_planes(data) -> np.ndarray:
+    data = memoryview(data)
+    width, raw, n = data[0], data[1], int.from_bytes(data[2:6], "little")
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :raw] = np.frombuffer(data[6:6 + raw * n], np.uint8).reshape(raw, n).T
+    out[:, raw:width] = np.frombuffer(zlib.decompress(data[6 + raw * n:]), np.uint8).reshape(width - raw, n).T
+    return out.view("<u8").reshape(-1)
+
+
+def _token_keys(pieces: list[tuple], template: int) -> np.ndarray:
+    """The key of each token of a block's pieces ``(hashes, y, first)``."""
+    out, at = np.empty(sum(len(p[0]) for p in pieces), np.uint64), 0
+    for hashes, y, first in pieces:
+        out[at:at + len(hashes)] = _keys(contexts(hashes, first, [template])[0], y)
+        at += len(hashes)
+    return out
+
+
+def _starts(ordered: np.ndarray) -> np.ndarray:
+    """Where each run of equal values begins."""
+    return np.flatnonzero(np.concatenate((np.ones(min(len(ordered), 1), bool), ordered[1:] != ordered[:-1])))
+
+
+def _list_contexts(classes: Classes, shards: int):
+    """Per template and shard, a range of context hashes: the block's distinct keys,
+    sorted, and how often each stands in training documents."""
+    edges = np.array([(s << CONTEXT_BITS) // shards << CLASS_BITS for s in range(1, shards)], np.uint64)
+
+    lows = np.concatenate((np.zeros(1, np.uint64), edges))
+
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        pieces, training = [], []
+        for piece, hashes, endings, first in _batches(_shingles.pieces(iter(table.to_batches()), 1 << 20)):
+            pieces.append((hashes, classes(hashes, endings).astype(np.uint8), first))
+            held = piece.column("held").to_numpy(zero_copy_only=False).astype(bool)
+            training.append(np.repeat(~held, np.diff(first)))
+        training = np.concatenate(training)
+        shard, lists, counts = [], [], []
+        for t in range(TEMPLATES):
+            keys = _token_keys(pieces, t)
+            keys <<= np.uint64(1)                           # training is the lowest bit, so that one sort does
+            keys |= training
+            keys.sort()
+            upto = np.concatenate(([0], np.cumsum(keys & np.uint64(1), dtype=np.int64)))
+            keys >>= np.uint64(1)
+            starts = _starts(keys)
+            distinct, n = keys[starts], np.diff(upto[np.append(starts, len(keys))])
+            cuts = [0, *np.searchsorted(distinct, edges).tolist(), len(distinct)]
+            for s, (a, b) in enumerate(zip(cuts, cuts[1:])):
+                shard.append(t * shards + s)
+                # The first is counted from the shard's own begin.
+                lists.append(_planes(np.diff(distinct[a:b], prepend=lows[s]), 3))
+                counts.append(_planes(n[a:b]))
+        return pa.Table.from_arrays([pa.array([key[0].as_py()] * len(shard), pa.int64()), pa.array(shard, pa.int32()),
+                                     pa.array(lists, pa.binary()), pa.array(counts, pa.binary())],
+                                    names=["block", "shard", "keys", "counts"])
+    return run
+
+
+def strength(own: np.ndarray, whole: np.ndarray, prior: np.ndarray) -> float:
+    """The likeliest of STRENGTHS for counts of (context, class), those of their
+    contexts and the classes' shares, each token left out of its context."""
+    own, whole, prior = own[own > 0], whole[own > 0], prior[own > 0]
+    fit = [(own * np.log((own - 1 + a * prior) / (whole - 1 + a))).sum() for a in STRENGTHS]
+    return float(STRENGTHS[len(fit) - 1 - int(np.argmax(fit[::-1]))])
+
+
+def _sum_contexts(shares: np.ndarray):
+    """Answers each list of a shard: training counts of its keys and of their contexts
+    over all blocks, and the shard's strength."""
+    def run(key: tuple[pa.Scalar, ...], lists: pa.Table) -> pa.Table:
+        wanted = [np.cumsum(_from_planes(x.as_buffer()), dtype=np.uint64) for x in lists.column("keys")]
+        keys = np.concatenate([np.empty(0, np.uint64), *wanted])
+        n = np.concatenate([np.empty(0, np.uint64), *(_from_planes(x.as_buffer()) for x in lists.column("counts"))])
+        distinct, at = np.unique(keys, return_inverse=True)
+        own = np.bincount(at, weights=n.astype(np.float64), minlength=len(distinct)).astype(np.int64)
+        _, of = np.unique(distinct >> np.uint64(CLASS_BITS), return_inverse=True)
+        whole = np.bincount(of, weights=own).astype(np.int64)[of]
+        prior = shares[(distinct & np.uint64((1 << CLASS_BITS) - 1)).astype(np.int64)]
+        alpha = strength(own, whole, prior)
+        ends = np.cumsum([len(x) for x in wanted])
+        answers = [at[e - len(x):e] for x, e in zip(wanted, ends)]
+        return pa.Table.from_arrays([
+            lists.column("block"), lists.column("shard"), pa.array([_planes(own[x]) for x in answers], pa.binary()),
+            pa.array([_planes(whole[x]) for x in answers], pa.binary()), pa.array([alpha] * len(answers), pa.float64())],
+            names=["block", "shard", "own", "whole", "strength"])
+    return run
+
+
+def _answers(found: pa.Table, template: int, shards: int) -> tuple:
+    """``own, whole, strength`` of a block's distinct keys of a template, in their order."""
+    at = {s: i for i, s in enumerate(found.column("shard").to_pylist())}
+    mine = [at[template * shards + s] for s in range(shards)]
+    own, whole = ([_from_planes(found.column(c)[i].as_buffer()) for i in mine] for c in ("own", "whole"))
+    alpha = np.repeat([found.column("strength")[i].as_py() for i in mine], [len(x) for x in own])
+    return np.concatenate(own).astype(np.float64), np.concatenate(whole).astype(np.float64), alpha
+
+
+def _score(model: dict, shards: int):
     classes, weights, mass = model["classes"], model["weights"], model["mass"]
     n, v, unseen = model["n"], model["v"], model["unseen"]
+    by_class = np.ascontiguousarray(weights.T, dtype=np.float32)
 
-    def run(key: tuple[pa.Scalar, ...], docs: pa.Table, lists: pa.Table) -> pa.Table:
+    def run(key: tuple[pa.Scalar, ...], docs: pa.Table, found: pa.Table) -> pa.Table:
         import pandas as pd
+        import pyarrow.compute as pc
+        lists = found.filter(pc.is_valid(found.column("words")))
+        answers = found.filter(pc.is_valid(found.column("own")))
         words = np.concatenate([np.empty(0, np.uint64), *(np.frombuffer(x.as_buffer(), "<u8") for x in lists.column("words"))])
         count = np.concatenate([np.empty(0, np.int64), *(np.frombuffer(x.as_buffer(), "<i8") for x in lists.column("counts"))])
         order = np.argsort(words)
         words, count = words[order], count[order]
-        out = []
-        log_mass = np.log(np.maximum(mass, 1e-300))
+        pieces, ids, p = [], [], []
         for piece, hashes, endings, first in _batches(_shingles.pieces(iter(docs.to_batches()), 1 << 20)):
+            y = classes(hashes, endings)
+            pieces.append((hashes, y.astype(np.uint8), first))
+            ids.append(piece.column("doc_id"))
+            p.append(_shares(features(hashes, first), by_class)[y, np.arange(len(y))])
+        p = np.concatenate(p).astype(np.float64)
+        for t in (2, 0, 1):                                 # skip, word before, two words before
+            keys = _token_keys(pieces, t)
+            order = np.argsort(keys)
+            sizes = np.diff(np.append(_starts(keys[order]), len(keys)))
+            own, whole, alpha = _answers(answers, t, shards)
+            p[order] = np.repeat(own / (whole + alpha), sizes) + np.repeat(alpha / (whole + alpha), sizes) * p[order]
+        out, done = [], 0
+        log_mass = np.log(np.maximum(mass, 1e-300))
+        for (hashes, y, first), doc_id in zip(pieces, ids):
             codes, distinct = pd.factorize(hashes)
             c = count[np.searchsorted(words, distinct)][codes]
             base = np.log10((c + 1) / (n + v + 1))
-            y = classes(hashes, endings)
-            logs = class_log_probabilities(features(hashes, first), weights)[np.arange(len(y)), y]
+            logs = np.log(np.maximum(p[done:done + len(y)], 1e-300))
+            done += len(y)
             known = np.log1p(-unseen) + logs + np.log(np.maximum(c, 1)) - log_mass[y] if n else np.zeros(len(y))
             model_log = np.where(c > 0, known, np.log(unseen)) / np.log(10)
             begin = first[:-1]
             out.append(pa.Table.from_arrays([
-                piece.column("doc_id"), pa.array(np.diff(first)), pa.array(np.add.reduceat((c > 0).astype(np.int64), begin)),
+                doc_id, pa.array(np.diff(first)), pa.array(np.add.reduceat((c > 0).astype(np.int64), begin)),
                 pa.array(np.add.reduceat(base, begin)), pa.array(np.add.reduceat(model_log, begin))],
                 names=["doc_id", "n_tokens", "n_known", "base_score", "score"]))
         return pa.concat_tables(out)
@@ -342,7 +509,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     size = docs.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
     n_blocks = -(-size // BLOCK_BYTES) or 1
     shards = -(-model["v"] // WORDS_PER_SHARD) or 1
-    dealt = docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)).alias("block"), "doc_id", "text")
+    dealt = docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)).alias("block"), "doc_id", "text",
+                        is_held_out(F.col("doc_id")).alias("held"))
     lists = dealt.groupBy("block").applyInArrow(_list_words(shards), "block long, shard int, words binary")
     lists = lists.withColumn("many", F.floor(F.col("block") / BLOCKS_PER_LOOKUP))
     lookups = F.sequence(F.lit(0).cast("long"), F.lit((n_blocks - 1) // BLOCKS_PER_LOOKUP).cast("long"))
@@ -350,8 +518,15 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     spread = counts.select(unsigned_mod.cast("int").alias("shard"), "word", "c", F.explode(lookups).alias("many"))
     found = lists.groupBy("shard", "many").cogroup(spread.groupBy("shard", "many")).applyInArrow(
         _look_up, "block long, words binary, counts binary")
+    parts = -(-model["n"] // CONTEXTS_PER_SHARD) or 1
+    shares = (model["mass"] + 0.5) / (model["mass"] + 0.5).sum()
+    seen = dealt.groupBy("block").applyInArrow(_list_contexts(model["classes"], parts),
+                                               "block long, shard int, keys binary, counts binary")
+    seen = seen.groupBy("shard").applyInArrow(_sum_contexts(shares),
+                                              "block long, shard int, own binary, whole binary, strength double")
+    found = found.unionByName(seen, allowMissingColumns=True)
     scored = dealt.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(
-        _score(model), "doc_id long, n_tokens long, n_known long, base_score double, score double")
+        _score(model, parts), "doc_id long, n_tokens long, n_known long, base_score double, score double")
     return scored.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known",
                          F.lit(model["n"]).cast("long").alias("train_tokens"), "base_score", "score")
 

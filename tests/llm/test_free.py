@@ -382,6 +382,38 @@ def test_lm_probabilities_sum_to_one(spark, small_docs):
     assert np.allclose(np.exp(logs).sum(axis=1), 1, atol=1e-5) and used.any()
 
 
+def test_lm_learns_contexts_that_share_hashed_features(spark):
+    """Far more contexts than hashed features, each with its own next word."""
+    rng = random.Random(3)
+    then = {f"w{i}": f"n{i}{'abcdefgh'[rng.randrange(8)] * 3}" for i in range(30_000)}
+    docs = [(i, " ".join(f"{w} {then[w]}" for w in rng.sample(list(then), 500))) for i in range(400)]
+    got = maxent_lm.score(spark.createDataFrame(docs, "doc_id long, text string")).where("held_out").toPandas()
+    assert got.score.sum() / got.n_tokens.sum() > got.base_score.sum() / got.n_tokens.sum() + 0.4
+
+
+def test_lm_rounds_read_all_training_documents(spark, small_docs, monkeypatch):
+    plain, seen = maxent_lm._summed, []
+    monkeypatch.setattr(maxent_lm, "_summed", lambda *a: seen.append(plain(*a)) or seen[-1])
+    _, model = maxent_lm.train(spark.createDataFrame(small_docs, "doc_id long, text string"))
+    rounds = [x for x in seen if x.ndim == 3]
+    assert len(rounds) == maxent_lm.ROUNDS and all(r[0, -1].sum() == model["n"] for r in rounds)
+    assert all(r[1, -1].sum() == pytest.approx(model["n"], rel=1e-4) for r in rounds[1:])
+
+
+@pytest.mark.parametrize("raw", [0, 3])
+def test_lm_planes_come_back(raw):
+    for values in ([], [0], [1, 255, 256, 0], [2**49 - 1, 7, 2**24]):
+        got = maxent_lm._from_planes(pa.py_buffer(maxent_lm._planes(np.array(values, np.uint64), raw)))
+        assert got.tolist() == values
+
+
+def test_lm_strength_is_small_where_contexts_decide():
+    own, prior = np.array([50, 40, 60]), np.full(3, 1 / 32)
+    assert maxent_lm.strength(own, own, prior) == maxent_lm.STRENGTHS[0]
+    own, whole = np.tile([2, 2, 2, 2], 50), np.full(200, 64)
+    assert maxent_lm.strength(own, whole, np.full(200, 1 / 32)) > 64
+
+
 def test_lm_on_edge_rows(edge_docs, no_docs):
     rows = maxent_lm.score(edge_docs).collect()
     assert len(rows) == edge_docs.count()
