@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayframe.llm import kneser_ney, maxent_lm, mixing, near_dup, suffix_dedup, token_files
+from assayframe.llm import kneser_ney, maxent_lm, mixing, near_dup, suffix_dedup, token_counts, token_files
 from assayframe.llm._common import ship_package, table
 from assayframe.session import scratch_path
 
@@ -45,6 +45,11 @@ def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -52,4 +57,5 @@ QUERIES = {
     "op5_quality": op5_quality,
     "op8_token_output": op8_token_output,
     "op9_near_dup": op9_near_dup,
+    "op11_token_counts": op11_token_counts,
 }
