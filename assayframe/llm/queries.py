@@ -11,4 +11,4 @@ def queries() -> dict:
 
 
 def oracle() -> dict:
-    return dict(queries_native.ORACLE)
+    return queries_native.ORACLE | queries_free.ORACLE

@@ -1,12 +1,12 @@
-"""Queries of the operators that run numpy inside tasks. None has SQL: they are
-tested against brute-force versions and exact round trips."""
+"""Queries of the operators that run numpy inside tasks. Those without SQL are tested
+against brute-force versions and exact round trips."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayframe.llm import kneser_ney, maxent_lm, mixing, near_dup, suffix_dedup, token_counts, token_files
+from assayframe.llm import kneser_ney, maxent_lm, mixing, near_dup, spelling, suffix_dedup, token_counts, token_files
 from assayframe.llm._common import ship_package, table
 from assayframe.session import scratch_path
 
@@ -50,6 +50,51 @@ def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+# The crc32 runs over the bits of each byte, least bit first.
+OP13_SQL = r"""
+with recursive runs as (
+  select doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run, count(*) as c
+  from (select doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]{5,}')) as run from documents) t
+  group by all),
+coded as (select *, hex(encode(coalesce(doc_id::varchar, '') || ':' || run)) as hx from runs),
+hashed as (
+  select run, c, xor(4294967295, list_reduce(
+      list_prepend(4294967295::bigint, flatten(list_transform(range(1, length(hx), 2), lambda i: list_transform(range(0, 8), lambda k:
+        (((instr('0123456789ABCDEF', substr(hx, i, 1)) - 1) * 16 + instr('0123456789ABCDEF', substr(hx, i + 1, 1)) - 1) >> k) & 1)))),
+      lambda crc, b: xor(crc >> 1, (xor(crc, b) & 1) * 3988292384))) as h
+  from coded),
+words as (
+  select word, sum(c)::bigint as n
+  from (select case when h % 97 = 0 then substr(run, 1, (h % length(run))::int) || substr(run, (h % length(run))::int + 2)
+               else run end as word, c from hashed) t
+  where length(word) >= 5 group by word having sum(c) >= 3),
+cuts as (select word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) as rest
+         from words, unnest(range(1, length(word) + 1)) as u(i)),
+near as (
+  select a.word, b.word as other, b.n as other_n from cuts a join cuts b
+    on a.rest = b.rest and a.i = b.i and length(a.word) = length(b.word) and a.word <> b.word
+  union select a.word, b.word, b.n from words a join cuts b on a.word = b.rest
+  union select b.word, a.word, a.n from words a join cuts b on a.word = b.rest),
+counted as (select word, count(*) as n_near, max(other_n) as most from near group by word),
+best as (select n.word, min(n.other) as other, c.most from near n join counted c on n.word = c.word and n.other_n = c.most
+         group by n.word, c.most),
+formed as (
+  select w.word, w.n, coalesce(c.n_near, 0)::bigint as n_near, case when b.most >= 2 * w.n then b.other end as form,
+    case when b.most >= 2 * w.n then b.most end as form_n
+  from words w left join counted c using (word) left join best b using (word)),
+chain as (
+  select word, word as at_word from formed
+  union all select c.word, f.form from chain c join formed f on c.at_word = f.word where f.form is not null)
+select f.word, f.form, c.at_word as root, f.n, f.n_near, f.form_n
+from formed f join chain c using (word) join formed g on c.at_word = g.word where g.form is null
+"""
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -58,4 +103,6 @@ QUERIES = {
     "op8_token_output": op8_token_output,
     "op9_near_dup": op9_near_dup,
     "op11_token_counts": op11_token_counts,
+    "op13_spelling": op13_spelling,
 }
+ORACLE = {"op13_spelling": OP13_SQL}
