@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayframe.llm import kneser_ney, maxent_lm, mixing, near_dup, spelling, suffix_dedup, token_counts, token_files
+from assayframe.llm import kneser_ney, maxent_lm, mixing, near_dup, phrases, spelling, suffix_dedup, token_counts, token_files
 from assayframe.llm._common import ship_package, table
 from assayframe.session import scratch_path
 
@@ -50,6 +50,41 @@ def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+  from documents),
+w as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+total as (select lang, sum(len(w))::bigint as n from w group by lang),
+grams as (
+  select lang, k::bigint as k, array_to_string(w[i:i + k - 1], ' ') as phrase
+  from w, unnest([1, 2, 3]) as ks(k), unnest(range(1, len(w) - k + 2)) as u(i)),
+f as (select lang, phrase, k, count(*)::bigint as c from grams group by all having count(*) >= 10),
+cuts as (
+  select lang, phrase, c as a, cut, array_to_string(string_split(phrase, ' ')[1:cut], ' ') as head,
+    array_to_string(string_split(phrase, ' ')[cut + 1:k], ' ') as rest
+  from f, unnest(range(1, k)) as u(cut) where k > 1),
+scored as (
+  select c.lang, c.phrase, c.a, c.cut, h.c as l, t.c as r,
+    ((1000000::hugeint * c.a::hugeint * c.a::hugeint) // (h.c::hugeint * t.c::hugeint))::bigint as score
+  from cuts c join f h on h.lang = c.lang and h.phrase = c.head join f t on t.lang = c.lang and t.phrase = c.rest),
+lowest as (select * from scored qualify row_number() over (partition by lang, phrase order by score, cut) = 1),
+inner_ as (
+  select lang, array_to_string(string_split(phrase, ' ')[i:i + 1], ' ') as phrase, max(c) as longer
+  from f, unnest([1, 2]) as u(i) where k = 3 group by all),
+kept as (select l.* from lowest l left join inner_ i using (lang, phrase) where longer is null or 100 * longer < 50 * a),
+ranked as (
+  select *, row_number() over (partition by lang order by score desc, a desc, phrase)::bigint as rank from kept)
+select lang, rank, phrase, a, l, r, n, score from ranked join total using (lang) where rank <= 2000
+"""
+
+
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     return spelling.spelling_variants(table(spark, sf_dir, "documents"))
@@ -103,6 +138,7 @@ QUERIES = {
     "op8_token_output": op8_token_output,
     "op9_near_dup": op9_near_dup,
     "op11_token_counts": op11_token_counts,
+    "op12_phrases": op12_phrases,
     "op13_spelling": op13_spelling,
 }
-ORACLE = {"op13_spelling": OP13_SQL}
+ORACLE = {"op12_phrases": OP12_SQL, "op13_spelling": OP13_SQL}
