@@ -41,7 +41,7 @@ from assayframe.session import scratch_path
 
 MIN_COUNT, MAX_WORDS, BEST, SCALE, CONTAINED = 10, 3, 2000, 1_000_000, 50
 RUN_WORDS = 1 << 20
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 4 << 20
 SUFFIXES = "lang string, word string, tails binary, counts binary, n long"
 
 # ------------------------------------------------------------------ words and pieces
@@ -53,12 +53,10 @@ _GAP[[9, 32]] = True
 _GAP |= _END
 
 
-def _strings(flat: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
-    """The stretches of ``flat`` as an Arrow array of byte strings."""
-    length = end - start
+def _strings(data: np.ndarray, length: np.ndarray) -> pa.Array:
+    """Byte strings that stand one after another in ``data``."""
     offsets = np.concatenate(([0], np.cumsum(length)))
-    data = flat[np.repeat(start - offsets[:-1], length) + np.arange(offsets[-1])]
-    return pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(data.tobytes())])
+    return pa.Array.from_buffers(pa.large_binary(), len(length), [None, pa.py_buffer(offsets), pa.py_buffer(data.tobytes())])
 
 
 def _tails(words: pa.Array, ids: np.ndarray, joined: np.ndarray, n: int, group: np.ndarray, depth: int):
@@ -120,7 +118,8 @@ def _suffixes(depth: int):
             for a in range(0, len(start), RUN_WORDS):
                 b = min(a + RUN_WORDS, len(start))
                 seen = slice(a, min(b + depth - 1, len(start)))
-                coded = _strings(flat, start[seen], end[seen]).dictionary_encode()
+                part = flat[start[a]:end[seen.stop - 1]]
+                coded = _strings(part[~_GAP[part]], (end - start)[seen]).dictionary_encode()
                 words, ids = coded.dictionary, np.append(coded.indices.to_numpy().astype(np.int64), [0] * depth)
                 lead, first, rows, counts = _tails(words, ids, joined[a:b + depth], b - a, group[a:b], depth)
                 named = pa.concat_arrays([pa.array([b""], pa.large_binary()), words])
@@ -137,13 +136,14 @@ def _suffixes(depth: int):
     return run
 
 
-def _parse(tails: Sequence[bytes], width: int) -> tuple[np.ndarray, list[pa.Array]]:
-    """How many tails each row holds, and their words (empty: none) by place."""
+def _parse(tails: Sequence[bytes], width: int) -> tuple[np.ndarray, list[np.ndarray], pa.Array]:
+    """How many tails each row holds, the numbers of their words by place (negative:
+    none), and the words by number."""
     flat = np.frombuffer(b"".join(tails), dtype=np.uint8)
-    stops = np.flatnonzero((flat == 10) | (flat == 32))
-    starts = np.concatenate(([0], stops[:-1] + 1))
+    between = (flat == 10) | (flat == 32)
     n = np.array([t.count(b"\n") for t in tails], dtype=np.int64)
-    return n, [_strings(flat, starts[k::width], stops[k::width]) for k in range(width)]
+    codes, words = _codes(_strings(flat[~between], np.diff(np.flatnonzero(between), prepend=-1) - 1))
+    return n, [codes[k::width] for k in range(width)], words
 
 
 # ------------------------------------------------------------------ the sort
@@ -195,7 +195,7 @@ def multikey_counts(keys: list[np.ndarray], weights: np.ndarray, least: Sequence
 def _codes(words: pa.Array) -> tuple[np.ndarray, pa.Array]:
     """Numbers of the words, negative for empty ones, and the words by number."""
     coded = words.dictionary_encode()
-    codes = coded.indices.to_numpy().astype(np.int64)
+    codes = coded.indices.to_numpy().copy()
     empty = pc.index(coded.dictionary, b"").as_py()
     if empty >= 0:
         codes[codes == empty] = -1
@@ -213,15 +213,14 @@ def _bucket_counts(depth: int, min_count: int):
             rows = group.filter(pc.equal(group.column("dealt"), dealt)).combine_chunks()
             if not rows.num_rows:
                 continue
-            n, places = _parse(rows.column("tails").to_pylist(), depth - 1)
+            n, places, words = _parse(rows.column("tails").to_pylist(), depth - 1)
             weights = np.frombuffer(b"".join(rows.column("counts").to_pylist()), "<u4").astype(np.int64)
             of = np.repeat(np.arange(len(n)), n)
             lang, word = (rows.column(c).cast(pa.large_binary()).combine_chunks() for c in ("lang", "word"))
             lead, _ = _codes(_joined([lang, word]))
-            coded = [_codes(p) for p in places]
             least = [1] * (depth - 1) + [min_count] if dealt else [min_count] * depth
-            for d, at, counts in multikey_counts([lead[of], *[c for c, _ in coded]], weights, least):
-                phrase = [word.take(pa.array(of[at])), *[w.take(pa.array(c[at])) for c, w in coded[:d]]]
+            for d, at, counts in multikey_counts([lead[of], *places], weights, least):
+                phrase = [word.take(pa.array(of[at])), *[words.take(pa.array(c[at])) for c in places[:d]]]
                 joined = _joined(phrase)
                 out.append(pa.table([lang.take(pa.array(of[at])).cast(pa.large_string()).cast(pa.string()),
                                      joined.cast(pa.large_string()).cast(pa.string()),
