@@ -70,6 +70,17 @@ def reading_value(reading) -> Column:
     return F.when(r != UNKNOWN, parse_double(r))
 
 
+def typed_name(reading: str = "reading") -> str:
+    """The column that holds the numbers of a reading column in a typed table."""
+    return f"{reading}_value"
+
+
+def number_of(df, reading: str = "reading") -> Column:
+    """The value of each reading of ``df``, NULL where it is not known: the typed column
+    where the table has one, else parsed from the text."""
+    return F.col(typed_name(reading)) if typed_name(reading) in df.columns else reading_value(reading)
+
+
 def profile_reading(c) -> Column:
     """Profiling's reading parser: strip quotes and commas; text that is blank
     or contains ``unknown`` or ``na`` in any case (so ``NaN`` too) is rejected;

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assayframe.functions.values import NO_LIMIT, UNKNOWN, parse_double
+from assayframe.functions.values import NO_LIMIT, UNKNOWN, number_of
 from assayframe.operators.classify import NO, YES
 from assayframe.operators.lookup import check_unique, limit_frame, lookup
 from assayframe.operators.stats import _null_safe_on, group_moments, known_values
@@ -43,7 +43,7 @@ def hazard_rate_by_authority(df: DataFrame, limits: Mapping[str, DataFrame], key
     """YES / (YES + NO) per (authority, key). The limits become one dimension
     with a column per authority: one join, one aggregate over one scan, then the
     small per-key result is turned into long form."""
-    value = F.when(F.col(reading) != UNKNOWN, parse_double(F.col(reading)))
+    value = number_of(df, reading)
     names, pair = list(limits), ["category_key", "analyte_key"]
     for a in names:
         if getattr(limits[a], "_assay_unique_rows", None) is None:
@@ -54,10 +54,10 @@ def hazard_rate_by_authority(df: DataFrame, limits: Mapping[str, DataFrame], key
     wide = every.groupBy(*pair).agg(*[F.max(F.when(F.col("__a") == i, F.col("__max"))).alias(f"__lim{i}")
                                       for i in range(len(names))])
     wide._assay_unique_rows = (tuple(pair), None)
-    cur = lookup(df.select(key, category, analyte, reading), wide,
+    cur = lookup(df.select(key, category, analyte, value.alias("__value")), wide,
                  on=[(F.lower(F.col(category)), pair[0]), (F.lower(F.col(analyte)), pair[1])],
                  values=[(f"__lim{i}", f"__lim{i}") for i in range(len(names))], what="limits")
-    flags = [value_flag(value, F.col(f"__lim{i}")) for i in range(len(names))]
+    flags = [value_flag(F.col("__value"), F.col(f"__lim{i}")) for i in range(len(names))]
     agg = cur.groupBy(key).agg(*[x for i, f in enumerate(flags) for x in (
         F.count_if(f == YES).alias(f"__yes{i}"), F.count_if(f.isin(YES, NO)).alias(f"__dec{i}"))])
     per_auth = F.explode(F.array(*[
@@ -119,8 +119,7 @@ def impute_group_mean(df: DataFrame, key: str, reading: str = "reading", out: st
     # planner broadcasts it or joins by shuffle, where AQE splits a hot key.
     means = write_once(group_moments(known_values(df, key, reading), key, mean="__mean", stddev=None), "group-means")
     joined = df.join(means, _null_safe_on([key], df, means), "left").drop(means[key])
-    known = F.when(F.col(reading) != UNKNOWN, parse_double(F.col(reading)))
-    return joined.withColumn(out, F.coalesce(known, F.col("__mean"))).drop("__mean")
+    return joined.withColumn(out, F.coalesce(number_of(df, reading), F.col("__mean"))).drop("__mean")
 
 
 def hazard_rate_imputed(df: DataFrame, key: str, impute_by: str | None = None, reading: str = "reading",

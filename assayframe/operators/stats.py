@@ -8,14 +8,15 @@ Scale design (one group may hold a third of all rows):
   spillable hash aggregate with map-side combine; a hot group shrinks to its
   distinct values. It is written once, and every requested statistic is taken
   from it, so the facts are scanned once.
-* mode = ``min_by(value, (-n, value))``: O(1) state per group, ties go to the
-  smallest value.
-* median never puts a whole group into one task (``percentile``/``median``
-  would merge one value→count map per group in a single task): the histogram
-  is range-partitioned on (key, value), so a hot group is split across many
-  partitions. The totals of its (partition, key) slices tell which slices hold
-  the ranks ⌊(N+1)/2⌋ and ⌊N/2⌋+1, at most two per group; running counts are
-  taken in those alone. Exact, and every task holds one bounded slice.
+* mode = greatest ``packed(n, value)``: one decimal per group in a hash aggregate, ties
+  go to the smallest value.
+* median of a group with up to ``LISTED`` distinct values: the histogram itself, merged
+  in one task, which that number bounds. Of a larger group: radix selection. Values become
+  order-preserving 64-bit codes; four rounds each count the next 16 bits of the codes that
+  still can be the middle (a hash aggregate with map-side combine, spread over
+  all tasks) and pick the digit that holds the rank, from at most 65,536 counts.
+* several keys: one joint histogram, and a histogram per key rolled up from the smallest
+  table that has it.
 """
 
 from __future__ import annotations
@@ -23,13 +24,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assayframe.functions.values import UNKNOWN, parse_double
+from assayframe.functions.codes import code_double, double_code, packed, packed_value
+from assayframe.functions.values import UNKNOWN, parse_double, typed_name
 from assayframe.session import write_once
 
 STATS = ("mean", "median", "mode", "stddev")
+LISTED = 1 << 16            # distinct values of a group that may meet in one task
+DIGIT = 16                  # bits of a code that one round of radix selection settles
 
 
 def _keys(key) -> list[str]:
@@ -49,9 +53,13 @@ def _join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: s
 
 
 def known_values(df: DataFrame, key, reading: str = "reading", out: str = "v") -> DataFrame:
-    """Rows whose reading is not ``Unknown`` (exact case), with the value as
-    double (NULL for text that is not a number)."""
-    keys = _keys(key)
+    """Rows whose reading is known, with the value as double. A typed table
+    (column ``reading_value`` beside ``reading``) has null there for what is not
+    known, and nothing is parsed; else rows whose text is not ``Unknown`` (exact
+    case), NULL for text that is not a number."""
+    keys, typed = _keys(key), typed_name(reading)
+    if typed in df.columns:
+        return df.where(F.col(typed).isNotNull()).select(*keys, F.col(typed).alias(out))
     # Text that is not a number gives NULL, which every aggregate here skips;
     # no row filter on the parsed value (it would be parsed twice per row).
     return (df.where(F.col(reading) != UNKNOWN)
@@ -64,22 +72,6 @@ def histogram(values: DataFrame, key, value: str = "v", n: str = "n") -> DataFra
     return values.groupBy(*_keys(key), value).agg(F.count(F.lit(1)).alias(n))
 
 
-def moments_of(hist: DataFrame, key, value: str = "v", n: str = "n", mean: str = "mean",
-               stddev: str | None = "stddev") -> DataFrame:
-    """Mean and σ per group from a written histogram. σ sums squared distances
-    from the mean in a second pass over it, which loses no digits. A group without
-    numbers has NULLs."""
-    keys = _keys(key)
-    number = F.col(value).isNotNull()
-    means = hist.groupBy(*keys).agg((F.sum(F.col(value) * F.col(n)) / F.sum(F.when(number, F.col(n)))).alias(mean))
-    if stddev is None:
-        return means
-    both = _join_on_keys(hist, means, keys)
-    far = F.col(n) * (F.col(value) - F.col(mean)) * (F.col(value) - F.col(mean))
-    return both.groupBy(*keys).agg(F.first(mean).alias(mean), F.sqrt(
-        F.sum(far) / F.sum(F.when(number, F.col(n)))).alias(stddev))
-
-
 def group_moments(values: DataFrame, key, value: str = "v", mean: str | None = "mean",
                   stddev: str | None = "stddev") -> DataFrame:
     aggs = []
@@ -92,42 +84,92 @@ def group_moments(values: DataFrame, key, value: str = "v", mean: str | None = "
 
 def group_mode(hist: DataFrame, key, value: str = "v", n: str = "n", out: str = "mode") -> DataFrame:
     """Most frequent value per group; ties → smallest value."""
-    rarest_last = F.struct((-F.col(n)).alias("c"), F.col(value))
-    return hist.where(F.col(value).isNotNull()).groupBy(*_keys(key)).agg(F.min_by(F.col(value), rarest_last).alias(out))
+    best = hist.where(F.col(value).isNotNull()).groupBy(*_keys(key)).agg(F.max(packed(n, value)).alias("__best"))
+    return best.select(*_keys(key), packed_value("__best").alias(out))
+
+
+def _middle(digits: Column, rank: Column) -> Column:
+    """The digit that holds the rank in a sorted list of (digit, count), and the counts
+    before it."""
+    start = F.struct(F.lit(0).cast("long").alias("before"), F.lit(None).cast("long").alias("digit"))
 
+    def step(found, x):
+        here = found["digit"].isNull() & (found["before"] + x["n"] >= rank)
+        return F.struct(F.when(found["digit"].isNull() & ~here, found["before"] + x["n"]).otherwise(found["before"]).alias("before"),
+                        F.when(here, x["digit"]).otherwise(found["digit"]).alias("digit"))
+    return F.aggregate(digits, start, step)
 
-def group_median(hist: DataFrame, key, value: str = "v", n: str = "n", out: str = "median",
-                 partitions: int | None = None) -> DataFrame:
-    """Exact median per group from a histogram (mean of the two middle values
-    for an even count), computed in bounded slices (see module doc)."""
+
+def radix_median(hist: DataFrame, key, value: str = "v", n: str = "n", out: str = "median") -> DataFrame:
+    """Exact median per group by radix selection over the codes of the values (see
+    module doc): no sort, no window, and at most 65,536 counts of a group in a task."""
     keys = _keys(key)
-    hist = hist.where(F.col(value).isNotNull())
-    parts = partitions or int(hist.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # Range bounds come from sampling, so two evaluations could slice differently:
-    # the sliced histogram is written once.
-    ranged = write_once(hist.repartitionByRange(parts, *keys, value)
-                        .withColumn("__pid", F.spark_partition_id()), "median-slices")
-    by_key = Window.partitionBy(*keys)
-    slices = ranged.groupBy("__pid", *keys).agg(F.sum(n).alias("__slice_n"))
-    slices = (slices.withColumn("__offset", F.sum("__slice_n").over(by_key.orderBy("__pid")) - F.col("__slice_n"))
-                    .withColumn("__total", F.sum("__slice_n").over(by_key)))
-    lo_rank = F.floor((F.col("__total") + 1) / 2)
-    hi_rank = F.floor(F.col("__total") / 2) + 1
-    holds = lambda r: (F.col("__offset") < r) & (r <= F.col("__offset") + F.col("__slice_n"))
-    middle = write_once(slices.where(holds(lo_rank) | holds(hi_rank)).drop("__slice_n"), "median-middle")
-    kept = _join_on_keys(ranged, middle, [*keys, "__pid"])
-    in_slice = (Window.partitionBy("__pid", *keys).orderBy(value)
-                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    kept = kept.withColumn("__hi", F.col("__offset") + F.sum(n).over(in_slice))
-    start = F.col("__hi") - F.col(n)          # ranks start+1 … __hi hold this value
-    at = lambda r: (start < r) & (r <= F.col("__hi"))
-    picked = (kept.where(at(lo_rank) | at(hi_rank))
-                  .groupBy(*keys)
-                  .agg(F.max(F.when(at(lo_rank), F.col(value))).alias("__lo"),
-                       F.max(F.when(at(hi_rank), F.col(value))).alias("__hi_v"),
-                       F.max("__total").alias("__total")))
-    med = F.when(F.col("__total") % 2 == 1, F.col("__lo")).otherwise((F.col("__lo") + F.col("__hi_v")) / 2.0)
-    return picked.select(*keys, med.alias(out))
+    sign = F.lit(-(1 << 63))
+    rows = hist.where(F.col(value).isNotNull()).select(*keys, double_code(value).bitwiseXOR(sign).alias("__u"), F.col(n).alias("__n"))
+    total = rows.groupBy(*keys).agg(F.sum("__n").alias("__t"))
+    ranks = F.array_distinct(F.array(F.expr("(__t + 1) div 2"), F.expr("__t div 2 + 1")))
+    state = write_once(total.select(*keys, F.explode(ranks).alias("__target")).select(
+        *keys, "__target", F.col("__target").alias("__rank"), F.lit(0).cast("long").alias("__prefix")), "radix-state")
+    for shift in range(64 - DIGIT, -1, -DIGIT):
+        above = F.shiftrightunsigned("__u", shift + DIGIT) if shift + DIGIT < 64 else F.lit(0).cast("long")
+        open_ = _join_on_keys(rows.withColumn("__prefix", above), state, [*keys, "__prefix"])
+        digit = F.shiftrightunsigned("__u", shift).bitwiseAND(F.lit((1 << DIGIT) - 1))
+        counts = open_.select(*keys, "__target", "__rank", "__prefix", digit.alias("digit"), "__n").groupBy(
+            *keys, "__target", "__rank", "__prefix", "digit").agg(F.sum("__n").alias("n"))
+        lists = counts.groupBy(*keys, "__target", "__rank", "__prefix").agg(
+            F.sort_array(F.collect_list(F.struct("digit", "n"))).alias("__d"))
+        found = lists.withColumn("__f", _middle(F.col("__d"), F.col("__rank")))
+        state = write_once(found.select(
+            *keys, "__target", (F.col("__rank") - F.col("__f.before")).alias("__rank"),
+            F.shiftleft("__prefix", DIGIT).bitwiseOR(F.col("__f.digit")).alias("__prefix")), "radix-state")
+    v = code_double(F.col("__prefix").bitwiseXOR(sign))
+    ends = state.groupBy(*keys).agg(F.min_by(v, "__target").alias("__lo"), F.max_by(v, "__target").alias("__hi"), F.count("*").alias("__c"))
+    return ends.select(*keys, F.when(F.col("__c") == 1, F.col("__lo")).otherwise((F.col("__lo") + F.col("__hi")) / 2.0).alias(out))
+
+
+def _large_groups(hist: DataFrame, keys: Sequence[str], value: str = "v") -> DataFrame:
+    """Groups with more distinct values than may meet in one task."""
+    return hist.groupBy(*keys).agg(F.count(value).alias("__distinct")).where(F.col("__distinct") > LISTED)
+
+
+def group_median(hist: DataFrame, key, value: str = "v", n: str = "n", out: str = "median") -> DataFrame:
+    """Exact median per group from a written histogram (mean of the two middle values for
+    an even count)."""
+    return _from_histogram(hist, _keys(key), ("median",), {"median": out}, value, n).where(F.col(out).isNotNull())
+
+
+def _from_histogram(hist: DataFrame, keys: Sequence[str], stats: Sequence[str], names: dict, value: str = "v",
+                    n: str = "n") -> DataFrame:
+    """The statistics of every group of a written histogram, NULL for groups without
+    numbers. All but σ and the medians of large groups come from one aggregate."""
+    number = F.col(value).isNotNull()
+    aggs, large = [], None
+    if {"mean", "stddev"} & set(stats):
+        aggs.append((F.sum(F.col(value) * F.col(n)) / F.sum(F.when(number, F.col(n)))).alias("__mean"))
+    if "mode" in stats:
+        aggs.append(F.max(F.when(number, packed(n, value))).alias("__mode"))
+    rows = hist
+    if "median" in stats:
+        large = write_once(_large_groups(hist, keys, value), "large-groups")
+        if large.isEmpty():
+            large, listed = None, F.col(value)
+        else:
+            rows = _join_on_keys(hist, large, keys, "left")
+            listed = F.when(F.col("__distinct").isNull(), F.col(value))
+        aggs.append(F.percentile(listed, F.lit(0.5), F.col(n)).alias("__median"))
+    out = rows.groupBy(*keys).agg(*(aggs or [F.count(F.lit(1)).alias("__rows")]))
+    if large is not None:
+        theirs = radix_median(_join_on_keys(hist, large, keys), keys, value, n, out="__radix")
+        out = _join_on_keys(out, theirs, keys, "left").withColumn("__median", F.coalesce("__radix", "__median"))
+    if "stddev" in stats:
+        out = write_once(out, "group-stats")    # small, and read twice
+        both = _join_on_keys(hist, out.select(*keys, "__mean"), keys)
+        far = F.col(n) * (F.col(value) - F.col("__mean")) * (F.col(value) - F.col("__mean"))
+        spread = both.groupBy(*keys).agg(F.sqrt(F.sum(far) / F.sum(F.when(number, F.col(n)))).alias("__stddev"))
+        out = _join_on_keys(out, spread, keys, "left")
+    of = {"mean": F.col("__mean"), "stddev": F.col("__stddev"), "median": F.col("__median"),
+          "mode": packed_value("__mode") if "mode" in stats else None}
+    return out.select(*keys, *[of[x].alias(names[x]) for x in STATS if x in stats])
 
 
 def group_stats(df: DataFrame, key, stats: Sequence[str] = STATS, reading: str = "reading",
@@ -145,31 +187,47 @@ def group_stats(df: DataFrame, key, stats: Sequence[str] = STATS, reading: str =
         out = group_moments(values, keys, mean=names["mean"] if "mean" in stats else None,
                             stddev=names["stddev"] if "stddev" in stats else None)
     else:
-        hist = write_once(histogram(values, keys), "histogram")
-        out = moments_of(hist, keys, mean=names["mean"], stddev=names["stddev"] if "stddev" in stats else None)
-        parts = []
-        if "median" in stats:
-            parts.append(group_median(hist, keys, out=names["median"]))
-        if "mode" in stats:
-            parts.append(group_mode(hist, keys, out=names["mode"]))
-        for p in parts:
-            out = _join_on_keys(out, p, keys, "left")
-    if round_to is not None:
-        for s in ("mean", "stddev"):
-            if s in stats:
-                out = out.withColumn(names[s], F.round(names[s], round_to))
-    return out.select(*keys, *[names[s] for s in STATS if s in stats])
+        out = _from_histogram(write_once(histogram(values, keys), "histogram"), keys, stats, names)
+    return _rounded(out, stats, names, round_to).select(*keys, *[names[x] for x in STATS if x in stats])
+
+
+def _rounded(out: DataFrame, stats: Sequence[str], names: dict, round_to: int | None) -> DataFrame:
+    for x in ("mean", "stddev"):
+        if round_to is not None and x in stats:
+            out = out.withColumn(names[x], F.round(names[x], round_to))
+    return out
+
+
+def roll_ups(joint: DataFrame, keys: Sequence[str], value: str = "v", n: str = "n") -> dict[str, DataFrame]:
+    """A histogram per key from a written joint histogram over all keys. The key with the
+    most values is rolled up first and then summed out, so each key's parent is the
+    smallest table that still has it; the numbers of values are measured."""
+    sizes = joint.agg(*[F.approx_count_distinct(F.col(k)).alias(f"c{i}") for i, k in enumerate(keys)]).first()
+    order = [k for _, k in sorted(((sizes[f"c{i}"], i), k) for i, k in enumerate(keys))]
+    parent, out = joint, {}
+    while order:
+        k = order.pop()
+        out[k] = parent.groupBy(k, value).agg(F.sum(n).alias(n))
+        if order:
+            parent = parent.groupBy(*order, value).agg(F.sum(n).alias(n))
+    return out
 
 
 def group_stats_by_each(df: DataFrame, keys: Sequence[str], stats: Sequence[str] = STATS, reading: str = "reading",
                         round_to: int | None = None, dimension: str = "dimension", key: str = "key") -> DataFrame:
-    """Statistics for several grouping columns in one pass, in long form
-    ``(dimension, key, stats…)``: each known reading is repeated once per
-    grouping column (the row expansion GROUPING SETS would do), so the facts
-    are scanned once and one histogram serves all columns. Key values are compared as text."""
-    values = df.where(F.col(reading) != UNKNOWN).select(
-        F.explode(F.array(*[F.struct(F.lit(k).alias(dimension), F.col(k).cast("string").alias(key))
-                            for k in keys])).alias("__d"),
-        F.col(reading))
-    long = values.select(F.col(f"__d.{dimension}").alias(dimension), F.col(f"__d.{key}").alias(key), reading)
-    return group_stats(long, [dimension, key], stats=stats, reading=reading, round_to=round_to)
+    """Statistics for several grouping columns in one pass over the facts, in long form
+    ``(dimension, key, stats…)``: one joint histogram of all columns is written, and each
+    column's histogram rolled up from it, so no fact is repeated. Key values are
+    compared as text."""
+    keys = list(dict.fromkeys(keys))
+    named = {k: f"__key_{i}" for i, k in enumerate(keys)}
+    facts = known_values(df, keys, reading, out="v").select(
+        *[F.col(k).cast("string").alias(c) for k, c in named.items()], "v")
+    joint = write_once(histogram(facts, list(named.values())), "joint-histogram")
+    each = roll_ups(joint, list(named.values()))
+    long = reduce(DataFrame.unionAll, [
+        each[c].select(F.lit(k).alias(dimension), F.col(c).alias(key), "v", "n") for k, c in named.items()])
+    hist = write_once(long, "histogram")
+    names = {x: x for x in STATS}
+    out = _from_histogram(hist, [dimension, key], stats, names)
+    return _rounded(out, stats, names, round_to).select(dimension, key, *[x for x in STATS if x in stats])

@@ -35,9 +35,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _TABLES[key]
 
 
-def measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(record_id, category, item, analyte, reading, maker, country).
-    A line with no discount stands for a reading that was not measured."""
+def measurements(spark: SparkSession, sf_dir: str, typed: bool = False) -> DataFrame:
+    """(record_id, category, item, analyte, reading, maker, country), and the number of
+    the reading as a typed table has it. A line with no discount stands for a reading
+    that was not measured."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_returnflag",
                                                  "l_quantity", "l_discount")
     pa = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_name", "p_brand")
@@ -50,10 +51,11 @@ def measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .join(su, li.l_suppkey == su.s_suppkey)
                 .join(na, su.s_nationkey == na.n_nationkey))
     reading = F.when(F.col("l_discount") == 0.0, F.lit("Unknown")).otherwise(F.col("l_quantity").cast("string"))
+    value = F.when(F.col("l_discount") != 0.0, F.col("l_quantity").cast("double")).alias("reading_value")
     return joined.select(
         F.col("l_orderkey").alias("record_id"), F.col("p_type").alias("category"), F.col("p_name").alias("item"),
         F.col("l_returnflag").alias("analyte"), reading.alias("reading"), F.col("p_brand").alias("maker"),
-        F.col("n_name").alias("country"),
+        F.col("n_name").alias("country"), *([value] if typed else []),
     )
 
 

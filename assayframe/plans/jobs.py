@@ -23,7 +23,7 @@ from assayframe.operators.ranking import rank_by
 from assayframe.operators.rates import is_decided, is_na, is_unknown, is_yes
 from assayframe.operators.stats import group_stats_by_each
 from assayframe.session import write_once
-from assayframe.sources.clean import CLEAN_COLUMNS, scan_clean, write_clean
+from assayframe.sources.clean import CLEAN_COLUMNS, publish_clean, scan_clean
 from assayframe.sources.text import (
     FIELDS,
     arity_guard,
@@ -98,8 +98,8 @@ def _rate(counts: DataFrame, key: str, hits: str, among: str, above: float | Non
 
 def clean_job(spark: SparkSession, path: str, out_path: str, limits: DataFrame, synonyms: DataFrame | None,
               header: str | None = None, fmt: str = "parquet") -> DataFrame:
-    """Clean, normalise and flag the raw text, overwrite ``out_path`` with the
-    cleaned records, and return the one-row cleaning report."""
+    """Clean, normalise and flag the raw text, publish the cleaned records as the current
+    ones of ``out_path``, and return the one-row cleaning report."""
     lines = scan_lines(spark, path)
     if header is None:
         header = first_line(lines)
@@ -108,7 +108,7 @@ def clean_job(spark: SparkSession, path: str, out_path: str, limits: DataFrame,
     seen = Observation()
     parsed = parse_csv(drop_header(lines, header)).observe(seen, F.count(F.lit(1)).alias("raw_records"))
     kept = required_fields(arity_guard(parsed, CLEAN_ARITY))
-    write_clean(enrich(kept.select(*clean_columns()), limits, synonyms), out_path, fmt=fmt)
+    publish_clean(enrich(kept.select(*clean_columns()), limits, synonyms), out_path, fmt=fmt)
     counts = scan_clean(spark, out_path, fmt=fmt).agg(
         F.count(F.lit(1)).alias("cleaned_records"), F.count_if(F.col("reading") == UNKNOWN).alias("unknown_readings"),
         F.count_if(F.col("flag") == NO_LIMIT).alias("na_flags"))
@@ -122,7 +122,7 @@ def analytics_job(spark: SparkSession, clean_path: str, fmt: str = "parquet", k:
                   country: str = "country") -> dict[str, DataFrame]:
     """Statistics by category, country and maker; analyte distributions;
     hazard rates; the makers and items with the most YES flags."""
-    df = scan_clean(spark, clean_path, fmt=fmt)
+    df = scan_clean(spark, clean_path, fmt=fmt, typed=True)
     out: dict[str, DataFrame] = {}
     # All statistics for the three grouping columns in one pass, all rates and hits
     # in another; the results (one row per group) are written once so that each
@@ -142,7 +142,7 @@ def analytics_job(spark: SparkSession, clean_path: str, fmt: str = "parquet", k:
     out["hazard_maker_over_half"] = rank_by(
         _rate(counts, "maker", "yes", "decided", HAZARD_CUTOFF), "rate", "maker", k=k)
     for name, key in (("top_makers", "maker"), ("top_items", "item")):
-        hits = counts.where((F.col("dimension") == key) & (F.col("yes") > 0))
+        hits = counts.where(F.col("dimension") == key)      # groups without a YES count too
         out[name] = rank_by(hits.select(F.col("key").alias(key), F.col("yes").alias("n")), "n", key, k=k)
     return out
 

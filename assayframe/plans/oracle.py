@@ -294,10 +294,9 @@ def oracle() -> dict[str, str]:
         "category_per_analyte_flat": _meas("select analyte, category, count(*) as n from measurements "
                                            "group by analyte, category"),
         "category_per_analyte": _meas(
-            "select analyte, substr(md5(category), 1, 1) as part, "
-            "string_agg(category || ':' || n, ',' order by category) as counts from "
+            "select analyte, string_agg(category || ':' || n, ',' order by category) as counts from "
             "(select analyte, category, count(*) as n from measurements group by analyte, category) t "
-            "group by analyte, substr(md5(category), 1, 1)"),
+            "group by analyte"),
         "value_count": _meas("select count_if(lower(category) = 'promo') as n from measurements"),
         "distinct_category": _meas("select distinct category from measurements"),
         "distinct_analyte": _meas("select distinct analyte from measurements"),
@@ -332,6 +331,8 @@ def oracle() -> dict[str, str]:
             "(select count(*) as cleaned_records, count_if(reading = 'Unknown') as unknown_readings, "
             "count_if(flag = 'NA') as na_flags from enriched) c", True),
         "scan_clean": _raw(f"select {CLEAN_12} from enriched", True),
+        "clean_published": _raw(f"select {CLEAN_12}, case when isnan(v) then null else v end as reading_value "
+                                f"from (select *, case when reading <> 'Unknown' then {num('reading')} end as v from enriched)", True),
         "clean_roundtrip": _raw(f"select {CLEAN_12} from enriched", True),
         "catalog_partitioned": _raw(f"select {CLEAN_12} from enriched", True),
         "preview": _raw(f"select {CLEAN_12} from enriched order by record_id limit 10", True),

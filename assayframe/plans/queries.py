@@ -45,7 +45,7 @@ from assayframe.operators.rates import group_hits, hazard_rate, is_yes, na_rate,
 from assayframe.operators.stats import group_stats, group_stats_by_each
 from assayframe.plans import fixtures as fx
 from assayframe.session import scratch_path
-from assayframe.sources.clean import CLEAN_COLUMNS, preview, register_table, scan_clean, write_clean
+from assayframe.sources.clean import CLEAN_COLUMNS, preview, publish_clean, register_table, scan_clean, write_clean
 from assayframe.sources.text import arity_guard, drop_header, field, fields_to_columns, parse_csv, scan_lines
 from assayframe.streaming.clean_stream import clean_stream, read_line_stream, write_stream
 
@@ -56,8 +56,8 @@ N_FLAT_FIELDS = 11
 
 
 # ---------------------------------------------------------------- measurements
-def _classified(spark, sf):
-    m = fx.measurements(spark, sf)
+def _classified(spark, sf, typed=True):
+    m = fx.measurements(spark, sf, typed)
     return classify(limit_lookup(m, fx.measurement_limits(spark)))
 
 
@@ -66,7 +66,7 @@ def q_limit_lookup(spark, sf):
 
 
 def q_classify(spark, sf):
-    return _classified(spark, sf)
+    return _classified(spark, sf, typed=False)
 
 
 def q_hazard_rate_category(spark, sf):
@@ -111,7 +111,7 @@ def q_unknown_rate_country(spark, sf):
 
 def _stat_query(key: str, stat: str) -> Query:
     def q(spark, sf):
-        res = group_stats(fx.measurements(spark, sf), key, stats=(stat,), round_to=ROUND)
+        res = group_stats(fx.measurements(spark, sf, typed=True), key, stats=(stat,), round_to=ROUND)
         return rank_by(res, stat, key, k=None)
     q.__name__ = f"q_{stat}_by_{key}"
     return q
@@ -119,12 +119,12 @@ def _stat_query(key: str, stat: str) -> Query:
 
 def q_stats_by_each_key(spark, sf):
     """Mean, median, mode and σ by category, country and maker in one pass."""
-    return group_stats_by_each(fx.measurements(spark, sf), ["category", "country", "maker"], round_to=ROUND)
+    return group_stats_by_each(fx.measurements(spark, sf, typed=True), ["category", "country", "maker"], round_to=ROUND)
 
 
 def q_top_k_groups(spark, sf):
     """The 20 makers with the highest mean reading."""
-    res = group_stats(fx.measurements(spark, sf), "maker", stats=("mean",), round_to=ROUND)
+    res = group_stats(fx.measurements(spark, sf, typed=True), "maker", stats=("mean",), round_to=ROUND)
     return rank_by(res, "mean", "maker", k=TOP_K)
 
 
@@ -139,7 +139,7 @@ def q_category_per_analyte_flat(spark, sf):
 def q_category_per_analyte(spark, sf):
     nested = nested_distribution(fx.measurements(spark, sf), "analyte", "category")
     entry = lambda c: F.concat(c["category"], F.lit(":"), c["n"])
-    return nested.select("analyte", "part", F.array_join(F.transform("counts", entry), ",").alias("counts"))
+    return nested.select("analyte", F.array_join(F.transform("counts", entry), ",").alias("counts"))
 
 
 def q_value_count(spark, sf):
@@ -233,6 +233,16 @@ def q_scan_clean(spark, sf):
     return scan_clean(spark, path, fmt="parquet")
 
 
+def q_clean_published(spark, sf):
+    """The cleaned records published over an older, partial version, read back typed."""
+    path = scratch_path(spark, "clean_published")
+    clean = _clean(spark, sf)
+    publish_clean(clean.where("flag = 'YES'"), path)
+    publish_clean(clean, path)
+    back = scan_clean(spark, path, typed=True)
+    return back.withColumn("reading_value", F.when(~F.isnan("reading_value"), F.col("reading_value")))   # NaN has no one text
+
+
 def q_clean_roundtrip(spark, sf):
     path = scratch_path(spark, "clean_tsv")
     write_clean(_clean(spark, sf), path, fmt="tsv")
@@ -311,11 +321,11 @@ def q_stream_clean_records(spark, sf):
 # ---------------------------------------------- alternatives (several limits …)
 def q_hazard_rate_by_authority(spark, sf):
     limits = authority_limits(spark, fx.authority_limit_rows())
-    return hazard_rate_by_authority(fx.measurements(spark, sf), limits, "category")
+    return hazard_rate_by_authority(fx.measurements(spark, sf, typed=True), limits, "category")
 
 
 def q_hazard_by_dual_label(spark, sf):
-    m = fx.measurements(spark, sf).withColumnRenamed("item", "item_raw")
+    m = fx.measurements(spark, sf, typed=True).withColumnRenamed("item", "item_raw")
     m = canonical_item(m, fx.part_synonyms(spark), item="item_raw", out="item")
     return hazard_by_dual_label(classify(limit_lookup(m, fx.measurement_limits(spark))))
 
@@ -335,7 +345,7 @@ def q_hazard_rate_bounds_country(spark, sf):
 
 
 def q_hazard_rate_imputed_category(spark, sf):
-    m = limit_lookup(fx.measurements(spark, sf), fx.measurement_limits(spark))
+    m = limit_lookup(fx.measurements(spark, sf, typed=True), fx.measurement_limits(spark))
     return hazard_rate_imputed(m, "category")
 
 
@@ -394,6 +404,7 @@ def registry() -> dict[str, Query]:
         "row_count_grouped": q_row_count_grouped,
         "cleaning_report": q_cleaning_report,
         "scan_clean": q_scan_clean,
+        "clean_published": q_clean_published,
         "clean_roundtrip": q_clean_roundtrip,
         "preview": q_preview,
         "catalog_partitioned": q_catalog_partitioned,

@@ -270,20 +270,21 @@ def test_stats_match_brute_force_and_multi_key_form(spark):
         assert multi == single
 
 
-def test_nested_distribution_has_one_shape(spark):
+def test_nested_distribution_is_one_list_or_parts_by_digits(spark):
     import hashlib
-    few = spark.createDataFrame([("lead", "c1"), ("zinc", None)], "analyte string, category string")
-    many = spark.createDataFrame([("lead", f"c{i}") for i in range(400)] + [("zinc", "c1")],
+    many = spark.createDataFrame([("lead", f"c{i}") for i in range(400)] + [("zinc", "c1"), ("zinc", None)],
                                  "analyte string, category string")
-    for df in (few, many):
-        nested = nested_distribution(df, "analyte", "category")
+    whole = nested_distribution(many, "analyte", "category")
+    assert whole.columns == ["analyte", "counts"]
+    assert {r["analyte"]: len(r["counts"]) for r in whole.collect()} == {"lead": 400, "zinc": 2}
+    for digits in (1, 2):
+        nested = nested_distribution(many, "analyte", "category", digits=digits)
         assert nested.columns == ["analyte", "part", "counts"]
         for r in nested.collect():
             assert r["counts"] == sorted(r["counts"], key=lambda c: c["category"] or "")
-            assert {hashlib.md5((c["category"] or "").encode()).hexdigest()[:1] for c in r["counts"]} == {r["part"]}
-    flat = sorted((r["analyte"], c["category"], c["n"])
-                  for r in nested_distribution(many, "analyte", "category", digits=2).collect() for c in r["counts"])
-    assert flat == sorted([("lead", f"c{i}", 1) for i in range(400)] + [("zinc", "c1", 1)])
+            assert {hashlib.md5((c["category"] or "").encode()).hexdigest()[:digits] for c in r["counts"]} == {r["part"]}
+        flat = sorted((r["analyte"], c["category"] or "", c["n"]) for r in nested.collect() for c in r["counts"])
+        assert flat == sorted([("lead", f"c{i}", 1) for i in range(400)] + [("zinc", "c1", 1), ("zinc", "", 1)])
 
 
 def test_groups_do_not_depend_on_the_statistics(spark):
@@ -318,3 +319,80 @@ def test_stats_with_integer_and_null_keys(spark):
                                "grp int, reading string")
     got = {r[0]: (r[1], r[2]) for r in group_stats(df, "grp", stats=("median", "mode")).collect()}
     assert got == {1: (3.0, 2.0), 2: (7.0, 7.0), None: (5.0, 5.0)}
+
+
+def _hot_values(spark, n=6000):
+    """One group with most rows, NaN, both zeros, infinities and denormal numbers."""
+    rnd = random.Random(9)
+    odd = [0.0, -0.0, float("nan"), float("inf"), float("-inf"), 5e-324, -5e-324, 1e308, -1e308, 2.5]
+    rows_ = [("hot" if rnd.random() < .7 else f"g{rnd.randint(0, 5)}", rnd.choice(odd) if rnd.random() < .1 else rnd.gauss(0, 10 ** rnd.randint(-3, 9)))
+             for _ in range(n)] + [("even", -1.0), ("even", 4.0), ("one", -7.25), ("all_nan", float("nan"))]
+    return rows_, spark.createDataFrame(rows_, "grp string, reading_value double")
+
+
+def test_radix_median_equals_brute_force(spark, monkeypatch):
+    from assayframe.operators import stats as st
+    rows_, df = _hot_values(spark)
+    order = lambda v: (math.isnan(v), 0.0 if math.isnan(v) else v)
+    want = {}
+    for g in {g for g, _ in rows_}:
+        v = sorted((v for x, v in rows_ if x == g), key=order)
+        lo, hi = v[(len(v) - 1) // 2], v[len(v) // 2]
+        want[g] = lo if len(v) % 2 else (lo + hi) / 2
+    for listed in (st.LISTED, 40, 0):       # all groups in one list, large ones by radix, all by radix
+        monkeypatch.setattr(st, "LISTED", listed)
+        got = {r["grp"]: r["median"] for r in group_stats(df, "grp", stats=("median",)).collect()}
+        assert set(got) == set(want)
+        assert all(got[g] == want[g] or (math.isnan(got[g]) and math.isnan(want[g])) for g in want), (listed, got, want)
+        both = group_stats(df.where("not isnan(reading_value)"), "grp").collect()
+        assert {r["grp"] for r in both} == set(want) - {"all_nan"}
+
+
+def test_radix_median_never_sorts_or_gathers_a_group(spark):
+    from assayframe.operators import stats as st
+    _, df = _hot_values(spark, 300)
+    text = plan_of(st.radix_median(st.histogram(st.known_values(df, "grp"), "grp"), "grp"))
+    for node in ("Window", "rangepartitioning", "SinglePartition", "percentile"):
+        assert node not in text, node
+
+
+def test_typed_tables_are_not_parsed(spark):
+    from assayframe.operators.alternatives import hazard_rate_imputed
+    from assayframe.operators.stats import group_stats_by_each
+    typed = spark.createDataFrame([("food-spice", "lead", "3", 3.0, "a"), ("food-spice", "lead", "Unknown", None, "a"),
+                                   ("food-spice", "lead", "NaN", float("nan"), "b"), ("food-spice", "lead", "0.5", 0.5, "b")],
+                                  "category string, analyte string, reading string, reading_value double, maker string")
+    text = typed.drop("reading_value")
+    limits = limit_frame(spark, LIMITS)
+    for run in (lambda d: group_stats(d, "maker", stats=("mean",)), lambda d: group_stats(d, "maker", stats=("mode", "median")),
+                lambda d: group_stats_by_each(d, ["maker", "category"], stats=("mode", "median")),
+                lambda d: classify(limit_lookup(d, limits)).select("maker", "reading", "flag"),
+                lambda d: hazard_rate_imputed(limit_lookup(d, limits), "maker", "category")):
+        assert sorted(map(repr, run(typed).collect())) == sorted(map(repr, run(text).collect()))
+    logical = lambda d: d._jdf.queryExecution().optimizedPlan().toString()
+    parsed = "try_cast"
+    assert parsed not in logical(group_stats(typed, "maker", stats=("mean",))).lower()
+    assert parsed not in logical(classify(limit_lookup(typed, limits))).lower()
+    assert "cast" in logical(group_stats(text, "maker", stats=("mean",))).lower()
+
+
+def test_roll_ups_take_the_smallest_parent_and_never_repeat_facts(spark):
+    from assayframe.operators import stats as st
+    rnd = random.Random(3)
+    rows_ = [(rnd.choice("ab"), rnd.choice([None, "x", "y", "z"]), f"m{rnd.randint(0, 90)}", float(rnd.randint(0, 9))) for _ in range(3000)]
+    df = spark.createDataFrame(rows_, "small string, mid string, big string, v double")
+    joint = st.write_once(st.histogram(df, ["small", "mid", "big"]), "joint")
+    found = st.roll_ups(joint, ["big", "small", "mid"])
+    for i, key in enumerate(("small", "mid", "big")):
+        counts = {}
+        for r in rows_:
+            counts[r[i], r[3]] = counts.get((r[i], r[3]), 0) + 1
+        assert {(r[key], r["v"]): r["n"] for r in found[key].collect()} == counts
+    # the key with the fewest values comes last, from a table without the others
+    plan = found["small"]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 3 and found["big"]._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [") == 1
+
+
+def test_mode_runs_on_a_hash_aggregate(spark):
+    rows_, df = _hot_values(spark, 500)
+    assert "SortAggregate" not in plan_of(group_stats(df, "grp", stats=("mode",)))

@@ -36,17 +36,20 @@ def test_top_k_is_take_ordered(spark):
     assert "TakeOrderedAndProject" in text and "SinglePartition" not in text
 
 
-def test_median_joins_its_few_middle_slices_and_never_gathers(spark):
+def test_median_counts_small_groups_in_a_histogram(spark):
+    """Groups of few distinct values: one weighted aggregate over the written histogram,
+    no window, no range shuffle, no join."""
     text = plan(spark, "median_by_maker")
-    assert "BroadcastHashJoin" in text
-    assert "Window" in text
-    assert "SinglePartition" not in text
-    assert "ObjectHashAggregate" not in text      # no per-group value maps (built-in median/percentile)
+    assert "reading_value" not in text and "ReadSchema: struct<maker:string,v:double,n:bigint>" in text
+    for node in ("Window", "SinglePartition", "Join"):
+        assert node not in text, node
 
 
-def test_mode_keeps_o1_state(spark):
+def test_mode_keeps_fixed_width_state(spark):
     text = plan(spark, "mode_by_maker")
-    assert "ObjectHashAggregate" not in text and "SinglePartition" not in text
+    assert "HashAggregate" in text
+    for node in ("ObjectHashAggregate", "SortAggregate", "SinglePartition", "Join"):
+        assert node not in text, node
 
 
 def test_scans_read_only_needed_columns(spark):
@@ -79,4 +82,10 @@ def test_statistics_scan_the_facts_once(spark):
     from assayframe.plans import fixtures as fx
     facts = fx.measurements(spark, SF_SMALL)
     text = group_stats_by_each(facts, ["category", "maker"])._jdf.queryExecution().executedPlan().toString()
-    assert "l_discount" not in text and re.search(r"ReadSchema: struct<dimension:string,key:string,v:double,n:bigint", text)
+    assert "l_discount" not in text and "ReadSchema: struct<dimension:string,key:string,v:double,n:bigint" in text
+
+
+def test_statistics_of_typed_tables_parse_nothing(spark):
+    for name in ("mean_by_maker", "stddev_by_category", "hazard_rate_category", "hazard_rate_by_authority"):
+        text = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+        assert "regexp_extract" not in text, name

@@ -216,3 +216,95 @@ def test_tab_in_a_field_shifts_the_text_layout(spark, tmp_path):
     write_clean(clean, out, fmt="tsv")
     r = scan_clean(spark, out, fmt="tsv").first()
     assert (r["maker"], r["country"], r["country_alt"]) == ("Ma", "ker", "India")
+
+
+def _many_lines():
+    """Records over a few makers and items, some of which have no YES."""
+    out = [HEADER]
+    for i in range(300):
+        maker, item = f"maker {i % 7}", f"item {i % 11}"
+        reading = ["Unknown", "0.25", "3", "12.5", "NaN", "1,000", "0.5"][(i * i + i // 7) % 7] if i % 7 else "0.5"
+        out.append(f"{i},{['Food-Spice', 'Cosmetics', 'Toys'][i % 3]},{item},{['Lead', 'Zinc'][i % 2]},\"{reading}\",ppm,"
+                   f"{maker},{['India', 'Peru', 'N/A'][i // 5 % 3]},Chile,,")
+    return out
+
+
+def test_every_result_of_the_analytics_job_equals_its_operator(spark, tmp_path):
+    from assayframe.operators import (group_hits, group_stats, hazard_rate, is_yes, nested_distribution, rank_by,
+                                      value_distribution)
+    from assayframe.plans.jobs import analytics_job, clean_job
+    raw, out = str(tmp_path / "raw_all"), str(tmp_path / "clean_all")
+    write_lines(raw, _many_lines())
+    clean_job(spark, raw, out, limit_frame(spark, LIMITS), None)
+    df = scan_clean(spark, out)
+    want = {f"{stat}_by_{key}": rank_by(group_stats(df, key, stats=(stat,)), stat, key, k=None)
+            for key in ("category", "country", "maker") for stat in ("mean", "median", "mode")}
+    want["stddev_by_category"] = rank_by(group_stats(df, "category", stats=("stddev",)), "stddev", "category", k=None)
+    want["analyte_distribution"] = rank_by(value_distribution(df, "analyte"), "n", "analyte", k=None)
+    want["category_per_analyte"] = nested_distribution(df, "analyte", "category").orderBy("analyte")
+    want["hazard_rate_category"] = rank_by(hazard_rate(df, "category"), "rate", "category", k=None)
+    want["hazard_country_over_half"] = rank_by(hazard_rate(df, "country", min_rate=0.5), "rate", "country", k=None)
+    want["hazard_maker_over_half"] = rank_by(hazard_rate(df, "maker", min_rate=0.5), "rate", "maker", k=None)
+    want["top_makers"] = rank_by(group_hits(df, "maker", is_yes()), "n", "maker", k=None)
+    want["top_items"] = rank_by(group_hits(df, "item", is_yes()), "n", "item", k=None)
+    for k in (None, 4):
+        got = analytics_job(spark, out, k=k)
+        assert set(got) == set(want) and len(got) == 17
+        for name, expected in want.items():
+            rows_ = expected.collect()
+            if k is not None and name != "category_per_analyte":
+                rows_ = rows_[:k]
+            found = got[name].collect()
+            assert got[name].columns == expected.columns and len(found) == len(rows_), name
+            for a, b in zip(found, rows_):
+                for x, y in zip(a, b):      # σ and means: sums in another order
+                    assert x == y or (isinstance(x, float) and (x == pytest.approx(y, rel=1e-9) or (x != x and y != y))), (name, a, b)
+    makers = {r["maker"]: r["n"] for r in analytics_job(spark, out, k=None)["top_makers"].collect()}
+    assert len(makers) == 7 and makers["maker 0"] == 0      # a maker without a YES is in the ranking
+
+
+def test_typed_records_and_schema_versions(spark, tmp_path):
+    from assayframe.sources.clean import TYPED, schema_version
+    write_lines(str(tmp_path / "raw"), _many_lines())
+    clean = clean_records(scan_lines(spark, str(tmp_path / "raw")), limit_frame(spark, LIMITS), None, header=HEADER)
+    new, old, text = (str(tmp_path / x) for x in ("v2", "v1", "tsv"))
+    write_clean(clean, new)
+    clean.select(*CLEAN_COLUMNS).write.parquet(old)             # a table of the first version
+    write_clean(clean, text, fmt="tsv")
+    assert schema_version(spark, new) == 2 and schema_version(spark, old) == 1
+    key = lambda r: repr(tuple(r))
+    found = [sorted(scan_clean(spark, p, fmt=f, typed=True).collect(), key=key) for p, f in ((new, "parquet"), (old, "parquet"), (text, "tsv"))]
+    assert list(map(key, found[0])) == list(map(key, found[1])) == list(map(key, found[2]))
+    for r in found[0]:
+        assert (r[TYPED] is None) == (r["reading"] == "Unknown")
+        assert r[TYPED] is None or r["reading"] == "NaN" or r[TYPED] == float(r["reading"])
+    plan = scan_clean(spark, new, typed=True).where(F.col(TYPED) > 2.0).select("maker", TYPED)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(reading_value,2.0)" in text             # the range reaches the files
+    assert "ReadSchema: struct<maker:string,reading_value:double>" in text
+    assert register_table(spark, "clean_typed", new).columns == list(CLEAN_COLUMNS)
+    assert dict(spark.table("clean_typed").dtypes)[TYPED] == "double"
+
+
+def test_publishing_keeps_the_old_table_until_the_new_one_is_whole(spark, tmp_path):
+    from assayframe.sources.clean import current_folder, drop_old, publish_clean
+    write_lines(str(tmp_path / "raw"), _many_lines())
+    clean = clean_records(scan_lines(spark, str(tmp_path / "raw")), limit_frame(spark, LIMITS), None, header=HEADER)
+    path = str(tmp_path / "published")
+    first = publish_clean(clean.where("maker = 'maker 1'"), path)
+    n = scan_clean(spark, path).count()
+    assert n and current_folder(spark, path) == first
+    fails = clean.withColumn("unit", F.when(F.col("record_id") == "290", F.raise_error(F.lit("lost"))).otherwise(F.col("unit")))
+    with pytest.raises(Exception, match="lost"):
+        publish_clean(fails, path)
+    assert scan_clean(spark, path).count() == n and current_folder(spark, path) == first
+    reader = scan_clean(spark, path)
+    second = publish_clean(clean, path)
+    assert scan_clean(spark, path).count() == clean.count() and reader.count() == n     # readers keep what they opened
+    register_table(spark, "clean_pointed", path)
+    assert spark.table("clean_pointed").count() == clean.count()
+    assert len(drop_old(spark, path)) == 2 and current_folder(spark, path) == second    # the failed one too
+    assert scan_clean(spark, path).count() == clean.count()
+    for fmt in ("tsv",):
+        publish_clean(clean, path + fmt, fmt=fmt)
+        assert scan_clean(spark, path + fmt, fmt=fmt).count() == clean.count()
