@@ -179,12 +179,13 @@ class Encoder:
 _encoders: dict[str, Encoder] = {}
 
 
-def _encoder(path: str) -> Encoder:
+def _encoder(path: str, cache_entries: int = CACHE_ENTRIES) -> Encoder:
     """The worker's encoder: it stays, with its cache, for the next task."""
-    if path not in _encoders:
+    found = _encoders.get(path)
+    if found is None or found.entries != cache_entries:
         _encoders.clear()
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+        _encoders[path] = found = Encoder(path, cache_entries)
+    return found
 
 
 def shard_bytes(lengths: np.ndarray, ids: np.ndarray) -> bytes:
@@ -222,12 +223,12 @@ def _pieces(batches: Iterator[pa.RecordBatch], size: int = CHUNK_BYTES) -> Itera
                 yield batch.slice(a, b - a)
 
 
-def _writer(path: str, end_id: int, shard_ids: int) -> Callable:
+def _writer(path: str, end_id: int, shard_ids: int, cache_entries: int) -> Callable:
     schema = pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("first_in_part", pa.int64()),
                         ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("payload", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(path)
+        encoder = _encoder(path, cache_entries)
         part, shard, done = 0, 0, 0
         docs, lengths, ids, size = [], [], [], 0
 
@@ -260,13 +261,15 @@ def _writer(path: str, end_id: int, shard_ids: int) -> Callable:
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = 2,
-                      shard_ids: int = SHARD_IDS, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Tokenize the documents in ascending id and write the shards to ``path``."""
+                      shard_ids: int = SHARD_IDS, id_col: str = "doc_id", text_col: str = "text",
+                      cache_entries: int = CACHE_ENTRIES) -> None:
+    """Tokenize the documents in ascending id and write the shards to ``path``. A worker
+    keeps up to ``cache_entries`` stretches, also after its task (about 250 bytes each)."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), as_text(F.col(text_col)).alias("text"))
     rows = rows.withColumn("h", F.xxhash64("text"))
     ranged = rows.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h")
     ranged = ranged.select(F.spark_partition_id().alias("part"), "doc_id", "text")
-    shards = ranged.mapInArrow(_writer(tokenizer or default_tokenizer(), end_id, shard_ids), SHARD_SCHEMA)
+    shards = ranged.mapInArrow(_writer(tokenizer or default_tokenizer(), end_id, shard_ids, cache_entries), SHARD_SCHEMA)
     shards.write.parquet(path)
 
 
