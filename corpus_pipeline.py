@@ -4,6 +4,12 @@ Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is wri
 as Parquet and read again as the next stage's ``docs``. All but the last return the
 columns of ``documents``; the last returns one row per document of the written
 token shards.
+
+Defined results: a null text is empty; an empty document is not judged by the classifier's
+words, is near nothing and is not contaminated; repeated rows stay together or go together but
+for near-duplicates, where one id's equal rows are one document and all stay; rows with a
+null id are documents of their own to the classifier and to decontamination; extra
+columns are carried along to the last stage, which ignores them; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -15,6 +21,9 @@ from assayframe.llm import decontamination, kneser_ney, mixing, near_dup, token_
 from assayframe.llm._common import ship_package, table, written
 from assayframe.session import scratch_path
 
+# A worker keeps its cache when its task is over, beside what other stages need.
+TOKEN_CACHE = 150_000
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the model of trusted text does not reject."""
@@ -43,7 +52,7 @@ def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Simple-8b shards, read back: ``doc_id, start, n_tokens, ids_crc32``."""
     ship_package(spark)
     path = scratch_path(spark, "corpus-shards")
-    token_files.write_token_files(docs, path)
+    token_files.write_token_files(docs, path, cache_entries=TOKEN_CACHE)
     back = token_files.read_token_files(spark, path)
     return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
