@@ -203,7 +203,7 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, i
     unchanged; repeated rows of the first document are one document and stay."""
     gone = near_duplicates(docs, shingle, percent, id_col, text_col).where("not kept").select(
         F.col("doc_id").alias("__gone_id"), F.col("fp").alias("__gone_fp"))
-    same = (docs[id_col] == gone["__gone_id"]) & (F.xxhash64(as_text(docs[text_col])) == gone["__gone_fp"])
+    same = docs[id_col].eqNullSafe(gone["__gone_id"]) & (F.xxhash64(as_text(docs[text_col])) == gone["__gone_fp"])
     return docs.join(gone, same, "left_anti")
 
 
