@@ -5,8 +5,8 @@ as Parquet and read again as the next stage's ``docs``. All but the last return
 columns of ``documents``; the last returns one row per document of the written
 token shards.
 
-Defined results: a null text is empty; an empty document is not judged by the classifier's
-words, is near nothing and is not contaminated; repeated rows stay together or go together but
+Defined results: a null text is empty; an empty document has no perplexity and goes in the
+first stage (alone, near-dedup and decontamination keep it); repeated rows stay together or go together but
 for near-duplicates, where one id's equal rows are one document and all stay; rows with a
 null id are documents of their own to the classifier and to decontamination; extra
 columns are carried along to the last stage, which ignores them; an empty table gives no rows.
