@@ -20,7 +20,7 @@ CLASHES = ("count", "h", "key", "block", "part", "probability", "tokens", "topic
 def planted(spark, base, benchmark):
     """The small documents with copies, near copies, contaminated documents, junk, nulls,
     empty texts, repeated rows and extra columns under names that the stages use."""
-    good = sorted((r for r in base.where("length(text) > 800 and lang = 'en' and text not like '% | %'").collect()),
+    good = sorted((r for r in base.where("length(text) between 800 and 2000 and lang = 'en' and text not like '% | %'").collect()),
                   key=lambda r: r["doc_id"])[:3]
     item = max((r["text"] for r in benchmark.collect()), key=lambda t: len(t or ""))
     a, b = good[0]["text"], good[1]["text"]
@@ -79,7 +79,9 @@ def test_quality_rejects_junk_and_keeps_trusted(seen):
     lost = [(d, len(texts[d]), texts[d][:60]) for d in trusted if d not in after]
     # The 0.99 quantiles of three scores come from some thirty held-out documents here.
     assert len(lost) <= 0.1 * len(trusted), lost
-    assert after[70010] == before[70010] == 2 and {70001, 70002, None} <= set(after)
+    assert before[70010] == 2
+    for d in (70001, 70010):        # equal texts have one fate, whatever their ids
+        assert len({x in after for x, t in texts.items() if t == texts[d]}) == 1
 
 
 def test_near_duplicates_equal_brute_force(seen):
