@@ -8,6 +8,8 @@ flag). ``group_hits`` covers the rankings by number of YES flags. All are
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +17,9 @@ from assayframe.functions.values import NO_LIMIT, UNKNOWN
 from assayframe.operators.classify import NO, YES
 
 
+COUNTS = ("rows", "yes", "decided", "na", "unknown")
+
+
 def ci_equals(col: str, value: str) -> Column:
     """Case-insensitive equality."""
     return F.lower(F.col(col)) == value.lower()
@@ -76,3 +81,26 @@ def group_hits(df: DataFrame, key, hit: Column, out: str = "n") -> DataFrame:
     no hit are present with 0."""
     keys = [key] if isinstance(key, str) else list(key)
     return df.groupBy(*keys).agg(F.count_if(hit).alias(out))
+
+
+def group_counts(df: DataFrame, keys) -> DataFrame:
+    """``dimension, key, rows, yes, decided, na, unknown`` for several grouping
+    columns in one pass; every rate is a ratio of two of them."""
+    pairs = F.array(*[F.struct(F.lit(k).alias("dimension"), F.col(k).cast("string").alias("key")) for k in keys])
+    return df.select(F.inline(pairs), "flag", "reading").groupBy("dimension", "key").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(is_yes()).alias("yes"), F.count_if(is_decided()).alias("decided"),
+        F.count_if(is_na()).alias("na"), F.count_if(is_unknown()).alias("unknown"))
+
+
+def rate_of_counts(counts: DataFrame, key: str, hits: str, among: str, above: float | None = None) -> DataFrame:
+    """``key, rate`` of one grouping column from the counts: ``hits / among`` where
+    ``among`` is above zero, rates at or below ``above`` dropped."""
+    mine = counts.where((F.col("dimension") == key) & (F.col(among) > 0))
+    rates = mine.select(F.col("key").alias(key), (F.col(hits).cast("double") / F.col(among)).alias("rate"))
+    return rates.where(F.col("rate") > above) if above is not None else rates
+
+
+def merge_counts(*counts: DataFrame) -> DataFrame:
+    """The counts of several parts of the rows as those of all of them."""
+    return reduce(DataFrame.unionByName, counts).groupBy("dimension", "key").agg(
+        *[F.sum(c).alias(c) for c in COUNTS])

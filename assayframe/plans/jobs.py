@@ -20,7 +20,7 @@ from assayframe.operators.cleaning import (
 )
 from assayframe.operators.distribution import nested_distribution, value_distribution
 from assayframe.operators.ranking import rank_by
-from assayframe.operators.rates import is_decided, is_na, is_unknown, is_yes
+from assayframe.operators.rates import group_counts, rate_of_counts
 from assayframe.operators.stats import group_stats_by_each
 from assayframe.session import write_once
 from assayframe.sources.clean import CLEAN_COLUMNS, publish_clean, scan_clean
@@ -81,21 +81,6 @@ def distinct_of_each(df: DataFrame, columns) -> DataFrame:
     return df.select(F.inline(pairs)).distinct()
 
 
-def group_counts(df: DataFrame, keys) -> DataFrame:
-    """``dimension, key, rows, yes, decided, na, unknown`` for several grouping
-    columns in one pass; every rate is a ratio of two of them."""
-    pairs = F.array(*[F.struct(F.lit(k).alias("dimension"), F.col(k).cast("string").alias("key")) for k in keys])
-    return df.select(F.inline(pairs), "flag", "reading").groupBy("dimension", "key").agg(
-        F.count(F.lit(1)).alias("rows"), F.count_if(is_yes()).alias("yes"), F.count_if(is_decided()).alias("decided"),
-        F.count_if(is_na()).alias("na"), F.count_if(is_unknown()).alias("unknown"))
-
-
-def _rate(counts: DataFrame, key: str, hits: str, among: str, above: float | None = None) -> DataFrame:
-    mine = counts.where((F.col("dimension") == key) & (F.col(among) > 0))
-    rates = mine.select(F.col("key").alias(key), (F.col(hits).cast("double") / F.col(among)).alias("rate"))
-    return rates.where(F.col("rate") > above) if above is not None else rates
-
-
 def clean_job(spark: SparkSession, path: str, out_path: str, limits: DataFrame, synonyms: DataFrame | None,
               header: str | None = None, fmt: str = "parquet") -> DataFrame:
     """Clean, normalise and flag the raw text, publish the cleaned records as the current
@@ -136,11 +121,11 @@ def analytics_job(spark: SparkSession, clean_path: str, fmt: str = "parquet", k:
             out[f"{stat}_by_{key}"] = rank_by(part.select(key, stat), stat, key, k=k)
     out["analyte_distribution"] = rank_by(value_distribution(df, "analyte"), "n", "analyte", k=k)
     out["category_per_analyte"] = nested_distribution(df, "analyte", "category").orderBy("analyte")
-    out["hazard_rate_category"] = rank_by(_rate(counts, "category", "yes", "decided"), "rate", "category", k=k)
+    out["hazard_rate_category"] = rank_by(rate_of_counts(counts, "category", "yes", "decided"), "rate", "category", k=k)
     out["hazard_country_over_half"] = rank_by(
-        _rate(counts, country, "yes", "decided", HAZARD_CUTOFF), "rate", country, k=k)
+        rate_of_counts(counts, country, "yes", "decided", HAZARD_CUTOFF), "rate", country, k=k)
     out["hazard_maker_over_half"] = rank_by(
-        _rate(counts, "maker", "yes", "decided", HAZARD_CUTOFF), "rate", "maker", k=k)
+        rate_of_counts(counts, "maker", "yes", "decided", HAZARD_CUTOFF), "rate", "maker", k=k)
     for name, key in (("top_makers", "maker"), ("top_items", "item")):
         hits = counts.where(F.col("dimension") == key)      # groups without a YES count too
         out[name] = rank_by(hits.select(F.col("key").alias(key), F.col("yes").alias("n")), "n", key, k=k)
@@ -155,8 +140,8 @@ def audit_job(spark: SparkSession, clean_path: str, fmt: str = "parquet", k: int
     df = scan_clean(spark, clean_path, fmt=fmt, min_fields=12 if fmt == "tsv" else None)
     counts = write_once(group_counts(df, ["category", country]), "audit-counts")
     return {
-        "unknown_rate_category": rank_by(_rate(counts, "category", "unknown", "rows"), "rate", "category", k=k),
-        "unknown_rate_country": rank_by(_rate(counts, country, "unknown", "rows"), "rate", country, k=k),
-        "na_rate_category": rank_by(_rate(counts, "category", "na", "rows"), "rate", "category", k=k),
-        "na_rate_country": rank_by(_rate(counts, country, "na", "rows"), "rate", country, k=k),
+        "unknown_rate_category": rank_by(rate_of_counts(counts, "category", "unknown", "rows"), "rate", "category", k=k),
+        "unknown_rate_country": rank_by(rate_of_counts(counts, country, "unknown", "rows"), "rate", country, k=k),
+        "na_rate_category": rank_by(rate_of_counts(counts, "category", "na", "rows"), "rate", "category", k=k),
+        "na_rate_country": rank_by(rate_of_counts(counts, country, "na", "rows"), "rate", country, k=k),
     }

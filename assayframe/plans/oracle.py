@@ -242,6 +242,12 @@ def _alternatives() -> dict[str, str]:
             f"round(coalesce(avg(v), 0.0), {ROUND}) as avg_reading "
             f"from (select {f5('f4')} as v from lines where n_fields > 7)"),
         "stream_clean_records": _raw(f"select {CLEAN_12} from enriched", True),
+        "stream_rates": _raw(" union all ".join(
+            f"select '{k}' as dimension, {k} as key, count(*) as rows, "
+            f"count_if({_YES})::double / nullif(count_if({_DECIDED}), 0) as hazard, "
+            f"count_if(lower(reading) = 'unknown')::double / count(*) as unknown, "
+            f"count_if(lower(flag) = 'na')::double / count(*) as na from enriched group by {k}"
+            for k in ("category", "country", "maker")), True),
         "audit_unknown_rate_country_alt": _raw(
             "select country_alt, count_if(lower(reading) = 'unknown')::double / count(*) as rate "
             "from enriched group by country_alt", True),

@@ -48,6 +48,7 @@ from assayframe.session import scratch_path
 from assayframe.sources.clean import CLEAN_COLUMNS, preview, publish_clean, register_table, scan_clean, write_clean
 from assayframe.sources.text import arity_guard, drop_header, field, fields_to_columns, parse_csv, scan_lines
 from assayframe.streaming.clean_stream import clean_stream, read_line_stream, write_stream
+from assayframe.streaming.rate_table import keep_counts, read_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOP_K = 20
@@ -318,6 +319,18 @@ def q_stream_clean_records(spark, sf):
     return scan_clean(spark, out, fmt="parquet")
 
 
+def q_stream_rates(spark, sf):
+    """Hazard, Unknown and NA rates by category, country and maker from counts that a
+    stream of the raw-line files keeps in a durable table, one file a batch."""
+    out = scratch_path(spark, "stream_counts")
+    lines = read_line_stream(spark, fx.raw_lines_path(spark, sf), max_files_per_trigger=1)
+    stream = clean_stream(lines, fx.raw_limits(spark), fx.raw_synonyms(spark), fx.RAW_HEADER)
+    keep_counts(stream, out).awaitTermination()
+    ratio = lambda hits, among: F.try_divide(F.col(hits).cast("double"), F.col(among))
+    return read_counts(spark, out).select("dimension", "key", "rows", ratio("yes", "decided").alias("hazard"),
+                                          ratio("unknown", "rows").alias("unknown"), ratio("na", "rows").alias("na"))
+
+
 # ---------------------------------------------- alternatives (several limits …)
 def q_hazard_rate_by_authority(spark, sf):
     limits = authority_limits(spark, fx.authority_limit_rows())
@@ -413,6 +426,7 @@ def registry() -> dict[str, Query]:
         "profile_value_count": q_profile_value_count,
         "profile_reading_range": q_profile_reading_range,
         "stream_clean_records": q_stream_clean_records,
+        "stream_rates": q_stream_rates,
         "audit_unknown_rate_country_alt": q_audit_unknown_rate_country_alt,
         "audit_na_rate_country_alt": q_audit_na_rate_country_alt,
         "hazard_rate_by_authority": q_hazard_rate_by_authority,

@@ -72,7 +72,7 @@ def publish_clean(df: DataFrame, path: str, fmt: str = "parquet", partition_by:
     one. Returns the folder; older ones stay until ``drop_old`` is called."""
     folder = f"{path.rstrip('/')}/data-{uuid.uuid4().hex}"
     write_clean(df, folder, fmt, partition_by, columns)
-    _point(df.sparkSession, path, folder.rsplit("/", 1)[1])
+    point(df.sparkSession, path, folder.rsplit("/", 1)[1])
     return folder
 
 
@@ -81,7 +81,7 @@ def _files(spark: SparkSession, path: str):
     return at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), at
 
 
-def _point(spark: SparkSession, path: str, name: str) -> None:
+def point(spark: SparkSession, path: str, name: str) -> None:
     """Replace the pointer by one rename: readers see the old name or the new one."""
     hadoop = spark._jvm.org.apache.hadoop.fs
     fs, new = _files(spark, f"{path.rstrip('/')}/{POINTER}-{name}")

@@ -308,3 +308,72 @@ def test_publishing_keeps_the_old_table_until_the_new_one_is_whole(spark, tmp_pa
     for fmt in ("tsv",):
         publish_clean(clean, path + fmt, fmt=fmt)
         assert scan_clean(spark, path + fmt, fmt=fmt).count() == clean.count()
+
+
+def _counted(frame):
+    return sorted((tuple(r) for r in frame.select("dimension", "key", "rows", "yes", "decided", "na", "unknown").collect()),
+                  key=repr)
+
+
+@pytest.mark.parametrize("stop", ["before the rename", "after the rename"])
+def test_durable_counts_of_a_stream_stopped_mid_batch_equal_the_batch_job(spark, tmp_path, monkeypatch, stop):
+    from assayframe.operators.rates import group_counts, rate_of_counts
+    from assayframe.streaming import keep_counts, rate_table, read_counts
+    src, table, keys = str(tmp_path / "incoming"), str(tmp_path / "counts"), ["category", "country"]
+    body = [line for line in LINES if line != HEADER]
+    import os
+    os.makedirs(src)
+    for i in range(0, len(body), 3):
+        with open(f"{src}/part-{i}.txt", "w") as f:
+            f.write("\n".join([HEADER] + body[i:i + 3]) + "\n")
+    lim = limit_frame(spark, LIMITS)
+
+    def run():
+        stream = clean_stream(read_line_stream(spark, src, max_files_per_trigger=1), lim, None, HEADER)
+        q = keep_counts(stream, table, keys)
+        q.awaitTermination(180)
+        return q
+
+    real, calls = rate_table.point, []
+
+    def failing(s, path, name):
+        calls.append(name)
+        if len(calls) != 2:
+            return real(s, path, name)
+        if stop == "after the rename":
+            real(s, path, name)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(rate_table, "point", failing)
+    with pytest.raises(Exception, match="lost"):
+        run()
+    monkeypatch.setattr(rate_table, "point", real)
+    assert rate_table.applied_batch(spark, table)[1] == (1 if stop == "after the rename" else 0)
+    run()
+    batch = clean_records(scan_lines(spark, src), lim, None, header=HEADER)
+    assert _counted(read_counts(spark, table)) == _counted(group_counts(batch, keys))
+    rates = rate_of_counts(read_counts(spark, table), "category", "na", "rows")
+    assert dict(map(tuple, rates.collect())) == {"Food-Spice": 0.5, "Cosmetics": 0.0, "Unknown": 1.0}
+    with open(f"{src}/part-more.txt", "w") as f:                      # goes on where it stopped
+        f.write("9,Toys,Top,Lead,5,ppm,M,Peru,Peru,,\n")
+    run()
+    batch = clean_records(scan_lines(spark, src), lim, None, header=HEADER)
+    assert _counted(read_counts(spark, table)) == _counted(group_counts(batch, keys))
+
+
+def test_durable_counts_refuse_other_streams_and_gaps(spark, tmp_path):
+    from assayframe.streaming import read_counts
+    from assayframe.streaming.rate_table import add_batch
+    df = spark.createDataFrame([("a", "1", "YES"), (None, "Unknown", "NA"), ("a", "2", "NO")], "k string, reading string, flag string")
+    path = str(tmp_path / "counts")
+    assert read_counts(spark, path).count() == 0
+    with pytest.raises(ValueError, match="does not follow"):
+        add_batch(df, 1, path, ["k"], "s1")
+    assert add_batch(df, 0, path, ["k"], "s1") and not add_batch(df, 0, path, ["k"], "s1")
+    assert add_batch(df.limit(0), 1, path, ["k"], "s1")               # a batch without rows
+    with pytest.raises(ValueError, match="stream"):
+        add_batch(df, 2, path, ["k"], "s2")
+    with pytest.raises(ValueError, match="does not follow"):
+        add_batch(df, 3, path, ["k"], "s1")
+    assert add_batch(df, 2, path, ["k"], "s1")
+    assert _counted(read_counts(spark, path)) == [("k", "a", 4, 2, 4, 0, 0), ("k", None, 2, 0, 0, 2, 2)]
