@@ -203,6 +203,12 @@ _FLAG = ("case when t.max_reading is null or m.reading = 'Unknown' then 'NA' "
          "when cast(m.reading as double) > t.max_reading then 'YES' else 'NO' end")
 
 
+_REASON = "case when n_fields <= 10 then 'too_few_fields' " + " ".join(
+    f"when not {required(f)} then 'missing_{name}'"
+    for f, name in (("f1", "category"), ("f2", "item"), ("f3", "analyte"), ("f4", "reading"))) + " end"
+_REJECTED = f"select value as line, reason from (select value, {_REASON} as reason from lines) where reason is not null"
+
+
 def _alternatives() -> dict[str, str]:
     by_auth = _with(MEAS, ALIMITS) + (
         f"select authority, category, count_if(flag = 'YES')::double / count_if(flag in ('YES', 'NO')) as rate "
@@ -242,6 +248,12 @@ def _alternatives() -> dict[str, str]:
             f"round(coalesce(avg(v), 0.0), {ROUND}) as avg_reading "
             f"from (select {f5('f4')} as v from lines where n_fields > 7)"),
         "stream_clean_records": _raw(f"select {CLEAN_12} from enriched", True),
+        "rejected_lines": _raw(_REJECTED),
+        "rejected_by_rule": _raw(
+            f"select r.reason, count(j.line) as n from (select unnest(['too_few_fields', 'missing_category', "
+            f"'missing_item', 'missing_analyte', 'missing_reading']) as reason) r "
+            f"left join ({_REJECTED}) j on r.reason = j.reason group by r.reason"),
+        "accepted_records": _raw(f"select {CLEAN_12} from enriched", True),
         "stream_rates": _raw(" union all ".join(
             f"select '{k}' as dimension, {k} as key, count(*) as rows, "
             f"count_if({_YES})::double / nullif(count_if({_DECIDED}), 0) as hazard, "

@@ -42,6 +42,7 @@ from assayframe.operators.profile import (
 )
 from assayframe.operators.ranking import rank_by
 from assayframe.operators.rates import group_hits, hazard_rate, is_yes, na_rate, unknown_rate
+from assayframe.operators.rejects import accepted_records, reasons_report, rejected_lines, triage, write_triaged
 from assayframe.operators.stats import group_stats, group_stats_by_each
 from assayframe.plans import fixtures as fx
 from assayframe.session import scratch_path
@@ -319,6 +320,32 @@ def q_stream_clean_records(spark, sf):
     return scan_clean(spark, out, fmt="parquet")
 
 
+_TRIAGED: dict[tuple[str, str], str] = {}
+
+
+def _triaged(spark, sf):
+    """Accepted records and rejected lines of the raw text, written once per session."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _TRIAGED:
+        path = scratch_path(spark, "triaged")
+        lines = scan_lines(spark, fx.raw_lines_path(spark, sf))
+        write_triaged(triage(lines, fx.raw_limits(spark), fx.raw_synonyms(spark), header=fx.RAW_HEADER), path)
+        _TRIAGED[key] = path
+    return _TRIAGED[key]
+
+
+def q_rejected_lines(spark, sf):
+    return rejected_lines(spark, _triaged(spark, sf))
+
+
+def q_rejected_by_rule(spark, sf):
+    return reasons_report(spark, _triaged(spark, sf))
+
+
+def q_accepted_records(spark, sf):
+    return accepted_records(spark, _triaged(spark, sf))
+
+
 def q_stream_rates(spark, sf):
     """Hazard, Unknown and NA rates by category, country and maker from counts that a
     stream of the raw-line files keeps in a durable table, one file a batch."""
@@ -427,6 +454,9 @@ def registry() -> dict[str, Query]:
         "profile_reading_range": q_profile_reading_range,
         "stream_clean_records": q_stream_clean_records,
         "stream_rates": q_stream_rates,
+        "rejected_lines": q_rejected_lines,
+        "rejected_by_rule": q_rejected_by_rule,
+        "accepted_records": q_accepted_records,
         "audit_unknown_rate_country_alt": q_audit_unknown_rate_country_alt,
         "audit_na_rate_country_alt": q_audit_na_rate_country_alt,
         "hazard_rate_by_authority": q_hazard_rate_by_authority,

@@ -18,7 +18,7 @@ A write that fails, or a driver that dies, leaves the table as it was.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,9 +70,14 @@ def publish_clean(df: DataFrame, path: str, fmt: str = "parquet", partition_by:
                   columns: Sequence[str] = CLEAN_COLUMNS) -> str:
     """Write the records to a fresh folder below ``path`` and make it the table's current
     one. Returns the folder; older ones stay until ``drop_old`` is called."""
+    return publish(df.sparkSession, path, lambda folder: write_clean(df, folder, fmt, partition_by, columns))
+
+
+def publish(spark: SparkSession, path: str, write: Callable[[str], None]) -> str:
+    """Let ``write`` fill a fresh folder below ``path``, then make it the current one."""
     folder = f"{path.rstrip('/')}/data-{uuid.uuid4().hex}"
-    write_clean(df, folder, fmt, partition_by, columns)
-    point(df.sparkSession, path, folder.rsplit("/", 1)[1])
+    write(folder)
+    point(spark, path, folder.rsplit("/", 1)[1])
     return folder
 
 

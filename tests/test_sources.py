@@ -377,3 +377,40 @@ def test_durable_counts_refuse_other_streams_and_gaps(spark, tmp_path):
         add_batch(df, 3, path, ["k"], "s1")
     assert add_batch(df, 2, path, ["k"], "s1")
     assert _counted(read_counts(spark, path)) == [("k", "a", 4, 2, 4, 0, 0), ("k", None, 2, 0, 0, 2, 2)]
+
+
+def test_every_line_is_accepted_or_has_the_first_rule_it_fails(spark, tmp_path):
+    from assayframe.operators.rejects import accepted_records, reasons_report, rejected_lines, triage, write_triaged
+    more = ["6,Toys, ,unknown,5,ppm,M,Peru,Peru,,", "7,Toys,Top, UNKNOWN ,5,ppm,M,Peru,Peru,,", "8,Toys,Top,Lead,,ppm,M,Peru,Peru,,",
+            "8,Toys,Top,Lead,,ppm,M,Peru,Peru,,"]
+    frame = spark.createDataFrame([(x, 1) for x in [*LINES, *more, None]], "value string, reason int")
+    lim = limit_frame(spark, LIMITS)
+    path = str(tmp_path / "triaged")
+    report = write_triaged(triage(frame, lim, None, header=HEADER), path)
+    got = sorted(map(tuple, rejected_lines(spark, path).collect()), key=repr)
+    assert got == sorted([("", "too_few_fields"), ("short,line", "too_few_fields"), (None, "too_few_fields"),
+                          (LINES[5], "missing_category"), (more[0], "missing_item"), (more[1], "missing_analyte"),
+                          (more[2], "missing_reading"), (more[2], "missing_reading")], key=repr)
+    by_rule = dict(map(tuple, reasons_report(spark, path).collect()))
+    assert sum(by_rule.values()) == report["dropped"] == 8 and all(report[r] == n for r, n in by_rule.items())
+    batch = clean_records(frame, lim, None, header=HEADER).select(*CLEAN_COLUMNS)
+    records = accepted_records(spark, path)
+    assert sorted(map(tuple, records.collect())) == sorted(map(tuple, batch.collect()))
+    old = cleaning_report(frame.where("value is not null"), lim, None, header=HEADER).collect()[0]
+    assert report["cleaned_records"] == old["cleaned_records"] and report["raw_records"] == old["raw_records"] + 1
+    assert report["unknown_readings"] == old["unknown_readings"] and report["na_flags"] == old["na_flags"]
+    assert {r["reading_value"] for r in accepted_records(spark, path, typed=True).collect()} == {1200.5, None, 12.0, 0.5}
+
+
+def test_triage_reads_the_lines_once_and_handles_none(spark, tmp_path):
+    from assayframe.operators.rejects import accepted_records, reasons_report, rejected_lines, triage, write_triaged
+    write_lines(str(tmp_path / "raw"), LINES)
+    lim = limit_frame(spark, LIMITS)
+    triaged = triage(scan_lines(spark, str(tmp_path / "raw")), lim, None, header=HEADER)
+    plan = triaged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan text") == 1 and "Exchange hashpartitioning" not in plan and "Python" not in plan
+    path = str(tmp_path / "none")
+    report = write_triaged(triage(spark.createDataFrame([], "value string"), lim, None, header=HEADER), path)
+    assert set(report.values()) == {0}
+    assert accepted_records(spark, path).count() == rejected_lines(spark, path).count() == 0
+    assert {n for _, n in reasons_report(spark, path).collect()} == {0}
