@@ -239,6 +239,21 @@ def _alternatives() -> dict[str, str]:
         "where reading <> 'Unknown' group by category) mu on m.category = mu.category) m "
         "left join limits t on lower(m.category) = t.category_key and lower(m.analyte) = t.analyte_key) "
         "group by category having count_if(flag in ('YES', 'NO')) > 0")
+    # The drawn reading itself: the one at the drawn rank of the group's sorted list.
+    drawn = _with(MEAS, LIMITS) + (
+        ", limited as (select m.*, t.max_reading as lim, case when m.reading <> 'Unknown' then cast(m.reading as double) "
+        "end as v from measurements m join limits t on lower(m.category) = t.category_key "
+        "and lower(m.analyte) = t.analyte_key), "
+        "known as (select category, list_sort(list(cast(reading as double))) as vs from measurements "
+        "where reading <> 'Unknown' group by category), "
+        "seeds as (select unnest(range(16)) as seed), "
+        "each as (select l.country, s.seed, l.lim, l.v, coalesce(l.v, k.vs[1 + ('0x' || substr(md5(s.seed || ':' || "
+        "l.record_id), 1, 13))::bigint % len(k.vs)]) as d from limited l cross join seeds s "
+        "left join known k using (category)), "
+        "per_seed as (select country, seed, count_if(d > lim) as yes, count(d) as n, count_if(v is null and d is not null) "
+        "as drawn from each group by country, seed having count(d) > 0) "
+        "select country, sum(yes)::double / sum(n)::double as rate, min(yes::double / n) as rate_low, "
+        "max(yes::double / n) as rate_high, max(drawn) as drawn from per_seed group by country")
     return {
         "profile_distinct_category": _raw("select distinct f1 as category from lines where n_fields > 7"),
         "profile_distinct_country": _raw("select distinct f7 as country from lines where n_fields > 7"),
@@ -272,6 +287,7 @@ def _alternatives() -> dict[str, str]:
         "completeness_weighted_rate": _cls(weighted),
         "hazard_rate_bounds_country": _cls(bounds),
         "hazard_rate_imputed_category": imputed,
+        "hazard_rate_drawn_country": drawn,
     }
 _PART_SYN = _values("psyn", "alias, canonical", fx.PART_SYNONYMS)
 

@@ -31,6 +31,7 @@ from assayframe.operators.cleaning import (
     valid_readings,
 )
 from assayframe.operators.distribution import nested_distribution, pair_distribution, value_distribution
+from assayframe.operators.draws import hazard_rate_drawn
 from assayframe.operators.lookup import canonical_item, limit_lookup
 from assayframe.operators.profile import (
     cleaning_report,
@@ -389,6 +390,12 @@ def q_hazard_rate_imputed_category(spark, sf):
     return hazard_rate_imputed(m, "category")
 
 
+def q_hazard_rate_drawn_country(spark, sf):
+    """Unknown readings drawn from the known ones of their category."""
+    m = limit_lookup(fx.measurements(spark, sf, typed=True), fx.measurement_limits(spark))
+    return hazard_rate_drawn(m, "country", draw_by="category")
+
+
 # ------------------------------------------------------------- text & labels
 def q_normalise_text(spark, sf):
     docs = fx.table(spark, sf, "documents")
@@ -465,6 +472,7 @@ def registry() -> dict[str, Query]:
         "completeness_weighted_rate": q_completeness_weighted_rate,
         "hazard_rate_bounds_country": q_hazard_rate_bounds_country,
         "hazard_rate_imputed_category": q_hazard_rate_imputed_category,
+        "hazard_rate_drawn_country": q_hazard_rate_drawn_country,
         "normalise_text": q_normalise_text,
         "canonical_item": q_canonical_item,
     })
