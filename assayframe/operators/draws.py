@@ -67,7 +67,6 @@ def hazard_rate_drawn(df: DataFrame, key: str, draw_by=None, row_id: str = "reco
     names = list(dict.fromkeys([key, *by]))
     rows = df.where(F.col(limit).isNotNull()).select(
         *names, F.col(row_id).alias("__id"), F.col(limit).alias("__limit"), number_of(df, reading).alias("__v"))
-    # Known readings need no odds: their key is null in the join and stays in place.
     joined = _with_odds(rows, odds, by)
     unknown = F.col("__v").isNull()
     yes = ~F.isnan("__v") & (F.col("__v") > F.col("__limit"))
@@ -84,7 +83,7 @@ def hazard_rate_drawn(df: DataFrame, key: str, draw_by=None, row_id: str = "reco
 
 
 def _with_odds(rows: DataFrame, odds: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Every row, unknown readings with ``known`` and ``above`` of their group and limit."""
+    """Every row; unknown readings with ``known`` and ``above`` of their group and limit."""
     names = {k: f"__o{i}" for i, k in enumerate([*by, "__limit"])}
     right = odds.select(*[F.col(k).alias(n) for k, n in names.items()], "known", "above")
     cond = F.col("__v").isNull()

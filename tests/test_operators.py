@@ -396,3 +396,74 @@ def test_roll_ups_take_the_smallest_parent_and_never_repeat_facts(spark):
 def test_mode_runs_on_a_hash_aggregate(spark):
     rows_, df = _hot_values(spark, 500)
     assert "SortAggregate" not in plan_of(group_stats(df, "grp", stats=("mode",)))
+
+
+def test_drawn_rates_equal_a_plain_version_and_lie_within_the_bounds(spark):
+    import hashlib
+    from assayframe.operators.alternatives import hazard_rate_bounds
+    from assayframe.operators.draws import hazard_rate_drawn
+    rnd = random.Random(4)
+    data = []
+    for i in range(1500):
+        group = rnd.choice(["hot"] * 4 + ["b", "c", None])
+        reading = "Unknown" if rnd.random() < 0.3 or group == "c" else rnd.choice(["NaN", "0", "1.5", "2", "2", "7", "Infinity"])
+        data.append((rnd.choice([f"r{i}", "same", None]), group, rnd.choice(["x", "y", None]), reading,
+                     rnd.choice([1.5, 2.0, 50.0, None]), "extra"))
+    df = spark.createDataFrame(data, "record_id string, category string, country string, reading string, "
+                                     "max_reading double, known string").repartition(4)
+    known = {}
+    for _, g, _, r, _, _ in data:
+        if r != "Unknown":
+            known.setdefault(g, []).append(float(r))
+    for vs in known.values():
+        vs.sort(key=lambda v: -1.0 if math.isnan(v) else v)
+    seeds = (0, 3, 11)
+    want = {}
+    for i, g, country, r, lim, _ in data:
+        if lim is None or (r == "Unknown" and g not in known):
+            continue
+        n, yes, drawn = want.setdefault(country, [0, [0] * len(seeds), 0])
+        want[country][0] += 1
+        want[country][2] += r == "Unknown"
+        for j, s in enumerate(seeds):
+            v = float(r) if r != "Unknown" else known[g][int(hashlib.md5(f"{s}:{i or ''}".encode()).hexdigest()[:13], 16) % len(known[g])]
+            yes[j] += v > lim
+    got = {r[0]: r for r in hazard_rate_drawn(df, "country", "category", seeds=seeds).collect()}
+    assert set(got) == set(want)
+    for country, (n, yes, drawn) in want.items():
+        r = got[country]
+        assert r["rate"] == pytest.approx(sum(yes) / n / len(seeds), rel=1e-15) and r["drawn"] == drawn
+        assert r["rate_low"] == min(yes) / n and r["rate_high"] == max(yes) / n
+    flagged = classify(df.drop("known").withColumn("flag", F.lit(None)).drop("flag"))
+    for r in hazard_rate_bounds(flagged, "country").collect():
+        g = got[r["country"]]
+        assert r["rate_low"] <= g["rate_low"] <= g["rate"] <= g["rate_high"] <= r["rate_high"]
+    assert hazard_rate_drawn(df.limit(0), "country").count() == 0
+
+
+@pytest.mark.parametrize("hot", ["item 7", None])
+def test_a_key_in_half_of_the_rows_is_split_by_adaptive_execution(spark, tmp_path, hot):
+    """A dimension too large to broadcast: AQE splits the hot key's partition of the facts, so
+    no task has more than twice the rows of the median one, for a hot key and a hot null."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "192KB", "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k, None) for k in settings}
+    rows, keys = 400_000, 20_000
+    dim = spark.range(keys).select(F.concat(F.lit("item "), "id").alias("alias"),
+                                   F.concat(F.lit("canonical "), "id").alias("canonical"))
+    item = F.when(F.col("id") % 2 == 0, F.lit(hot)).otherwise(F.concat(F.lit("item "), F.pmod(F.hash("id"), F.lit(keys))))
+    rest = [F.md5(F.concat(F.lit(str(i)), F.col("id").cast("string"))).alias(f"c{i}") for i in range(4)]
+    facts = spark.range(rows, numPartitions=64).select(item.alias("item"), *rest)
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        # Written whole: a count would prune the columns that the tasks carry.
+        lookup(facts, dim, [(F.col("item"), "alias")], [("canonical", "name")]).write.parquet(str(tmp_path / "joined"))
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    joined = spark.read.parquet(str(tmp_path / "joined"))
+    per_task = sorted(r[1] for r in joined.groupBy(F.input_file_name()).count().collect())
+    assert sum(per_task) == rows and joined.where("item is not null and name is null").count() == 0
+    assert len(per_task) > 16 and per_task[-1] <= 2 * statistics.median(per_task), per_task
