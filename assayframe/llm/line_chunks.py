@@ -1,14 +1,16 @@
 """Line dedup by content-defined chunks of lines.
 
 Each line is hashed; a rolling hash over the last ``window`` line hashes decides
-after which lines a chunk ends, so boundaries depend on nearby lines alone and
-come back after an insertion or a deletion. A chunk of at least ``min_lines``
-lines whose exact text also stands earlier (smaller document id, or earlier in
-the same document) is removed, after its bytes were compared with those of the
-earliest chunk of that hash.
+after which lines a chunk may end. A mark less than ``min_lines`` lines behind another
+mark, the text's start or before its end ends no chunk, so every chunk of a text of
+``min_lines`` lines or more has at least that many, and boundaries still depend on nearby
+lines alone and come back after an insertion or a deletion. A chunk of at least
+``min_lines`` lines whose exact text also stands earlier (smaller document id, or
+earlier in the same document) is removed, after its bytes were compared with those of
+the earliest chunk of that hash: an exact copy of ``min_lines`` lines or more loses all.
 
 Defined results: a null text is empty and has no line; a text splits at every
-newline; a document left without chunks has an empty text; rows with the same
+newline; a text of fewer than ``min_lines`` lines is one chunk that stays; a document left without chunks has an empty text; rows with the same
 document id are told apart by the hash of their text, and equal rows are one
 document (each gets the same result row); a null id sorts before all others. Two
 different chunks with one hash are both kept. Columns other than the id and the
@@ -25,11 +27,11 @@ from pyspark.sql import functions as F
 from assayframe.llm._common import written
 
 WINDOW = 2
-MEAN_LINES = 4          # a line ends a chunk with probability 1 / MEAN_LINES: 4 or 16
+MEAN_LINES = 4          # a line is marked with probability 1 / MEAN_LINES: 4 or 16
 MIN_LINES = 2
 
 
-def _chunks(docs: DataFrame, window: int, mean_lines: int) -> DataFrame:
+def _chunks(docs: DataFrame, window: int, mean_lines: int, min_lines: int) -> DataFrame:
     """``doc_id, fp, chunks``: chunks as array of (text, n_lines), none for an empty text.
     Each step is its own column, so that no array is built twice."""
     one = docs.withColumn("lines", F.when(F.col("text") == "", F.array().cast("array<string>"))
@@ -38,9 +40,15 @@ def _chunks(docs: DataFrame, window: int, mean_lines: int) -> DataFrame:
     roll = lambda i: F.md5(F.array_join(F.slice(
         F.col("hashes"), F.greatest(i - (window - 2), F.lit(1)), F.least(i + 1, F.lit(window))), ""))
     digits = ["0", "1", "2", "3"] if mean_lines == 4 else ["0"]
+    one = one.withColumn("marks", F.transform("hashes", lambda _, i: F.substr(roll(i), F.lit(1), F.lit(1)).isin(*digits)))
     last = F.size("lines") - 1
-    ends = F.filter(F.transform("hashes", lambda _, i: F.when(
-        (i == last) | F.substr(roll(i), F.lit(1), F.lit(1)).isin(*digits), i + 1)), lambda i: i.isNotNull())
+
+    def ends_chunk(mark, i):
+        for back in range(1, min_lines):
+            mark &= ~F.coalesce(F.get(F.col("marks"), i - back), F.lit(False))
+        return (i == last) | (mark & (i + 1 >= min_lines) & (last - i >= min_lines))
+
+    ends = F.filter(F.transform("marks", lambda m, i: F.when(ends_chunk(m, i), i + 1)), lambda i: i.isNotNull())
     one = one.withColumn("ends", ends)
     begin = lambda k: F.when(k > 0, F.element_at(F.col("ends"), F.greatest(k, F.lit(1)))).otherwise(0)
     chunk = lambda e, k: F.struct(
@@ -53,7 +61,7 @@ def repeated_chunks(docs: DataFrame, window: int = WINDOW, mean_lines: int = MEA
                     min_lines: int = MIN_LINES) -> DataFrame:
     """``doc_id, fp, idx``: the chunks to remove. ``docs`` has ``doc_id, fp, text``."""
     # The outer form adds no filter on the array, which would rebuild it below every step.
-    chunks = _chunks(docs, window, mean_lines)
+    chunks = _chunks(docs, window, mean_lines, min_lines)
     exploded = (chunks.select("doc_id", "fp", F.posexplode_outer("chunks").alias("idx", "c"))
                 .where(F.col("c.n_lines") >= min_lines)
                 .select("doc_id", "fp", "idx", F.xxhash64("c.text").alias("h"), F.col("c.text").alias("chunk")))
@@ -74,6 +82,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     distinct document row; ``text`` is what is left."""
     if mean_lines not in (4, 16):
         raise ValueError("mean_lines is 4 or 16")
+    if min_lines < 1:
+        raise ValueError("a chunk has at least one line")
     docs = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     docs = docs.withColumn("fp", F.xxhash64("text"))
     removed = (repeated_chunks(docs, window, mean_lines, min_lines)
@@ -81,7 +91,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     key = F.col("c.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("c.fp") == F.col("r.fp"))
     joined = (docs.alias("c").join(removed.alias("r"), key, "left")
               .select("c.doc_id", "c.fp", "c.text", F.coalesce("removed", F.array().cast("array<int>")).alias("removed")))
-    chunks = _chunks(joined.select("doc_id", F.struct("fp", "removed").alias("fp"), "text"), window, mean_lines)
+    chunks = _chunks(joined.select("doc_id", F.struct("fp", "removed").alias("fp"), "text"), window, mean_lines, min_lines)
     keep = F.filter(F.transform("chunks", lambda c, i: F.struct(
         c["text"].alias("text"), c["n_lines"].alias("n_lines"), F.array_contains("fp.removed", i).alias("gone"))),
         lambda c: ~c["gone"])

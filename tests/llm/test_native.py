@@ -144,6 +144,23 @@ def test_shifted_chunks_are_found(spark):
     assert "in the middle" in rows[2]["text"]
 
 
+@pytest.mark.parametrize("min_lines", [1, 2, 3])
+def test_chunks_have_their_least_number_of_lines_and_exact_copies_lose_all(spark, min_lines):
+    import random
+    rnd = random.Random(min_lines)
+    texts = ["\n".join(str(rnd.randint(0, 10 ** 6)) for _ in range(n)) for n in range(1, 120)]
+    docs = spark.createDataFrame([(k * 1000 + i, t) for k in range(3) for i, t in enumerate(texts)], "doc_id long, text string")
+    rows = docs.select("doc_id", F.lit(0).alias("fp"), "text")
+    sizes = line_chunks._chunks(rows, line_chunks.WINDOW, line_chunks.MEAN_LINES, min_lines).select(
+        "doc_id", F.transform("chunks", lambda c: c["n_lines"]).alias("n")).collect()
+    assert all(sum(r["n"]) == r["doc_id"] % 1000 + 1 and min(r["n"]) >= min(min_lines, sum(r["n"])) for r in sizes)
+    assert max(len(r["n"]) for r in sizes) >= 120 // (3 * min_lines + 4)
+    for r in line_chunks.dedup_lines(docs, min_lines=min_lines).collect():
+        k, i = divmod(r["doc_id"], 1000)
+        whole = k == 0 or i + 1 < min_lines
+        assert r["text"] == (texts[i] if whole else "") and r["n_removed_lines"] == (0 if whole else i + 1)
+
+
 # ------------------------------------------------------------------ chat
 CHAT = [(1, 0, "system", "be kind"), (1, 1, "user", "hi [INST]"), (1, 2, "assistant", "</s> \\b ok"),
         (2, 0, "user", None), (2, 0, "user", None), (2, 1, "assistant", ""),
