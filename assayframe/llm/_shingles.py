@@ -84,8 +84,11 @@ def _word_edges(flat: np.ndarray, begins: np.ndarray, space: np.ndarray = _IS_SP
     return start, end
 
 
-def word_ends(flat: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    return _word_edges(flat, begins)[1]
+def hashes_between(flat: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of the bytes of each word."""
+    power, inverse = _power_tables(len(flat))
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_VALUES[flat] * power)))
+    return mix((sums[end] - sums[start]) * inverse[start] + (end - start).astype(np.uint64))
 
 
 def word_hashes(flat: np.ndarray, begins: np.ndarray, space: np.ndarray = _IS_SPACE) -> tuple[np.ndarray, np.ndarray]:
@@ -94,10 +97,7 @@ def word_hashes(flat: np.ndarray, begins: np.ndarray, space: np.ndarray = _IS_SP
     if not n:
         return np.empty(0, np.uint64), np.zeros(len(begins), dtype=np.int64)
     start, end = _word_edges(flat, begins, space)
-    power, inverse = _power_tables(n)
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_VALUES[flat] * power)))
-    hashes = mix((sums[end] - sums[start]) * inverse[start] + (end - start).astype(np.uint64))
-    return hashes, np.searchsorted(start, begins)
+    return hashes_between(flat, start, end), np.searchsorted(start, begins)
 
 
 def shingle_hashes(words: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:

@@ -30,9 +30,11 @@ of ``STRENGTHS`` under which a shard's training counts are likeliest, each left
 of its own context.
 
 Token counts and context counts are never gathered: documents are scored in blocks,
-each of which lists its distinct words and contexts, has them looked up by shard,
-and scores its texts in sparse numpy batches. The lists of a shard carry the
-training counts, so that a shard sums what it looks up.
+each of which lists its distinct words and contexts by shard, a range of their
+hashes, and scores its texts in sparse numpy batches. The lists carry the block's
+training counts, so that a shard sums over all blocks what it answers to each. Only
+lists that hold something are sent: their number never passes that of the words and
+contexts in them, however many blocks and shards there are.
 
 Defined results: a null text is empty and has the end token alone; a null id counts
 as an empty one and a null is never held out by itself; repeated rows are scored
@@ -63,12 +65,12 @@ TEMPLATES = 3
 ROUNDS = 4                  # the first sets the weights, the others move them
 CONTEXT_BITS = 44           # of a context's hash, above the class in a key
 CLASS_BITS = 5
-CONTEXTS_PER_SHARD = 1 << 20
+TOKENS_PER_SHARD = 1 << 20  # training tokens for each range of the hashes
 STRENGTHS = 4.0 ** np.arange(9)
 STEP = 0.7                  # of the distance that would match each feature's counts alone
 BLOCK_BYTES = 16 << 20
-WORDS_PER_SHARD = 1 << 20
-BLOCKS_PER_LOOKUP = 64
+PIECE_BYTES = 1 << 20
+FAN_IN = 16                 # arrays of tasks that are added in one group
 END = np.uint64(0x1)        # the end token's hash; words' hashes are mixed 64-bit values
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _PARTS = 8                  # a summed array travels in so many rows
@@ -82,16 +84,18 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(hashes, endings, first)``: of all tokens, texts one after the other, with
     the end token after each, and where each text begins (one more entry)."""
     flat, begins = _shingles.text_bytes(texts)
-    words, first = _shingles.word_hashes(flat, begins)
+    start, stop = _shingles._word_edges(flat, begins)
+    words, first = _shingles.hashes_between(flat, start, stop), np.searchsorted(start, begins)
     n, total = len(texts), len(words) + len(texts)
     out, ending = np.full(total, END, dtype=np.uint64), np.zeros(total, dtype=np.int64)
     at = np.arange(len(words)) + np.repeat(np.arange(n), np.diff(first))
     out[at] = words
     if len(words):
-        stop = _shingles.word_ends(flat, begins)
-        low = flat.astype(np.uint32)
-        low = np.where((low >= 65) & (low <= 90), low + 32, low)
-        last = low[stop - 1] | (low[np.maximum(stop - 2, 0)] << 8) | (low[np.maximum(stop - 3, 0)] << 16)
+        last = np.zeros(len(stop), dtype=np.uint32)
+        for k in range(3):
+            low = flat[np.maximum(stop - 1 - k, 0)].astype(np.uint32)
+            low[(low >= 65) & (low <= 90)] += 32
+            last |= low << np.uint32(8 * k)
         ending[at] = (mix(last.astype(np.uint64) * _ODD) % np.uint64(SUFFIXES)).astype(np.int64)
     return out, ending, first + np.arange(n + 1)
 
@@ -161,32 +165,45 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["word", "ending", "c"])
 
 
-def _as_rows(total: np.ndarray) -> pa.RecordBatch:
+def _as_rows(total: np.ndarray, kind: str = "<f8") -> pa.RecordBatch:
     parts = np.array_split(total.reshape(-1), _PARTS)
     return pa.RecordBatch.from_arrays([pa.array(range(_PARTS), pa.int32()),
-                                       pa.array([p.astype("<f8").tobytes() for p in parts], pa.binary())],
+                                       pa.array([p.astype(kind).tobytes() for p in parts], pa.binary())],
                                       names=["part", "sums"])
 
 
-def _add(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    total = None
-    for x in table.column("sums"):
-        values = np.frombuffer(x.as_buffer(), "<f8")
-        total = values.copy() if total is None else total + values
-    return pa.Table.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())],
-                                names=["part", "sums"])
+def _add(kind: str):
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        total = 0.0
+        for x in table.column("sums"):
+            total = total + np.frombuffer(x.as_buffer(), kind).astype(np.float64)
+        return pa.Table.from_arrays([pa.array([key[0].as_py()], pa.int32()),
+                                     pa.array([total.astype(kind).tobytes()], pa.binary())], names=["part", "sums"])
+    return run
+
+
+def _fan_in(tasks: int) -> list[int]:
+    """How many sums each level of the tree leaves, until one group can add the rest."""
+    levels = []
+    while tasks > FAN_IN:
+        tasks = -(-tasks // FAN_IN)
+        levels.append(tasks)
+    return levels
 
 
-def _summed(texts: DataFrame, make, shape: tuple) -> np.ndarray:
-    """The sum over tasks of an array of fixed shape. Tasks return one each; sixteen
-    at a time are added before the last sum, which brings ``_PARTS`` rows here."""
+def _summed(texts: DataFrame, make, shape: tuple, kind: str = "<f8") -> np.ndarray:
+    """The sum over tasks of an array of fixed shape. Tasks return one each, which are
+    added in a tree; its root brings ``_PARTS`` rows here. ``kind`` is the number
+    format on the way."""
     rows = texts.mapInArrow(make, "part int, sums binary")
-    some = rows.withColumn("some", F.pmod(F.xxhash64("sums"), F.lit(16)))
-    half = some.groupBy("part", "some").applyInArrow(_add, "part int, sums binary")
-    parts = half.groupBy("part").applyInArrow(_add, "part int, sums binary").collect()
+    for width in _fan_in(texts.rdd.getNumPartitions()):
+        some = rows.withColumn("some", F.pmod(F.xxhash64("sums"), F.lit(width)))
+        rows = some.groupBy("part", "some").applyInArrow(_add(kind), "part int, sums binary")
+    parts = rows.groupBy("part").applyInArrow(_add(kind), "part int, sums binary").collect()
     if not parts:
         return np.zeros(shape)
-    return np.concatenate([np.frombuffer(r["sums"], "<f8") for r in sorted(parts, key=lambda r: r["part"])]).reshape(shape)
+    parts = [np.frombuffer(r["sums"], kind) for r in sorted(parts, key=lambda r: r["part"])]
+    return np.concatenate(parts).astype(np.float64).reshape(shape)
 
 
 def _neighbours(singles: np.ndarray):
@@ -195,7 +212,7 @@ def _neighbours(singles: np.ndarray):
         known = Classes(singles, np.zeros(SUFFIXES, dtype=np.int64))
         width = 2 * (SINGLES + 1)
         total = np.zeros(SUFFIXES * width)
-        for _, hashes, endings, first in _batches(_shingles.pieces(batches)):
+        for _, hashes, endings, first in _batches(_shingles.pieces(batches, PIECE_BYTES)):
             single = known.single(hashes)
             inside = np.ones(len(hashes), dtype=bool)
             inside[first[:-1]] = False                      # the first token of a text has none before it
@@ -239,26 +256,37 @@ def _shares(rows: np.ndarray, by_class: np.ndarray) -> np.ndarray:
     return logits
 
 
-def _feature_counts(classes: Classes, weights: np.ndarray | None):
-    """Per feature and class the observed counts and, with weights, the expected."""
+def _observed_counts(classes: Classes):
+    """The counts of each feature and class, in the first of two planes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows_n = TEMPLATES * BUCKETS + 1
+        seen = np.zeros((2, rows_n, CLASSES))
+        for _, hashes, endings, first in _batches(_shingles.pieces(batches, PIECE_BYTES)):
+            y = classes(hashes, endings)
+            for r in features(hashes, first):
+                seen[0] += np.bincount(r * CLASSES + y, minlength=rows_n * CLASSES).reshape(rows_n, CLASSES)
+            seen[0, -1] += np.bincount(y, minlength=CLASSES)
+        yield _as_rows(seen)
+    return run
+
+
+def _expected_counts(classes: Classes, weights: np.ndarray):
+    """Per feature and class the counts that the weights expect, in the second of two
+    planes; the first has the classes' counts alone, what was read. They travel as 32-bit numbers."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows_n = TEMPLATES * BUCKETS + 1
-        seen = np.zeros((rows_n, CLASSES))
-        expected = np.zeros((rows_n, CLASSES))
-        by_class = None if weights is None else np.ascontiguousarray(weights.T, dtype=np.float32)
-        for _, hashes, endings, first in _batches(_shingles.pieces(batches, 1 << 20)):
-            y, rows = classes(hashes, endings), features(hashes, first)
-            for r in rows:
-                seen.reshape(-1)[:] += np.bincount(r * CLASSES + y, minlength=rows_n * CLASSES)
-            seen[-1] += np.bincount(y, minlength=CLASSES)
-            if weights is not None:
-                own_rows = [r - t * BUCKETS for t, r in enumerate(rows)]
-                for k, p in enumerate(_shares(rows, by_class)):
-                    p = p.astype(np.float64)
-                    expected[-1, k] += p.sum()
-                    for t, r in enumerate(own_rows):
-                        expected[t * BUCKETS:(t + 1) * BUCKETS, k] += np.bincount(r, weights=p, minlength=BUCKETS)
-        yield _as_rows(np.stack([seen, expected]))
+        seen, expected = np.zeros((rows_n, CLASSES)), np.zeros((CLASSES, rows_n))
+        by_class = np.ascontiguousarray(weights.T, dtype=np.float32)
+        for _, hashes, endings, first in _batches(_shingles.pieces(batches, PIECE_BYTES)):
+            rows = features(hashes, first)
+            seen[-1] += np.bincount(classes(hashes, endings), minlength=CLASSES)
+            own_rows = [r - t * BUCKETS for t, r in enumerate(rows)]
+            for k, p in enumerate(_shares(rows, by_class)):
+                p = p.astype(np.float64)
+                expected[k, -1] += p.sum()
+                for t, r in enumerate(own_rows):
+                    expected[k, t * BUCKETS:(t + 1) * BUCKETS] += np.bincount(r, weights=p, minlength=BUCKETS)
+        yield _as_rows(np.stack([seen, expected.T]), "<f4")
     return run
 
 
@@ -284,10 +312,11 @@ def train(texts: DataFrame) -> tuple[DataFrame, dict]:
         mass[SINGLES + classes.of_ending[r["ending"]]] += r["c"]
 
     shape = (2, TEMPLATES * BUCKETS + 1, CLASSES)
-    weights = None
-    for _ in range(ROUNDS):
-        seen, expected = _summed(texts.select("text"), _feature_counts(classes, weights), shape)
-        weights = _start(seen) if weights is None else _update(weights, seen, expected)
+    seen = _summed(texts.select("text"), _observed_counts(classes), shape)[0]
+    weights = _start(seen)
+    for _ in range(ROUNDS - 1):
+        expected = _summed(texts.select("text"), _expected_counts(classes, weights), shape, "<f4")[1]
+        weights = _update(weights, seen, expected)
     return counts, {"classes": classes, "weights": weights.astype(np.float32), "mass": mass,
                     "n": n, "v": v, "unseen": (once + 0.5) / (n + 1) if n else 1.0}
 
@@ -311,38 +340,6 @@ def _update(weights: np.ndarray, seen: np.ndarray, expected: np.ndarray) -> np.n
     return weights + np.clip(scaled, -1.0, 1.0)
 
 
-def _list_words(shards: int):
-    schema = pa.schema([("block", pa.int64()), ("shard", pa.int32()), ("words", pa.binary())])
-
-    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        import pandas as pd
-        found = [np.empty(0, np.uint64)]
-        for _, hashes, _, _ in _batches(_shingles.pieces(iter(table.to_batches()))):
-            found.append(pd.unique(hashes))
-        words = np.unique(np.concatenate(found))
-        shard = (words % np.uint64(shards)).astype(np.int64)
-        lists = [words[shard == s].tobytes() for s in range(shards)]
-        return pa.Table.from_arrays([pa.array([key[0].as_py()] * shards), pa.array(range(shards), pa.int32()),
-                                     pa.array(lists, pa.binary())], schema=schema)
-    return run
-
-
-def _look_up(key: tuple[pa.Scalar, ...], lists: pa.Table, counts: pa.Table) -> pa.Table:
-    have, c = counts.column("word").to_numpy().view(np.uint64), counts.column("c").to_numpy()
-    order = np.argsort(have)
-    have, c = have[order], c[order]
-    found = []
-    for x in lists.column("words"):
-        words = np.frombuffer(x.as_buffer(), "<u8")
-        if len(have):
-            at = np.minimum(np.searchsorted(have, words), len(have) - 1)
-            found.append(np.where(have[at] == words, c[at], 0).astype("<i8").tobytes())
-        else:
-            found.append(np.zeros(len(words), dtype="<i8").tobytes())
-    return pa.Table.from_arrays([lists.column("block"), lists.column("words"), pa.array(found, pa.binary())],
-                                names=["block", "words", "counts"])
-
-
 def _keys(context: np.ndarray, y: np.ndarray) -> np.ndarray:
     """A context of one template and the class after it, in one number."""
     return ((context >> np.uint64(64 - CONTEXT_BITS)) << np.uint64(CLASS_BITS)) | y.astype(np.uint64)
@@ -380,37 +377,53 @@ def _starts(ordered: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate((np.ones(min(len(ordered), 1), bool), ordered[1:] != ordered[:-1])))
 
 
-def _list_contexts(classes: Classes, shards: int):
-    """Per template and shard, a range of context hashes: the block's distinct keys,
-    sorted, and how often each stands in training documents."""
-    edges = np.array([(s << CONTEXT_BITS) // shards << CLASS_BITS for s in range(1, shards)], np.uint64)
+def _sorted_counts(keys: np.ndarray, training: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys of a block's tokens, sorted, and how often each stands in
+    training documents."""
+    keys = (keys << np.uint64(1)) | training                # in the lowest bit, so that one sort does
+    keys.sort()
+    upto = np.concatenate(([0], np.cumsum(keys & np.uint64(1), dtype=np.int64)))
+    keys >>= np.uint64(1)
+    starts = _starts(keys)
+    return keys[starts], np.diff(upto[np.append(starts, len(keys))])
+
+
+def _sorted_words(hashes: np.ndarray, training: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same of words, whose hashes leave no bit free."""
+    import pandas as pd
+    codes, words = pd.factorize(hashes)
+    n = np.bincount(codes[training], minlength=len(words))
+    order = np.argsort(words)
+    return words[order], n[order]
 
-    lows = np.concatenate((np.zeros(1, np.uint64), edges))
 
+def _list_keys(classes: Classes, shards: int):
+    """Per template, words last, and shard that has any: the block's distinct keys, in
+    order, as steps from the shard's least possible key, and their training counts."""
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         pieces, training = [], []
-        for piece, hashes, endings, first in _batches(_shingles.pieces(iter(table.to_batches()), 1 << 20)):
+        for piece, hashes, endings, first in _batches(_shingles.pieces(iter(table.to_batches()), PIECE_BYTES)):
             pieces.append((hashes, classes(hashes, endings).astype(np.uint8), first))
             held = piece.column("held").to_numpy(zero_copy_only=False).astype(bool)
             training.append(np.repeat(~held, np.diff(first)))
         training = np.concatenate(training)
         shard, lists, counts = [], [], []
-        for t in range(TEMPLATES):
-            keys = _token_keys(pieces, t)
-            keys <<= np.uint64(1)                           # training is the lowest bit, so that one sort does
-            keys |= training
-            keys.sort()
-            upto = np.concatenate(([0], np.cumsum(keys & np.uint64(1), dtype=np.int64)))
-            keys >>= np.uint64(1)
-            starts = _starts(keys)
-            distinct, n = keys[starts], np.diff(upto[np.append(starts, len(keys))])
-            cuts = [0, *np.searchsorted(distinct, edges).tolist(), len(distinct)]
-            for s, (a, b) in enumerate(zip(cuts, cuts[1:])):
+        for t in range(TEMPLATES + 1):
+            if t < TEMPLATES:
+                distinct, n = _sorted_counts(_token_keys(pieces, t), training)
+                shift, raw = CONTEXT_BITS + CLASS_BITS - 32, 3
+            else:
+                distinct, n = _sorted_words(np.concatenate([p[0] for p in pieces]), training)
+                shift, raw = 32, 5
+            of = ((distinct >> np.uint64(shift)) * np.uint64(shards)) >> np.uint64(32)
+            cuts = _starts(of)
+            for a, b in zip(cuts, np.append(cuts[1:], len(distinct))):
+                s = int(of[a])
+                low = np.uint64(-(-(s << 32) // shards) << shift)
                 shard.append(t * shards + s)
-                # The first is counted from the shard's own begin.
-                lists.append(_planes(np.diff(distinct[a:b], prepend=lows[s]), 3))
+                lists.append(_planes(np.diff(distinct[a:b], prepend=low), raw))
                 counts.append(_planes(n[a:b]))
-        return pa.Table.from_arrays([pa.array([key[0].as_py()] * len(shard), pa.int64()), pa.array(shard, pa.int32()),
+        return pa.Table.from_arrays([pa.array([key[0].as_py()] * len(shard), pa.int64()), pa.array(shard, pa.int64()),
                                      pa.array(lists, pa.binary()), pa.array(counts, pa.binary())],
                                     names=["block", "shard", "keys", "counts"])
     return run
@@ -424,35 +437,40 @@ def strength(own: np.ndarray, whole: np.ndarray, prior: np.ndarray) -> float:
     return float(STRENGTHS[len(fit) - 1 - int(np.argmax(fit[::-1]))])
 
 
-def _sum_contexts(shares: np.ndarray):
-    """Answers each list of a shard: training counts of its keys and of their contexts
-    over all blocks, and the shard's strength."""
+def _sum_keys(shares: np.ndarray, shards: int):
+    """Answers each list of a shard: training counts of its keys over all blocks and,
+    unless they are words, those of their contexts, and the shard's strength."""
     def run(key: tuple[pa.Scalar, ...], lists: pa.Table) -> pa.Table:
         wanted = [np.cumsum(_from_planes(x.as_buffer()), dtype=np.uint64) for x in lists.column("keys")]
-        keys = np.concatenate([np.empty(0, np.uint64), *wanted])
-        n = np.concatenate([np.empty(0, np.uint64), *(_from_planes(x.as_buffer()) for x in lists.column("counts"))])
-        distinct, at = np.unique(keys, return_inverse=True)
+        n = np.concatenate([_from_planes(x.as_buffer()) for x in lists.column("counts")])
+        distinct, at = np.unique(np.concatenate(wanted), return_inverse=True)
         own = np.bincount(at, weights=n.astype(np.float64), minlength=len(distinct)).astype(np.int64)
-        _, of = np.unique(distinct >> np.uint64(CLASS_BITS), return_inverse=True)
-        whole = np.bincount(of, weights=own).astype(np.int64)[of]
-        prior = shares[(distinct & np.uint64((1 << CLASS_BITS) - 1)).astype(np.int64)]
-        alpha = strength(own, whole, prior)
         ends = np.cumsum([len(x) for x in wanted])
         answers = [at[e - len(x):e] for x, e in zip(wanted, ends)]
+        if key[0].as_py() < TEMPLATES * shards:
+            _, of = np.unique(distinct >> np.uint64(CLASS_BITS), return_inverse=True)
+            whole = np.bincount(of, weights=own).astype(np.int64)[of]
+            prior = shares[(distinct & np.uint64((1 << CLASS_BITS) - 1)).astype(np.int64)]
+            alpha, wholes = strength(own, whole, prior), [_planes(whole[x]) for x in answers]
+        else:
+            alpha, wholes = 0.0, [None] * len(answers)
         return pa.Table.from_arrays([
             lists.column("block"), lists.column("shard"), pa.array([_planes(own[x]) for x in answers], pa.binary()),
-            pa.array([_planes(whole[x]) for x in answers], pa.binary()), pa.array([alpha] * len(answers), pa.float64())],
+            pa.array(wholes, pa.binary()), pa.array([alpha] * len(answers), pa.float64())],
             names=["block", "shard", "own", "whole", "strength"])
     return run
 
 
 def _answers(found: pa.Table, template: int, shards: int) -> tuple:
-    """``own, whole, strength`` of a block's distinct keys of a template, in their order."""
-    at = {s: i for i, s in enumerate(found.column("shard").to_pylist())}
-    mine = [at[template * shards + s] for s in range(shards)]
-    own, whole = ([_from_planes(found.column(c)[i].as_buffer()) for i in mine] for c in ("own", "whole"))
-    alpha = np.repeat([found.column("strength")[i].as_py() for i in mine], [len(x) for x in own])
-    return np.concatenate(own).astype(np.float64), np.concatenate(whole).astype(np.float64), alpha
+    """``own, whole, strength`` of a block's distinct keys of a template, in their
+    order; words (the template after the last) have ``own`` alone."""
+    mine = sorted((s, i) for i, s in enumerate(found.column("shard").to_pylist()) if s // shards == template)
+    read = lambda c: [_from_planes(found.column(c)[i].as_buffer()) for _, i in mine]
+    own = read("own")
+    if template == TEMPLATES:
+        return np.concatenate(own).astype(np.int64), None, None
+    alpha = np.repeat([found.column("strength")[i].as_py() for _, i in mine], [len(x) for x in own])
+    return np.concatenate(own).astype(np.float64), np.concatenate(read("whole")).astype(np.float64), alpha
 
 
 def _score(model: dict, shards: int):
@@ -462,15 +480,8 @@ def _score(model: dict, shards: int):
 
     def run(key: tuple[pa.Scalar, ...], docs: pa.Table, found: pa.Table) -> pa.Table:
         import pandas as pd
-        import pyarrow.compute as pc
-        lists = found.filter(pc.is_valid(found.column("words")))
-        answers = found.filter(pc.is_valid(found.column("own")))
-        words = np.concatenate([np.empty(0, np.uint64), *(np.frombuffer(x.as_buffer(), "<u8") for x in lists.column("words"))])
-        count = np.concatenate([np.empty(0, np.int64), *(np.frombuffer(x.as_buffer(), "<i8") for x in lists.column("counts"))])
-        order = np.argsort(words)
-        words, count = words[order], count[order]
         pieces, ids, p = [], [], []
-        for piece, hashes, endings, first in _batches(_shingles.pieces(iter(docs.to_batches()), 1 << 20)):
+        for piece, hashes, endings, first in _batches(_shingles.pieces(iter(docs.to_batches()), PIECE_BYTES)):
             y = classes(hashes, endings)
             pieces.append((hashes, y.astype(np.uint8), first))
             ids.append(piece.column("doc_id"))
@@ -480,13 +491,15 @@ def _score(model: dict, shards: int):
             keys = _token_keys(pieces, t)
             order = np.argsort(keys)
             sizes = np.diff(np.append(_starts(keys[order]), len(keys)))
-            own, whole, alpha = _answers(answers, t, shards)
+            own, whole, alpha = _answers(found, t, shards)
             p[order] = np.repeat(own / (whole + alpha), sizes) + np.repeat(alpha / (whole + alpha), sizes) * p[order]
+        codes, distinct = pd.factorize(np.concatenate([hashes for hashes, _, _ in pieces]))
+        count = np.empty(len(distinct), np.int64)
+        count[np.argsort(distinct)] = _answers(found, TEMPLATES, shards)[0]
         out, done = [], 0
         log_mass = np.log(np.maximum(mass, 1e-300))
         for (hashes, y, first), doc_id in zip(pieces, ids):
-            codes, distinct = pd.factorize(hashes)
-            c = count[np.searchsorted(words, distinct)][codes]
+            c = count[codes[done:done + len(y)]]
             base = np.log10((c + 1) / (n + v + 1))
             logs = np.log(np.maximum(p[done:done + len(y)], 1e-300))
             done += len(y)
@@ -505,33 +518,18 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` per
     document row: all rows are scored by a model of those that are not held out."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), as_text(F.col(text_col)).alias("text"))
-    counts, model = train(docs.where(~is_held_out(F.col("doc_id"))))
+    _, model = train(docs.where(~is_held_out(F.col("doc_id"))))
     size = docs.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
     n_blocks = -(-size // BLOCK_BYTES) or 1
-    shards = -(-model["v"] // WORDS_PER_SHARD) or 1
+    shards = -(-model["n"] // TOKENS_PER_SHARD) or 1
+    shares = (model["mass"] + 0.5) / (model["mass"] + 0.5).sum()
     dealt = docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)).alias("block"), "doc_id", "text",
                         is_held_out(F.col("doc_id")).alias("held"))
-    lists = dealt.groupBy("block").applyInArrow(_list_words(shards), "block long, shard int, words binary")
-    lists = lists.withColumn("many", F.floor(F.col("block") / BLOCKS_PER_LOOKUP))
-    lookups = F.sequence(F.lit(0).cast("long"), F.lit((n_blocks - 1) // BLOCKS_PER_LOOKUP).cast("long"))
-    unsigned_mod = _unsigned_mod(F.col("word"), shards)
-    spread = counts.select(unsigned_mod.cast("int").alias("shard"), "word", "c", F.explode(lookups).alias("many"))
-    found = lists.groupBy("shard", "many").cogroup(spread.groupBy("shard", "many")).applyInArrow(
-        _look_up, "block long, words binary, counts binary")
-    parts = -(-model["n"] // CONTEXTS_PER_SHARD) or 1
-    shares = (model["mass"] + 0.5) / (model["mass"] + 0.5).sum()
-    seen = dealt.groupBy("block").applyInArrow(_list_contexts(model["classes"], parts),
-                                               "block long, shard int, keys binary, counts binary")
-    seen = seen.groupBy("shard").applyInArrow(_sum_contexts(shares),
-                                              "block long, shard int, own binary, whole binary, strength double")
-    found = found.unionByName(seen, allowMissingColumns=True)
+    lists = dealt.groupBy("block").applyInArrow(_list_keys(model["classes"], shards),
+                                                "block long, shard long, keys binary, counts binary")
+    found = lists.groupBy("shard").applyInArrow(_sum_keys(shares, shards),
+                                                "block long, shard long, own binary, whole binary, strength double")
     scored = dealt.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(
-        _score(model, parts), "doc_id long, n_tokens long, n_known long, base_score double, score double")
+        _score(model, shards), "doc_id long, n_tokens long, n_known long, base_score double, score double")
     return scored.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known",
                          F.lit(model["n"]).cast("long").alias("train_tokens"), "base_score", "score")
-
-
-def _unsigned_mod(word: Column, n: int) -> Column:
-    """The remainder of a long read as unsigned."""
-    high, low = F.shiftrightunsigned(word, 32), word.bitwiseAND(F.lit(0xFFFFFFFF))
-    return ((high % n) * ((1 << 32) % n) + low % n) % n

@@ -419,3 +419,75 @@ def test_lm_on_edge_rows(edge_docs, no_docs):
     assert len(rows) == edge_docs.count()
     assert all(math.isfinite(r["score"]) and math.isfinite(r["base_score"]) and r["n_tokens"] >= 1 for r in rows)
     assert maxent_lm.score(no_docs).count() == 0
+
+
+def _plain_lm(docs):
+    """A dictionary version of the whole model, from its classes and first weights on."""
+    tokens = [(d, [*lower_words(t), None]) for d, t in docs]
+    held = [zlib.crc32(str(d).encode()) % 7 == 2 for d, _ in tokens]
+    count = collections.Counter(w for (_, ws), h in zip(tokens, held) if not h for w in ws)
+    return tokens, held, count
+
+
+def test_lm_score_against_dictionaries(spark, small_docs, monkeypatch):
+    """Words, contexts and strengths counted in dictionaries; the hashed weights are the model's own."""
+    docs = small_docs[:80]
+    kept = {}
+    plain = maxent_lm.train
+    monkeypatch.setattr(maxent_lm, "train", lambda texts: kept.setdefault("model", plain(texts)))
+    monkeypatch.setattr(maxent_lm, "BLOCK_BYTES", 20_000)          # many blocks
+    monkeypatch.setattr(maxent_lm, "TOKENS_PER_SHARD", 1 << 30)    # one shard: one strength per template
+    got = {r["doc_id"]: r for r in maxent_lm.score(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    model = kept["model"][1]
+    tokens, held, count = _plain_lm(docs)
+    shares = (model["mass"] + 0.5) / (model["mass"] + 0.5).sum()
+    hashes, endings, first = maxent_lm.tokens(pa.array([t for _, t in docs]))
+    y = model["classes"](hashes, endings)
+    p = np.exp(maxent_lm.class_log_probabilities(maxent_lm.features(hashes, first), model["weights"]))[np.arange(len(y)), y]
+    training = np.repeat(~np.array(held), np.diff(first))
+    for t in (2, 0, 1):
+        before = []
+        for _, ws in tokens:
+            for i in range(len(ws)):
+                one, two = (ws[i - 1] if i else 0), (ws[i - 2] if i > 1 else 0)
+                before.append((one,) if t == 0 else (one, two) if t == 1 else (two,))
+        own, whole = collections.Counter(), collections.Counter()
+        for c, k, in_training in zip(before, y, training):
+            own[c, k] += int(in_training)
+            whole[c] += int(in_training)
+        keys = list(own)
+        alpha = maxent_lm.strength(np.array([own[k] for k in keys]), np.array([whole[k[0]] for k in keys]),
+                                   shares[[k[1] for k in keys]])
+        p = [(own[c, k] + alpha * q) / (whole[c] + alpha) for c, k, q in zip(before, y, p)]
+    at = 0
+    for d, ws in tokens:
+        total = 0.0
+        for w in ws:
+            known = (1 - model["unseen"]) * p[at] * count[w] / model["mass"][y[at]] if count[w] else model["unseen"]
+            total, at = total + math.log10(known), at + 1
+        assert got[d]["score"] == pytest.approx(total, rel=1e-5)
+
+
+def test_lm_sends_only_lists_that_hold_something(spark, small_docs):
+    docs = spark.createDataFrame(small_docs[:60], "doc_id long, text string").selectExpr(
+        "pmod(doc_id, 1000) AS block", "doc_id", "text", "false AS held")
+    classes = maxent_lm.Classes(np.empty(0, np.uint64), np.zeros(maxent_lm.SUFFIXES, np.int64))
+    lists = docs.groupBy("block").applyInArrow(maxent_lm._list_keys(classes, 1 << 20),
+                                               "block long, shard long, keys binary, counts binary").collect()
+    sizes = [len(maxent_lm._from_planes(pa.py_buffer(bytes(r["keys"])))) for r in lists]
+    assert min(sizes) == 1 and sum(sizes) <= 4 * sum(len(lower_words(t)) + 1 for _, t in small_docs[:60])
+    assert len({(r["block"], r["shard"]) for r in lists}) == len(lists) <= sum(sizes)
+
+
+@pytest.mark.parametrize("tasks", [0, 1, 16, 17, 400, 400_000])
+def test_lm_sums_in_a_tree(tasks):
+    levels = [tasks, *maxent_lm._fan_in(tasks), 1]
+    assert all(a <= maxent_lm.FAN_IN * b for a, b in zip(levels, levels[1:]))
+
+
+def test_lm_tree_adds_every_task(spark):
+    def ones(batches):
+        rows = sum(b.num_rows for b in batches)
+        yield maxent_lm._as_rows(np.full((3, 5), float(rows)))
+    texts = spark.range(0, 1000, 1, 40).selectExpr("cast(id as string) AS text")
+    assert (maxent_lm._summed(texts, ones, (3, 5)) == 1000).all()
