@@ -69,7 +69,7 @@ TOKENS_PER_SHARD = 1 << 20  # training tokens for each range of the hashes
 STRENGTHS = 4.0 ** np.arange(9)
 STEP = 0.7                  # of the distance that would match each feature's counts alone
 BLOCK_BYTES = 16 << 20
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 2 << 20
 FAN_IN = 16                 # arrays of tasks that are added in one group
 END = np.uint64(0x1)        # the end token's hash; words' hashes are mixed 64-bit values
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -243,17 +243,35 @@ def cluster(counts: np.ndarray, k: int, rounds: int = 25) -> np.ndarray:
     return nearest
 
 
-def _shares(rows: np.ndarray, by_class: np.ndarray) -> np.ndarray:
-    """Classes x tokens: the softmax of the summed weights (``by_class``: classes x rows)."""
-    logits = np.empty((CLASSES, rows.shape[1]), dtype=np.float32)
-    for k, w in enumerate(by_class):
-        np.take(w + w[-1], rows[0], out=logits[k], mode="clip")
+def _distinct(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct columns of ``features``, and which of them each token has."""
+    import pandas as pd
+    key = rows[0]
+    for t, r in enumerate(rows[1:], 1):
+        key = key * BUCKETS + (r - t * BUCKETS)
+    codes, key = pd.factorize(key)
+    columns = []
+    for t in range(TEMPLATES - 1, -1, -1):
+        columns.append(key % BUCKETS + t * BUCKETS)
+        key = key // BUCKETS
+    return np.stack(columns[::-1]), codes
+
+
+def _factors(weights: np.ndarray) -> np.ndarray:
+    """Classes x rows: the weights' exponentials. The bound keeps a product of the
+    templates' and the class's own within 32-bit numbers."""
+    return np.exp(np.ascontiguousarray(np.clip(weights.T, -20, 20), dtype=np.float32))
+
+
+def _odds(rows: np.ndarray, factors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Classes x tokens: what the softmax of the summed weights is in proportion to,
+    and its sum over the classes."""
+    odds, more = np.empty((CLASSES, rows.shape[1]), np.float32), np.empty(rows.shape[1], np.float32)
+    for k, f in enumerate(factors):
+        np.take(f * f[-1], rows[0], out=odds[k], mode="clip")
         for r in rows[1:]:
-            logits[k] += np.take(w, r, mode="clip")
-    logits -= logits.max(axis=0)
-    np.exp(logits, out=logits)
-    logits /= logits.sum(axis=0)
-    return logits
+            odds[k] *= np.take(f, r, out=more, mode="clip")
+    return odds, odds.sum(axis=0)
 
 
 def _observed_counts(classes: Classes):
@@ -276,13 +294,15 @@ def _expected_counts(classes: Classes, weights: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows_n = TEMPLATES * BUCKETS + 1
         seen, expected = np.zeros((rows_n, CLASSES)), np.zeros((CLASSES, rows_n))
-        by_class = np.ascontiguousarray(weights.T, dtype=np.float32)
+        factors = _factors(weights)
         for _, hashes, endings, first in _batches(_shingles.pieces(batches, PIECE_BYTES)):
-            rows = features(hashes, first)
+            rows, codes = _distinct(features(hashes, first))
+            odds, whole = _odds(rows, factors)
+            times = np.bincount(codes, minlength=rows.shape[1]) / whole.astype(np.float64)
             seen[-1] += np.bincount(classes(hashes, endings), minlength=CLASSES)
             own_rows = [r - t * BUCKETS for t, r in enumerate(rows)]
-            for k, p in enumerate(_shares(rows, by_class)):
-                p = p.astype(np.float64)
+            for k, p in enumerate(odds):
+                p = p * times
                 expected[k, -1] += p.sum()
                 for t, r in enumerate(own_rows):
                     expected[k, t * BUCKETS:(t + 1) * BUCKETS] += np.bincount(r, weights=p, minlength=BUCKETS)
@@ -476,7 +496,7 @@ def _answers(found: pa.Table, template: int, shards: int) -> tuple:
 def _score(model: dict, shards: int):
     classes, weights, mass = model["classes"], model["weights"], model["mass"]
     n, v, unseen = model["n"], model["v"], model["unseen"]
-    by_class = np.ascontiguousarray(weights.T, dtype=np.float32)
+    factors = _factors(weights)
 
     def run(key: tuple[pa.Scalar, ...], docs: pa.Table, found: pa.Table) -> pa.Table:
         import pandas as pd
@@ -485,7 +505,9 @@ def _score(model: dict, shards: int):
             y = classes(hashes, endings)
             pieces.append((hashes, y.astype(np.uint8), first))
             ids.append(piece.column("doc_id"))
-            p.append(_shares(features(hashes, first), by_class)[y, np.arange(len(y))])
+            rows, codes = _distinct(features(hashes, first))
+            odds, whole = _odds(rows, factors)
+            p.append(odds[y, codes] / whole[codes])
         p = np.concatenate(p).astype(np.float64)
         for t in (2, 0, 1):                                 # skip, word before, two words before
             keys = _token_keys(pieces, t)
