@@ -491,3 +491,30 @@ def test_lm_tree_adds_every_task(spark):
         yield maxent_lm._as_rows(np.full((3, 5), float(rows)))
     texts = spark.range(0, 1000, 1, 40).selectExpr("cast(id as string) AS text")
     assert (maxent_lm._summed(texts, ones, (3, 5)) == 1000).all()
+
+
+def _classified(docs, labels):
+    return sorted(map(str, kneser_ney.classify(docs, labels).collect()))
+
+
+def test_quality_word_tables_of_any_size_score_alike(spark, edge_docs, monkeypatch):
+    """A table too large to send whole is joined, with the same result."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    docs = docs.select("doc_id", "text", "lang").unionByName(edge_docs.selectExpr("doc_id + 100000 AS doc_id", "text", "lang"))
+    tables, plain = [], word_scores.toxic_words
+    monkeypatch.setattr(word_scores, "toxic_words", lambda *a: tables.append(plain(*a)) or tables[-1])
+    sent = _classified(docs, labels)
+    assert tables[0].count() > 3
+    monkeypatch.setattr(word_scores, "MAX_COLLECTED", 3)
+    assert _classified(docs, labels) == sent
+
+
+def test_quality_word_odds_against_dictionaries(spark):
+    rng = random.Random(8)
+    rows = [(" ".join(rng.choice("abcdefghij") * 2 for _ in range(rng.randrange(6))), i % 2) for i in range(60)]
+    t, c = (collections.Counter(w for text, toxic in rows if toxic == v for w in set(text.split())) for v in (1, 0))
+    want = [math.log((t[w] + 0.5) / 31) - math.log((c[w] + 0.5) / 31) for w in t if t[w] >= word_scores.MIN_DOCUMENTS]
+    got = word_scores.toxic_words(spark.createDataFrame(rows, "text string, toxic int"), 30, 30)
+    hashes, odds = word_scores.collected(got)
+    assert (np.diff(hashes.astype(object)) > 0).all()
+    assert sorted(odds) == pytest.approx(sorted(x for x in want if round(x, 6) > 0), abs=1e-6)
