@@ -1,16 +1,18 @@
 """Quality classifier: an interpolated modified Kneser-Ney model of trusted text.
 
 The model is over bytes: order ``ORDER`` n-grams of UTF-8, each packed into a long,
-so that its tables are exact. It is trained on a bounded sample of trusted labelled
-documents (``max_train``). Counts, continuation counts, discounts and back-off
-weights are grouped sums and joins over n-gram tables.
+so that its tables are exact. Of the labelled documents, a half by hash of the id
+trains: the model on all that are trusted there, the toxic words on the toxic ones
+too. The other half is held out and sets the thresholds. Counts, continuation counts,
+discounts and back-off weights are grouped sums and joins over n-gram tables.
 
 Scoring joins counts by shard. Documents are dealt into blocks of about
 ``BLOCK_BYTES``; each block lists its distinct n-grams once, per shard of the model
 (shards are by the two bytes before the last, which an n-gram shares with all its
 lower orders and contexts); the lists meet the model's shard and come back with log
 probabilities; the block then sums them over its documents. The texts are shuffled
-once and read twice, and neither a shard nor a block grows with the input.
+once and read twice, and neither a shard nor a block grows with the input: a larger
+model has more shards, and more blocks then share a copy of it.
 
 A document is rejected when its log perplexity is above its language's threshold:
 the ``quantile`` of held-out trusted documents of that language plus ``margin``
@@ -43,11 +45,12 @@ from assayframe.llm import _shingles, word_scores
 from assayframe.llm._common import as_text, written
 
 ORDER = 5                   # bytes; at most 8 fit a long
-SHARDS = 12
+SHARDS = 12                 # at least
+GRAMS_PER_SHARD = 200_000
 BLOCK_BYTES = 16 << 20
 PIECE_BYTES = 1 << 20       # of a block's texts, whose n-grams are in memory at a time
-BLOCKS_PER_LOOKUP = 64
-MAX_TRAIN = 20_000          # trusted documents the model is fitted on, at most
+BLOCKS_PER_LOOKUP = 64      # with SHARDS shards; more with more
+MAX_SENT = 2_000_000        # training ids that tasks get whole; more are joined
 QUANTILE = 0.99
 MARGIN = 1.0
 SHORT_SLACK = 2.0
@@ -92,19 +95,22 @@ def _discounts(n: list[float]) -> list[float]:
     return [min(max(x, 0.0), i + 1.0) for i, x in enumerate(d)]
 
 
-def train(texts: DataFrame, shards: int = SHARDS) -> DataFrame:
+def train(texts: DataFrame, shards: int | None = None) -> DataFrame:
     """The model as rows ``shard, k, kind, key, value``: per order ``k`` the
     discounted probability of each n-gram (kind 0) and the back-off weight of each
-    context (kind 1). Orders 1 and 2 are in every shard."""
+    context (kind 1). Orders 1 and 2 are in every shard. Without ``shards`` their
+    number goes by that of the n-grams."""
     counts = texts.select("text").mapInArrow(_count, "g long, c long")
     grams = {ORDER: written(counts.groupBy("g").agg(F.sum("c").alias("c")), "kn-grams")}
     for k in range(ORDER - 1, 0, -1):
         suffix = F.col("g").bitwiseAND(F.lit(_mask(k))).alias("g")
         grams[k] = written(grams[k + 1].select(suffix).groupBy("g").agg(F.count("*").alias("c")), "kn-grams")
+    seen = {k: table.agg(F.count("*").alias("n"), *[F.sum((F.col("c") == i).cast("long")).alias(str(i)) for i in range(1, 5)])
+            .first() for k, table in grams.items()}
+    shards = shards or max(SHARDS, -(-sum(r["n"] for r in seen.values()) // GRAMS_PER_SHARD))
     parts = []
     for k, table in grams.items():
-        seen = table.agg(*[F.sum((F.col("c") == i).cast("long")).alias(str(i)) for i in range(1, 5)]).first()
-        d = _discounts([float(x or 0) for x in seen])
+        d = _discounts([float(x or 0) for x in seen[k][1:]])
         taken = F.when(F.col("c") == 1, d[0]).when(F.col("c") == 2, d[1]).otherwise(d[2])
         split = table.select("g", "c", F.shiftright("g", 8).alias("h"), taken.alias("d"))
         contexts = split.groupBy("h").agg(F.sum("c").alias("total"), F.sum("d").alias("freed"))
@@ -217,17 +223,21 @@ def _sum_up(toxic: tuple[np.ndarray, np.ndarray]):
 NO_WORDS = np.empty(0, np.uint64), np.empty(0)
 
 
-def score(docs: DataFrame, model: DataFrame, shards: int = SHARDS,
+def score(docs: DataFrame, model: DataFrame, shards: int | None = None,
           toxic: tuple[np.ndarray, np.ndarray] = NO_WORDS) -> DataFrame:
     """``doc_id, lang, fp, n_bytes, log_p, worst_word, repeats`` per row of ``doc_id,
     lang, fp, text`` (``log_p``: natural log probability of the text's bytes; the last
-    two by ``word_scores`` with the words of ``toxic``)."""
+    two by ``word_scores`` with the words of ``toxic``). ``shards`` is that of ``train``."""
+    if shards is None:
+        last = model.agg(F.max("shard")).first()[0]
+        shards = SHARDS if last is None else last + 1
     size = docs.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
     n_blocks = -(-size // BLOCK_BYTES) or 1
     dealt = docs.select(F.pmod(F.xxhash64("doc_id", "fp"), F.lit(n_blocks)).alias("block"), "doc_id", "lang", "fp", "text")
     lists = dealt.groupBy("block").applyInArrow(_list_ngrams(shards), "block long, shard int, keys binary")
-    lists = lists.withColumn("many", F.floor(F.col("block") / BLOCKS_PER_LOOKUP))
-    lookups = F.sequence(F.lit(0).cast("long"), F.lit((n_blocks - 1) // BLOCKS_PER_LOOKUP).cast("long"))
+    per_lookup = max(1, BLOCKS_PER_LOOKUP * shards // SHARDS)
+    lists = lists.withColumn("many", F.floor(F.col("block") / per_lookup))
+    lookups = F.sequence(F.lit(0).cast("long"), F.lit((n_blocks - 1) // per_lookup).cast("long"))
     spread = model.select("*", F.explode(lookups).alias("many"))
     found = lists.groupBy("shard", "many").cogroup(spread.groupBy("shard", "many")).applyInArrow(
         _look_up, "block long, keys binary, logs binary")
@@ -252,8 +262,7 @@ def _limits(held: DataFrame, of: Column, quantile: float) -> DataFrame:
         "of", "n", *[(-F.col(f"{c}.limit")).cast("double").alias(f"{c}_limit") for c in names])
 
 
-def classify(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, quantile: float = QUANTILE,
-             margin: float = MARGIN) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, margin: float = MARGIN) -> DataFrame:
     """``doc_id, lang, fp, n_bytes, log_perplexity, threshold, worst_word,
     worst_word_limit, repeats, repeats_limit, keep`` per row of ``docs`` (``doc_id,
     text, lang``; other columns are ignored). ``labels`` has ``doc_id, quality,
@@ -265,17 +274,14 @@ def classify(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, qua
     toxic = F.coalesce(F.col("toxic") == 1, F.lit(False))
     labelled = written(labels.where("doc_id is not null").groupBy("doc_id").agg(
         (F.min(good.cast("int")) == 1).alias("good"), F.max(toxic.cast("int")).alias("toxic")), "kn-labels")
-    # Half of the labelled documents at most train; the others set the thresholds.
+    # Half of the labelled documents train, all of them; the others set the thresholds.
     in_train = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(2)) == 0
-    order = F.xxhash64("doc_id", F.lit(6)), "doc_id"
-    chosen = [labelled.where(in_train).where(which).orderBy(*order).limit(max_train).select("doc_id", "toxic")
-              for which in ("good", "toxic = 1")]
-    # At most 2 * max_train ids: safe to broadcast.
-    chosen = written(chosen[0].unionByName(chosen[1]), "kn-train")
+    chosen = written(labelled.where(in_train & (F.col("good") | (F.col("toxic") == 1))).select("doc_id", "toxic"), "kn-train")
     n_train = {r["toxic"]: r["count"] for r in chosen.groupBy("toxic").count().collect()}
-    model = train(docs.join(F.broadcast(chosen.where("toxic = 0")), "doc_id", "left_semi"))
-    words = written(word_scores.toxic_words(docs.join(F.broadcast(chosen), "doc_id"), n_train.get(1, 0), n_train.get(0, 0)),
-                    "kn-words")
+    sent = sum(n_train.values()) <= MAX_SENT
+    rows = docs.where(in_train).join(F.broadcast(chosen) if sent else chosen, "doc_id")
+    model = train(rows.where("toxic = 0"))
+    words = written(word_scores.toxic_words(rows, n_train.get(1, 0), n_train.get(0, 0)), "kn-words")
     few = word_scores.collected(words)
     scored = score(docs, model, toxic=NO_WORDS if few is None else few)
     if few is None:

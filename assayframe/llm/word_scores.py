@@ -4,7 +4,7 @@ Words are runs of letters, digits and non-ASCII bytes, with A-Z in lower case, b
 their hash. Two scores of a text:
 
 ``worst_word``: the largest log odds of any of its words, between the toxic and the
-trusted documents of a training sample, by the documents that hold the word (half a
+trusted training documents, by the documents that hold the word (half a
 document is added to each count). Zero without a word that speaks for toxic.
 
 ``repeats``: the most words of any ``WINDOW`` consecutive ones that stand already
@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assayframe.llm import _shingles
+from assayframe.llm._common import written
 
 WINDOW = 16
 MIN_DOCUMENTS = 2           # toxic documents that hold a word of the table, at least
@@ -38,25 +39,35 @@ def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return _shingles.word_hashes(*_shingles.text_bytes(texts), _BETWEEN)
 
 
-def _documents_of_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in _shingles.pieces(batches, PIECE_BYTES):
-        found, first = words(batch.column("text"))
-        toxic = batch.column("toxic").to_numpy(zero_copy_only=False)
-        for value in (0, 1):
-            sets = [np.unique(found[a:b]) for a, b, t in zip(first, first[1:], toxic) if t == value]
+def _documents_of_words(wanted: np.ndarray | None = None):
+    """Per word, or per word of ``wanted`` (sorted), the documents that hold it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _shingles.pieces(batches, PIECE_BYTES):
+            found, first = words(batch.column("text"))
+            of = np.repeat(np.arange(len(first) - 1), np.diff(first))
+            if wanted is not None:
+                mine = np.isin(found, wanted)
+                found, of = found[mine], of[mine]
+            edges = np.searchsorted(of, np.arange(len(first)))
+            sets = [np.unique(found[a:b]) for a, b in zip(edges, edges[1:])]
             word, n = np.unique(np.concatenate([np.empty(0, np.uint64), *sets]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(word.astype(np.int64)), pa.array(np.full(len(word), value, np.int32)),
-                                              pa.array(n.astype(np.int64))], names=["word", "toxic", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(word.astype(np.int64)), pa.array(n.astype(np.int64))], names=["word", "n"])
+    return run
 
 
 def toxic_words(texts: DataFrame, n_toxic: int, n_trusted: int) -> DataFrame:
     """``word, odds``: the words that speak for toxic, and their log odds. ``texts``
-    has ``text, toxic`` (0 or 1), a row per training document."""
-    counts = texts.select("text", "toxic").mapInArrow(_documents_of_words, "word long, toxic int, n long")
-    held = lambda value: F.coalesce(F.sum(F.when(F.col("toxic") == value, F.col("n"))), F.lit(0))
-    odds = (F.log((F.col("t") + 0.5) / F.lit(n_toxic + 1.0)) - F.log((F.col("c") + 0.5) / F.lit(n_trusted + 1.0)))
-    return (counts.groupBy("word").agg(held(1).alias("t"), held(0).alias("c")).where(F.col("t") >= MIN_DOCUMENTS)
-            .select("word", F.round(odds, 6).alias("odds")).where("odds > 0"))
+    has ``text, toxic`` (0 or 1), a row per training document. The trusted documents
+    are counted for the toxic ones' words alone."""
+    def held(value: int, name: str, wanted: np.ndarray | None = None) -> DataFrame:
+        counts = texts.where(F.col("toxic") == value).select("text").mapInArrow(_documents_of_words(wanted), "word long, n long")
+        return counts.groupBy("word").agg(F.sum("n").alias(name))
+    toxic = written(held(1, "t").where(F.col("t") >= MIN_DOCUMENTS), "toxic-words")
+    rows = toxic.select("word").limit(MAX_COLLECTED + 1).collect()
+    wanted = None if len(rows) > MAX_COLLECTED else np.sort(np.array([r["word"] for r in rows], np.int64).astype(np.uint64))
+    odds = (F.log((F.col("t") + 0.5) / F.lit(n_toxic + 1.0))
+            - F.log((F.coalesce("c", F.lit(0)) + 0.5) / F.lit(n_trusted + 1.0)))
+    return toxic.join(held(0, "c", wanted), "word", "left").select("word", F.round(odds, 6).alias("odds")).where("odds > 0")
 
 
 def collected(table: DataFrame) -> tuple[np.ndarray, np.ndarray] | None:

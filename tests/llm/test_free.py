@@ -509,6 +509,32 @@ def test_quality_word_tables_of_any_size_score_alike(spark, edge_docs, monkeypat
     assert _classified(docs, labels) == sent
 
 
+def test_quality_trains_on_every_trusted_document_of_its_half(spark, monkeypatch):
+    """However many they are, and the same whether their ids are sent or joined."""
+    n = 44_000
+    docs = spark.range(n).selectExpr("id AS doc_id", "concat('text ', id) AS text", "'en' AS lang")
+    labels = spark.range(n).selectExpr("id AS doc_id", "1 AS quality", "CAST(id % 1000 = 7 AS int) AS toxic")
+    half = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(2)) == 0).where("doc_id % 1000 <> 7")
+    trained, plain = [], kneser_ney.train
+    monkeypatch.setattr(kneser_ney, "train", lambda texts: trained.append(texts) or plain(texts))
+    sent = kneser_ney.classify(docs, labels)
+    assert trained[0].count() == half.count() > 20_000
+    monkeypatch.setattr(kneser_ney, "MAX_SENT", 10)
+    joined = kneser_ney.classify(docs, labels)
+    assert "BroadcastHint" not in str(trained[1]._jdf.queryExecution().logical())
+    assert sent.exceptAll(joined).count() == joined.exceptAll(sent).count() == 0
+
+
+def test_quality_model_of_many_shards_scores_alike(spark, small_docs, monkeypatch):
+    train = spark.createDataFrame(small_docs[:60], "doc_id long, text string")
+    docs = train.select("doc_id", F.lit("en").alias("lang"), F.xxhash64("text").alias("fp"), "text")
+    scores = lambda: sorted(map(str, kneser_ney.score(docs, kneser_ney.train(train)).collect()))
+    few = scores()
+    monkeypatch.setattr(kneser_ney, "GRAMS_PER_SHARD", 1000)
+    assert kneser_ney.train(train).agg(F.max("shard")).first()[0] + 1 > 3 * kneser_ney.SHARDS
+    assert scores() == few
+
+
 def test_quality_word_odds_against_dictionaries(spark):
     rng = random.Random(8)
     rows = [(" ".join(rng.choice("abcdefghij") * 2 for _ in range(rng.randrange(6))), i % 2) for i in range(60)]
