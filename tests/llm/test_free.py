@@ -429,6 +429,20 @@ def _plain_lm(docs):
     return tokens, held, count
 
 
+def test_lm_classes_of_words_do_not_depend_on_the_rows_beside_them():
+    texts = ["a b", "to be", "", "xy\nz", "longer words here", "i"]
+    ending = lambda ts: [e.tolist() for t in [maxent_lm.tokens(pa.array(ts))]
+                         for e in np.split(t[1], t[2][1:-1])]
+    assert ending(texts) == [ending([t])[0] for t in texts] == ending(texts[::-1])[::-1]
+
+
+def test_word_hashes_do_not_depend_on_how_many_are_taken_at_a_time(monkeypatch):
+    texts = pa.array(["one two three", "", "x" * 500 + " y", "one two"] * 3)
+    plain = maxent_lm.tokens(texts)[0]
+    monkeypatch.setattr(_shingles, "HASH_BYTES", 7)
+    assert (maxent_lm.tokens(texts)[0] == plain).all()
+
+
 def test_lm_score_against_dictionaries(spark, small_docs, monkeypatch):
     """Words, contexts and strengths counted in dictionaries; the hashed weights are the model's own."""
     docs = small_docs[:80]
