@@ -58,7 +58,8 @@ STRIDE = 192                # of a context in a bucket's text, padded
 BLOCK_BYTES = 16 << 20
 PIECE_BYTES = 1 << 20       # of a block's texts, whose K-grams are in memory at a time
 SEGMENT = 2 << 20           # a longer text is handled as overlapping pieces of this size
-SHARD_BYTES = 16 << 20      # input bytes per shard of keys and buckets
+SHARD_BYTES = 8 << 20       # input bytes per shard of keys and buckets
+BATCH_BYTES = 8 << 20       # of contexts that leave a task at a time
 BUCKET_ROWS = 8_000
 SLICE = 4096                # rows whose bytes are gathered at a time
 HOT_KEY = 50_000
@@ -174,11 +175,14 @@ def _list_keys(shards: int, segment: int):
         found = [Anchors(flat, begins).key for flat, begins, _, _ in _segments(docs, segment)]
         keys, counts = np.unique(np.concatenate([np.empty(0, np.uint64), *found]), return_counts=True)
         shard = (keys % np.uint64(shards)).astype(np.int64)
-        which = [np.flatnonzero(shard == s) for s in range(shards)]
+        order = np.argsort(shard, kind="stable")
+        cut = np.searchsorted(shard[order], np.arange(shards + 1))
+        which = np.flatnonzero(np.diff(cut))
+        if not len(which):
+            return schema.empty_table()
         return pa.Table.from_arrays([
-            pa.array([key[0].as_py()] * shards, pa.int64()), pa.array(range(shards), pa.int32()),
-            pa.array([keys[w].tobytes() for w in which], pa.binary()),
-            pa.array([np.minimum(counts[w], 1 << 30).astype("<u4").tobytes() for w in which], pa.binary())], schema=schema)
+            pa.array([key[0].as_py()] * len(which), pa.int64()), pa.array(which, pa.int32()),
+            _cells(keys[order], cut, which), _cells(np.minimum(counts[order], 1 << 30).astype("<u4"), cut, which)], schema=schema)
     return run
 
 
@@ -204,6 +208,9 @@ _SENT = np.dtype([("key", "<u8"), ("context", "<u8"), ("doc", "<i8"), ("row", "<
                   ("back", "u1"), ("from_", "u1"), ("to", "u1")])
 _ALONE = np.dtype([("a", "<u8"), ("b", "<u8"), ("doc", "<i8"), ("row", "<i4"), ("at", "<i8")])
 _FOUND = np.dtype([("row", "<i4"), ("begin", "<i8"), ("end", "<i8")])
+_PLACE = np.dtype([("segment", "<i4"), ("at", "<i8"), ("lo", "<i8"), ("hi", "<i8")])
+_NOTHING_LISTED = pa.schema([("block", pa.int64()), ("shard", pa.int32()), ("sent", pa.binary()), ("bytes", pa.binary()),
+                             ("alone", pa.binary()), ("found", pa.binary())])
 _LISTED = "block long, shard int, sent binary, bytes binary, alone binary, found binary"
 
 
@@ -246,8 +253,8 @@ def _list_contexts(shards: int, segment: int):
         docs = _ordered(docs)
         ids = docs.column("order_id").to_numpy()
         repeated, hot = _sorted_values(known.column("repeated")), _sorted_values(known.column("hot"))
-        sent, texts, alone, found = [], [], [], []
-        for flat, begins, rows, offsets in _segments(docs, segment):
+        sent, alone, found, places = [], [], [], []
+        for number, (flat, begins, rows, offsets) in enumerate(_segments(docs, segment)):
             a = Anchors(flat, begins)
             is_hot = _member(hot, a.key)
             which = np.flatnonzero(is_hot | _member(repeated, a.key))
@@ -263,7 +270,9 @@ def _list_contexts(shards: int, segment: int):
             here["back"], here["from_"], here["to"] = a.at - lo, a.at - a.lo, a.at - a.hi
             cold = np.flatnonzero(~is_hot)
             sent.append(here[cold])
-            texts.append(_context_bytes(flat, a.at[cold] - LEFT, lo[cold], hi[cold]))
+            place = np.zeros(len(cold), dtype=_PLACE)
+            place["segment"], place["at"], place["lo"], place["hi"] = number, a.at[cold] - LEFT, lo[cold], hi[cold]
+            places.append(place)
             if is_hot.any():
                 h = np.flatnonzero(is_hot)
                 count = a.hi[h] - a.lo[h] + 1
@@ -276,28 +285,50 @@ def _list_contexts(shards: int, segment: int):
                 one["doc"], one["row"], one["at"] = ids[row[of]], row[of], start + shift[of]
                 alone.append(one)
         sent = np.concatenate([np.zeros(0, _SENT), *sent])
-        texts = np.concatenate([np.zeros((0, WIDE), np.uint8), *texts])
+        places = np.concatenate([np.zeros(0, _PLACE), *places])
         alone = np.concatenate([np.zeros(0, _ALONE), *alone])
         first = _first_of_each(sent["key"], sent["context"])
         found.append(_intervals(sent[~first]))
-        sent, texts = sent[first], texts[first]
+        sent, places = sent[first], places[first]
         lone = _first_of_each(alone["a"], alone["b"])
         found.append(_window_intervals(alone[~lone]))
         alone = alone[lone]
         done = np.concatenate(found)
-        shard, lone_shard = sent["key"] % np.uint64(shards), alone["a"] % np.uint64(shards)
-        out = {"block": [], "shard": [], "sent": [], "bytes": [], "alone": [], "found": []}
-        for s in range(shards):
-            m = shard == s
-            for name, value in (("block", key[0].as_py()), ("shard", s), ("sent", sent[m].tobytes()),
-                                ("bytes", texts[m].tobytes()), ("alone", alone[lone_shard == s].tobytes()),
-                                ("found", done[s::shards].tobytes())):
-                out[name].append(value)
-        return pa.table(out, schema=pa.schema([("block", pa.int64()), ("shard", pa.int32()), ("sent", pa.binary()),
-                                               ("bytes", pa.binary()), ("alone", pa.binary()), ("found", pa.binary())]))
+        # Shard by shard; the bytes of the contexts are read from the texts once their places are known.
+        shard, lone_shard = (sent["key"] % np.uint64(shards)).astype(np.int64), (alone["a"] % np.uint64(shards)).astype(np.int64)
+        order, lone_order = np.argsort(shard, kind="stable"), np.argsort(lone_shard, kind="stable")
+        sent, places, alone = sent[order], places[order], alone[lone_order]
+        texts = np.empty((len(sent), WIDE), dtype=np.uint8)
+        by_segment = np.argsort(places["segment"], kind="stable")
+        edges = np.searchsorted(places["segment"][by_segment], np.arange(places["segment"].max(initial=-1) + 2))
+        for (flat, _, _, _), i, j in zip(_segments(docs, segment), edges, edges[1:]):
+            for k in range(i, j, SLICE):
+                some = by_segment[k:min(k + SLICE, j)]
+                texts[some] = _context_bytes(flat, *(places[c][some] for c in ("at", "lo", "hi")))
+        cut, lone_cut = (np.searchsorted(x, np.arange(shards + 1)) for x in (shard[order], lone_shard[lone_order]))
+        done_cut = np.linspace(0, len(done), shards + 1).astype(np.int64)
+        some = np.flatnonzero((np.diff(cut) > 0) | (np.diff(lone_cut) > 0) | (np.diff(done_cut) > 0))
+        batch = (cut[some + 1] * WIDE) // BATCH_BYTES
+        tables = []
+        for b in np.unique(batch):
+            mine = some[batch == b]
+            tables.append(pa.Table.from_arrays([
+                pa.array([key[0].as_py()] * len(mine), pa.int64()), pa.array(mine, pa.int32()),
+                _cells(sent, cut, mine), _cells(texts, cut, mine), _cells(alone, lone_cut, mine), _cells(done, done_cut, mine)],
+                names=["block", "shard", "sent", "bytes", "alone", "found"]))
+        return pa.concat_tables(tables) if tables else _NOTHING_LISTED.empty_table()
     return run
 
 
+def _cells(rows: np.ndarray, cut: np.ndarray, which: np.ndarray) -> pa.Array:
+    """The rows of each of some shards, sorted by shard, as one binary value each."""
+    part = rows[cut[which[0]]:cut[which[-1] + 1]]          # shards between them have no rows
+    width = part.dtype.itemsize * (part.shape[1] if part.ndim > 1 else 1)
+    offsets = np.append(cut[which], cut[which[-1] + 1]) - cut[which[0]]
+    return pa.Array.from_buffers(pa.binary(), len(which), [None, pa.py_buffer((offsets * width).astype("<i4")),
+                                                           pa.py_buffer(np.ascontiguousarray(part).view(np.uint8).reshape(-1))])
+
+
 def _intervals(sent: np.ndarray) -> np.ndarray:
     """The bytes that all windows of these anchors cover."""
     out = np.zeros(len(sent), dtype=_FOUND)
@@ -410,16 +441,21 @@ def _sort_buckets(bucket_rows: int):
         read = lambda name, kind: [np.frombuffer(x.as_buffer(), kind) for x in lists.column(name)]
         parts = read("sent", _SENT)
         sent = np.concatenate(parts)
-        texts = np.concatenate(read("bytes", np.uint8)).reshape(-1, WIDE)
+        texts = read("bytes", np.uint8)
+        texts = (texts[0] if len(texts) == 1 else np.concatenate(texts)).reshape(-1, WIDE)
         block = np.repeat(blocks, [len(p) for p in parts])
-        # By bucket and context, the earliest first.
+        # By bucket and context, the earliest first; the bytes stay where they are.
         order = np.lexsort((sent["at"], sent["row"], sent["doc"], sent["context"], sent["key"]))
-        sent, texts, block = sent[order], texts[order], block[order]
+        sent, block = sent[order], block[order]
         found, owner = [], []
         if len(sent):
             new = np.concatenate(([True], (sent["key"][1:] != sent["key"][:-1]) | (sent["context"][1:] != sent["context"][:-1])))
             lead = np.flatnonzero(new)[np.cumsum(new) - 1]
-            same = (texts == texts[lead]).all(axis=1)           # bytes decide, not the hash
+            same = np.ones(len(sent), dtype=bool)               # bytes decide, not the hash
+            again = np.flatnonzero(~new)
+            for i in range(0, len(again), SLICE):
+                some = again[i:i + SLICE]
+                same[some] = (texts[order[some]] == texts[order[lead[some]]]).all(axis=1)
             whole = ~new & same
             found.append(_intervals(sent[whole]))
             owner.append(block[whole])
@@ -432,7 +468,7 @@ def _sort_buckets(bucket_rows: int):
             while begin < len(edge):        # buckets, some thousands of contexts at a time
                 upto = begin + max(1, int(np.searchsorted(np.cumsum(sizes[begin:]), bucket_rows, side="right")))
                 mine = left[np.concatenate([np.arange(e, e + s) for e, s in zip(edge[begin:upto], sizes[begin:upto])])]
-                got, who = _repeats_of(sent[mine], texts[mine], np.repeat(np.arange(upto - begin), sizes[begin:upto]))
+                got, who = _repeats_of(sent[mine], texts[order[mine]], np.repeat(np.arange(upto - begin), sizes[begin:upto]))
                 found.append(got)
                 owner.append(block[mine][who])
                 begin = upto

@@ -153,6 +153,25 @@ def test_suffix_dedup_of_periodic_and_edge_texts(spark, edge_docs, no_docs):
     assert [tuple(s) for s in spans["spans"]] == [(1, 5000)] or spans["n_removed"] == sum(e - b for b, e in spans["spans"])
 
 
+def test_suffix_dedup_sends_only_lists_that_hold_something_a_few_at_a_time(monkeypatch):
+    rng = random.Random(4)
+    passages = ["".join(rng.choice("abcdef ") for _ in range(300)) for _ in range(20)]
+    texts = [" ".join(rng.sample(passages, 3)) for _ in range(40)]
+    docs = pa.table({"doc_id": list(range(40)), "fp": list(range(40)), "text": texts})
+    keys = suffix_dedup._list_keys(1 << 12, 5000)((pa.scalar(3),), docs)
+    assert 0 < keys.num_rows < 1 << 12 and min(len(k) for k in keys["keys"].to_pylist()) > 0
+    known = pa.table({"repeated": [b"".join(keys["keys"].to_pylist())], "hot": [b""]})
+    contexts = lambda lists: sorted(c[i:i + suffix_dedup.WIDE] for c in lists["bytes"].to_pylist()
+                                    for i in range(0, len(c), suffix_dedup.WIDE))
+    whole = suffix_dedup._list_contexts(1, 5000)((pa.scalar(3),), docs, known)
+    monkeypatch.setattr(suffix_dedup, "BATCH_BYTES", 10_000)
+    lists = suffix_dedup._list_contexts(1 << 12, 5000)((pa.scalar(3),), docs, known)
+    assert contexts(lists) == contexts(whole) and len(contexts(whole)) > 200
+    assert all(len(r["sent"]) + len(r["alone"]) + len(r["found"]) for r in lists.to_pylist())
+    batches = lists.to_batches()
+    assert len(batches) > 3 and all(sum(map(len, b["bytes"].to_pylist())) < 12_000 for b in batches)
+
+
 def test_difference_cover_resolves_every_pair():
     for v in (8, 32, 64):
         cover = suffix_dedup.difference_cover(v)
