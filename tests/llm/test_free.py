@@ -448,11 +448,22 @@ def _plain_lm(docs):
     return tokens, held, count
 
 
-def test_lm_classes_of_words_do_not_depend_on_the_rows_beside_them():
-    texts = ["a b", "to be", "", "xy\nz", "longer words here", "i"]
-    ending = lambda ts: [e.tolist() for t in [maxent_lm.tokens(pa.array(ts))]
-                         for e in np.split(t[1], t[2][1:-1])]
-    assert ending(texts) == [ending([t])[0] for t in texts] == ending(texts[::-1])[::-1]
+def test_lm_softmax_of_a_block_is_taken_some_tokens_at_a_time(monkeypatch):
+    rng = random.Random(6)
+    docs = pa.table({"doc_id": list(range(50)), "text": [" ".join(rng.choice("abcdefgh") for _ in range(30)) for _ in range(50)],
+                     "held": [i % 7 == 2 for i in range(50)]})
+    classes = maxent_lm.Classes(np.empty(0, np.uint64), np.arange(maxent_lm.SUFFIXES) % (maxent_lm.CLASSES - maxent_lm.SINGLES))
+    weights = np.random.default_rng(0).normal(size=(maxent_lm.TEMPLATES * maxent_lm.BUCKETS + 1, maxent_lm.CLASSES))
+    model = {"classes": classes, "weights": weights, "mass": np.full(maxent_lm.CLASSES, 50.0), "n": 1300, "v": 9, "unseen": 0.01}
+    lists = maxent_lm._list_keys(classes, 1)((pa.scalar(0),), docs)
+    share = np.full(maxent_lm.CLASSES, 1 / maxent_lm.CLASSES)
+    found = pa.concat_tables([maxent_lm._sum_keys(share, 1)((pa.scalar(t),), lists.slice(t, 1)) for t in range(4)])
+    score = lambda: maxent_lm._score(model, 1)((pa.scalar(0),), docs, found)
+    whole, widths, plain = score(), [], maxent_lm._odds
+    monkeypatch.setattr(maxent_lm, "SCORE_TOKENS", 100)
+    monkeypatch.setattr(maxent_lm, "_odds", lambda rows, factors: widths.append(rows.shape[1]) or plain(rows, factors))
+    assert score().equals(whole)
+    assert len(widths) == 16 and max(widths) <= 100
 
 
 def test_word_hashes_do_not_depend_on_how_many_are_taken_at_a_time(monkeypatch):
