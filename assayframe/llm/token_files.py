@@ -41,7 +41,7 @@ from assayframe.llm._common import as_text, written
 MAGIC = b"S8B1"
 SHARD_IDS = 1 << 20         # a shard ends with the document that reaches this many ids
 CACHE_ENTRIES = 800_000     # per Python worker in both generations, below 200 MB
-CHUNK_BYTES = 8 << 20       # texts encoded at a time
+CHUNK_BYTES = 16 << 20      # texts encoded at a time
 SHARD_SCHEMA = ("part int, shard int, first_in_part long, n_ids long, doc_ids array<long>, payload binary")
 _SPACE_LIKE = re.compile("[\\s\x1c-\x1f\x85᠎​⁠﻿]")
 
@@ -103,9 +103,24 @@ class Encoder:
         if len(self.cache) + len(units) > self.entries // 2:
             self.old, self.cache = self.cache, {}
         cache, old, others = self.cache, self.old, []
+        tokenize, space, letters, marks = self.model.tokenize, self.letters[32], self.letters, self.marks
         for u in units:
-            ids = old.get(u) or self._plain(u)
-            if ids is None and "\n" in u:      # a single line end between two words is a piece of its own
+            ids = old.get(u)
+            if ids is not None:
+                cache[u] = ids
+                continue
+            # Runs of letters, and those with a mark after them, without a call for each.
+            mark = marks.get(u[-1:])
+            word = u if mark is None else u[:-1]
+            if word.isalpha():
+                known = None if mark is None else cache.get(word) or old.get(word)
+                if known is None:
+                    if not word.isascii():
+                        word = word.encode().decode("latin-1").translate(letters)
+                    known = array("I", [t.id for t in tokenize(space + word)]).tobytes()
+                cache[u] = known if mark is None else known + mark
+                continue
+            if "\n" in u:      # a single line end between two words is a piece of its own
                 left, right = u.split("\n", 1)
                 left, right = self._plain(left), self._plain(right, space=False)
                 ids = left + self.line_end + right if left and right else None
@@ -153,7 +168,9 @@ class Encoder:
         if None in ids:
             self._learn([u for u, i in zip(units, ids) if i is None])
             ids = [self.cache[u] if i is None else i for u, i in zip(units, ids)]
-        joins = np.fromiter((i is self.JOINS for i in ids), dtype=bool, count=len(ids))
+        joins = np.zeros(len(ids), dtype=bool)
+        for k in [k for k, i in enumerate(ids) if i is self.JOINS]:
+            joins[k], ids[k] = True, b""
 
         # The first stretch of a text has no space before it; a text with stretches
         # to be joined is encoded apart and its ids take the place of the first.
@@ -165,8 +182,7 @@ class Encoder:
             firsts[row] = self._joined(parts[int(row)].as_py())
         own = np.fromiter(map(len, ids), dtype=np.int32, count=len(ids)) // 4
         first_len = np.fromiter(map(len, firsts), dtype=np.int32, count=len(firsts)) // 4
-        own[joins] = 0
-        pool = np.frombuffer(b"".join([b"" if j else i for i, j in zip(ids, joins)] + firsts), dtype="<u4")
+        pool = np.frombuffer(b"".join(ids + firsts), dtype="<u4")
         begin, length = (np.cumsum(own, dtype=np.int32) - own)[at], own[at]
         length[np.repeat(odd, np.diff(offsets))] = 0
         begin[heads] = own.sum() + np.cumsum(first_len) - first_len
@@ -223,7 +239,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], size: int = CHUNK_BYTES) -> Itera
                 yield batch.slice(a, b - a)
 
 
-def _writer(path: str, end_id: int, shard_ids: int, cache_entries: int) -> Callable:
+def _writer(path: str, end_id: int, shard_ids: int, cache_entries: int, chunk_bytes: int = CHUNK_BYTES) -> Callable:
     schema = pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("first_in_part", pa.int64()),
                         ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("payload", pa.binary())])
 
@@ -238,7 +254,7 @@ def _writer(path: str, end_id: int, shard_ids: int, cache_entries: int) -> Calla
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(
                 (part, shard, done, size, doc_ids, payload), schema.types)], schema=schema)
 
-        for batch in _pieces(batches):
+        for batch in _pieces(batches, chunk_bytes):
             part = batch.column("part")[0].as_py()
             n, values = encoder.encode(batch.column("text"))
             ends = np.cumsum(n)
@@ -262,14 +278,15 @@ def _writer(path: str, end_id: int, shard_ids: int, cache_entries: int) -> Calla
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = 2,
                       shard_ids: int = SHARD_IDS, id_col: str = "doc_id", text_col: str = "text",
-                      cache_entries: int = CACHE_ENTRIES) -> None:
+                      cache_entries: int = CACHE_ENTRIES, chunk_bytes: int = CHUNK_BYTES) -> None:
     """Tokenize the documents in ascending id and write the shards to ``path``. A worker
-    keeps up to ``cache_entries`` stretches, also after its task (about 250 bytes each)."""
+    keeps up to ``cache_entries`` stretches, also after its task (about 250 bytes each);
+    it encodes ``chunk_bytes`` of texts at a time, in some 20 times that memory."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), as_text(F.col(text_col)).alias("text"))
     rows = rows.withColumn("h", F.xxhash64("text"))
     ranged = rows.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h")
     ranged = ranged.select(F.spark_partition_id().alias("part"), "doc_id", "text")
-    shards = ranged.mapInArrow(_writer(tokenizer or default_tokenizer(), end_id, shard_ids, cache_entries), SHARD_SCHEMA)
+    shards = ranged.mapInArrow(_writer(tokenizer or default_tokenizer(), end_id, shard_ids, cache_entries, chunk_bytes), SHARD_SCHEMA)
     shards.write.parquet(path)
 
 

@@ -23,6 +23,7 @@ from assayframe.session import scratch_path
 
 # A worker keeps its cache when its task is over, beside what other stages need.
 TOKEN_CACHE = 150_000
+TOKEN_CHUNK = 8 << 20
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +53,7 @@ def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Simple-8b shards, read back: ``doc_id, start, n_tokens, ids_crc32``."""
     ship_package(spark)
     path = scratch_path(spark, "corpus-shards")
-    token_files.write_token_files(docs, path, cache_entries=TOKEN_CACHE)
+    token_files.write_token_files(docs, path, cache_entries=TOKEN_CACHE, chunk_bytes=TOKEN_CHUNK)
     back = token_files.read_token_files(spark, path)
     return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 

@@ -216,6 +216,19 @@ def test_encoder_equals_the_tokenizer_on_odd_texts():
     assert got == whole_ids(texts)
 
 
+def test_encoder_looks_up_a_text_of_sixteen_megabytes_at_once(monkeypatch):
+    """A stretch that many texts hold is looked up once for all of them, and the ids stay the same."""
+    text = "the cat, it sat.\non mats " * 200
+    batch = pa.record_batch({"part": pa.array([0] * 2400, pa.int32()), "doc_id": list(range(2400)), "text": [text] * 2400})
+    asked, plain = [], token_files.Encoder.encode
+    monkeypatch.setattr(token_files.Encoder, "encode", lambda self, t: asked.append(len(t)) or plain(self, t))
+    writer = token_files._writer(token_files.default_tokenizer(), 2, 1 << 30, 1000)
+    (out,) = writer(iter([batch]))
+    lengths, ids = token_files.shard_values(out.column("payload")[0].as_py())
+    (want,) = whole_ids([text])
+    assert len(asked) == 1 and ids.tolist() == [*want, 2] * 2400
+
+
 def check_token_rows(got, docs):
     at = 0
     for r, (d, ids) in zip(sorted(got, key=lambda r: r["start"]), docs):
