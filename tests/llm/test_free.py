@@ -432,6 +432,83 @@ def test_lm_rounds_read_all_training_documents(spark, small_docs, monkeypatch):
     assert all(r[1, -1].sum() == pytest.approx(model["n"], rel=1e-4) for r in rounds[1:])
 
 
+def test_lm_rounds_cut_no_texts_into_tokens(spark, small_docs, monkeypatch):
+    plain, read = maxent_lm._summed, []
+    monkeypatch.setattr(maxent_lm, "_summed", lambda texts, make, shape, *a: read.append((shape, texts.columns)) or plain(texts, make, shape, *a))
+    maxent_lm.train(spark.createDataFrame(small_docs[:20], "doc_id long, text string"))
+    assert [columns for shape, columns in read if len(shape) == 3] == [["low", "keys", "counts"]] * maxent_lm.ROUNDS
+
+
+def _sums(batches, kind):
+    return np.frombuffer(b"".join(b for batch in batches for b in batch.column("sums").to_pylist()), kind).reshape(
+        2, -1, maxent_lm.CLASSES)
+
+
+def test_lm_rounds_against_every_token(small_docs, monkeypatch):
+    """Some rows of features from some tokens at a time; empty texts and copies among them."""
+    monkeypatch.setattr(maxent_lm, "PIECE_BYTES", 5_000)
+    monkeypatch.setattr(maxent_lm, "FEATURE_TOKENS", 2_000)
+    monkeypatch.setattr(maxent_lm, "ROW_FEATURES", 300)
+    monkeypatch.setattr(maxent_lm, "SCORE_TOKENS", 77)
+    texts = pa.array([f"text {t}" for _, t in small_docs[:60]] + ["", "one", "one b one b one b"] * 40)
+    hashes, endings, first = maxent_lm.tokens(texts)
+    classes = maxent_lm.Classes(np.unique(hashes)[:9], np.arange(maxent_lm.SUFFIXES) % (maxent_lm.CLASSES - maxent_lm.SINGLES))
+    y, rows = classes(hashes, endings), maxent_lm.features(hashes, first)
+    listed = list(maxent_lm._list_features(classes)(iter([pa.record_batch({"text": texts})])))
+    assert len(listed) > 1 and max(b.num_rows for b in listed) > 1
+    got = collections.Counter()
+    for key, of, n in maxent_lm._listed(iter(listed)):
+        for *r, k, c in zip(*maxent_lm._split(key), of, n):
+            got[(*r, k)] += c
+    offsets = maxent_lm.BUCKETS * np.arange(maxent_lm.TEMPLATES)[:, None]
+    assert got == collections.Counter(zip(*(rows - offsets), y))
+
+    weights = np.random.default_rng(1).normal(size=(maxent_lm.TEMPLATES * maxent_lm.BUCKETS + 1, maxent_lm.CLASSES))
+    p = np.exp(maxent_lm.class_log_probabilities(rows, weights))
+    seen, expected = np.zeros((2, *weights.shape))
+    for r in [*rows, np.full(len(y), -1)]:
+        np.add.at(seen, (r, y), 1)
+        np.add.at(expected, r, p)
+    assert (_sums(maxent_lm._observed_counts(iter(listed)), "<f8")[0] == seen).all()
+    read, found = _sums(maxent_lm._expected_counts(weights)(iter(listed)), "<f4")
+    assert (read[-1] == seen[-1]).all() and np.allclose(found, expected, rtol=1e-4, atol=1e-6)
+
+
+def test_lm_features_of_no_texts():
+    classes = maxent_lm.Classes(np.empty(0, np.uint64), np.zeros(maxent_lm.SUFFIXES, np.int64))
+    assert not list(maxent_lm._list_features(classes)(iter([])))
+    assert not _sums(maxent_lm._observed_counts(iter([])), "<f8").any()
+    assert not _sums(maxent_lm._expected_counts(np.zeros((maxent_lm.TEMPLATES * maxent_lm.BUCKETS + 1, maxent_lm.CLASSES)))(
+        iter([])), "<f4").any()
+
+
+@pytest.mark.parametrize("bits, tail", [(49, 5), (64, 0)])
+def test_lm_order_is_that_of_the_whole_keys(bits, tail):
+    rng = np.random.default_rng(2)
+    near = rng.integers(0, 1 << 12, 5_000, dtype=np.uint64)         # the upper bits alone do not tell these apart
+    top = np.uint64(1) << np.uint64(bits - 1)
+    far = rng.integers(0, 1 << (bits - 1), 95_000, dtype=np.uint64)
+    for keys in (np.concatenate((near, near | top, far, far[:9_000])), near, near[:1], near[:0]):
+        keys = rng.permutation(keys)
+        order, ordered = maxent_lm._order(keys, bits, tail)
+        assert (ordered == np.sort(keys)).all() and (keys[order] == ordered).all()
+        assert (np.sort(order) == np.arange(len(keys))).all()
+
+
+def test_lm_common_tokens_that_share_low_bits():
+    singles = np.array([5, 5 + (1 << 12), 5 + (1 << 13), 1], dtype=np.uint64)
+    known = maxent_lm.Classes(singles, np.zeros(maxent_lm.SUFFIXES, np.int64))
+    others = singles + np.uint64(1 << 40)
+    assert known.single(np.concatenate((singles, others, singles[::-1]))).tolist() == [
+        0, 1, 2, 3, *[maxent_lm.SINGLES] * 4, 3, 2, 1, 0]
+
+
+def test_lm_words_of_a_block_are_counted_in_training_texts():
+    hashes = np.array([9, 3, 9, 7, 3, 9, 2**64 - 1], dtype=np.uint64)
+    distinct, n = maxent_lm._sorted_words(hashes, np.array([1, 0, 0, 0, 0, 1, 1], bool))
+    assert distinct.tolist() == [3, 7, 9, 2**64 - 1] and n.tolist() == [0, 0, 2, 1]
+
+
 @pytest.mark.parametrize("raw", [0, 3])
 def test_lm_planes_come_back(raw):
     for values in ([], [0], [1, 255, 256, 0], [2**49 - 1, 7, 2**24]):
